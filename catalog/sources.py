@@ -199,16 +199,16 @@ def _(data):
 
 @check("A10_documents", _PLAIN_TASK + "SELECT idservico, causa FROM t", ("inspections",))
 def _(data):
-    """Documents written, then read back as JSON."""
+    """Documents written, then read back row by row."""
     path = fresh_path(data.spark, "documents")
     rows = envelope.task_envelope(format_tasks(cleaned(data)))
-    envelope.write_documents(rows, envelope.TASK_NOUN, path, 4)
-    cell = "struct<`@index`:int,`@value`:string>"
-    shape = f"struct<payload:struct<items:array<struct<Data:struct<RowData:array<struct<CellsData:array<{cell}>>>>>>>>"
-    doc = data.spark.read.option("wholetext", True).text(path).select(F.from_json("value", shape).alias("d"))
-    cells = doc.select(F.explode(F.col("d.payload.items")[0]["Data"]["RowData"]).alias("r")).select("r.CellsData")
-    return cells.select(
-        F.col("CellsData")[0]["@value"].cast("bigint").alias("idservico"), F.col("CellsData")[12]["@value"].alias("causa")
+    envelope.write_documents(rows, envelope.TASK_NOUN, path)
+    lines = data.spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("value"))
+    cells = F.from_json("value", "struct<CellsData:array<struct<`@index`:int,`@value`:string>>>")["CellsData"]
+    return (
+        lines.where(F.col("value").startswith('{"@noun"'))
+        .select(cells.alias("c"))
+        .select(F.col("c")[0]["@value"].cast("bigint").alias("idservico"), F.col("c")[12]["@value"].alias("causa"))
     )
 
 

@@ -21,7 +21,15 @@ NUGGET = 1e-8
 # A dense system of more samples than this does not fit one task; it is reported, not solved.
 MAX_SAMPLES = 10_000
 
-WEIGHTS = "array<struct<lon:double,lat:double,w:double>>"
+SAMPLE = T.StructType([T.StructField(f, T.DoubleType()) for f in ("lon", "lat", "w")])
+FITTED = [
+    T.StructField("variable", T.StringType()),
+    T.StructField("trend", T.DoubleType()),
+    T.StructField("scale_lon", T.DoubleType()),
+    T.StructField("scale_lat", T.DoubleType()),
+    T.StructField("weights", T.ArrayType(SAMPLE)),
+    T.StructField("error", T.StringType()),
+]
 
 
 def solve(xy: np.ndarray, values: np.ndarray) -> list[tuple[float, float, float, np.ndarray]]:
@@ -62,13 +70,7 @@ def fit_kriging(
     """
     keys, values, coords = list(keys), list(values), list(coords)
     chosen = samples.select(*keys, *coords, *[F.col(v).cast("double") for v in values])
-    key_fields = [chosen.schema[k] for k in keys]
-    schema = T.StructType(
-        key_fields
-        + T._parse_datatype_string(
-            f"variable string, trend double, scale_lon double, scale_lat double, weights {WEIGHTS}, error string"
-        ).fields
-    )
+    schema = T.StructType([chosen.schema[k] for k in keys] + FITTED)
 
     def fit_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) > MAX_SAMPLES:  # pragma: no cover - kept out by the caller's count

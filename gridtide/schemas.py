@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """`name TYPE, name TYPE, ...`; unlike the DDL parser it needs no running session."""
+    pairs = (c.strip().rsplit(" ", 1) for c in columns.split(","))
+    return T.StructType([T.StructField(name.strip("`"), TYPES[kind]) for name, kind in pairs])
 
 
 # Weather variables, in output order.

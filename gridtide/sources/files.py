@@ -44,7 +44,8 @@ def read_states(
         .option("header", True)
         .csv(f"{root.rstrip('/')}/{pattern.replace('{state}', names)}")
     )
-    spot = r"([^/]+)".join(map(_literal, pattern.split("{state}")[:2]))
+    before, after = pattern.split("{state}")[:2]
+    spot = _literal(before) + "([^/]+)" + _literal(after.split("*")[0])
     return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), spot, 1).alias(state_col))
 
 

@@ -44,6 +44,6 @@ def serve(
     def run(payloads: DataFrame, batch: int) -> None:
         write_results(run_requests(tables(), payloads, **options), outbox, batch)
 
-    stream = spark.readStream.option("wholetext", True).text(inbox)
+    stream = spark.readStream.text(inbox, wholetext=True)
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
