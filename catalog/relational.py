@@ -13,7 +13,9 @@ from gridtide.operators import rows
 from gridtide.operators.attribution import with_cause
 from gridtide.operators.goals import goal_window, goals_long, monthly_goals
 from gridtide.operators.series import chrono_split, climatology, future_rows, month_spine
-from gridtide.operators.search import champion
+from gridtide.operators.allocation import priority_rank
+from gridtide.operators.ordering import places
+from gridtide.operators.search import champion, feature_columns
 from gridtide.plans.panel import (
     RUN,
     SERIES,
@@ -128,8 +130,6 @@ def _(data):
     PANEL_USES,
 )
 def _(data):
-    from gridtide.operators.search import feature_columns
-
     made = panel(data)
     return made.select("cod_alim", "ano", "mes", *feature_columns(made))
 
@@ -220,11 +220,11 @@ def _(data):
 
 @check(
     "D4_semi_join",
-    """SELECT idservico FROM tasks WHERE feeder IN (SELECT alimentador FROM feeder_set WHERE sigla_conjunto <> 'REGION_0')""",
+    """SELECT idservico FROM tasks WHERE feeder IN (SELECT alimentador FROM feeder_set WHERE sigla_conjunto <> 'ASIA')""",
     ("tasks", "feeder_set"),
 )
 def _(data):
-    wanted = data["feeder_set"].where("sigla_conjunto <> 'REGION_0'")
+    wanted = data["feeder_set"].where("sigla_conjunto <> 'ASIA'")
     return data["tasks"].join(wanted, F.col("feeder") == F.col("alimentador"), "left_semi").select("idservico")
 
 
@@ -301,23 +301,8 @@ def _(data):
     ("tasks",),
 )
 def _(data):
-    from gridtide.operators.allocation import priority_rank
-
     served = data["tasks"].withColumn("prio", priority_rank(F.col("prioridade"))).where("prio is not null")
-    return ordered_places(served, ["feeder"], ["prio", "date_time", "idservico"]).select("feeder", "idservico", "place")
-
-
-def ordered_places(df: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    """Place of each row within its group; ranges of the order split a group of any size."""
-    from gridtide.operators.allocation import lined_up
-
-    lined = lined_up(df, groups, order, 8)
-    spot = [*groups, "chunk"]
-    before = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = lined.groupBy(*spot).agg(F.count("*").alias("n"))
-    offset = sizes.select(*spot, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy(*spot).orderBy("pos"))
-    return lined.join(offset, spot).withColumn("place", F.col("offset") + inside)
+    return places(served, ["feeder"], ["prio", "date_time", "idservico"]).select("feeder", "idservico", "place")
 
 
 @check(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridtide.functions.numbers import exact, half_even
 from gridtide.functions.text import comma_decimal, feeder_code, plain_columns, plain_text, quantity
 from gridtide.functions.dates import at_time
+from gridtide.operators.ordering import lined_up
 from gridtide.session import cut
 
 # Task priorities in the order in which they are served.
@@ -91,20 +92,6 @@ def _walk(items: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
     return gathered.select(*groups, F.explode(taken).alias("t")).select(*groups, "t.*")
 
 
-def lined_up(items: DataFrame, groups: Sequence[str], order: Sequence[str], ranges: int) -> DataFrame:
-    """Items with `pos`, which grows with (groups, order), and the `chunk` they lie in.
-
-    Ranges over (groups, order) split a group of any size; the written table fixes them for good.
-    """
-    return cut(
-        items.repartitionByRange(ranges, *groups, *order)
-        .sortWithinPartitions(*groups, *order)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .withColumn("chunk", F.spark_partition_id()),
-        "lined",
-    )
-
-
 def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fold_limit: int) -> DataFrame:
     lined = lined_up(items, groups, order, ranges)
     chunks = cut(lined.select(*groups, "chunk").distinct(), "chunks")
