@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.session import spread
+
 # Length scales tried, as multiples of the extent of the samples along each axis.
 SCALES = (0.1, 0.25, 0.5, 1.0, 2.0, 4.0)
 NUGGET = 1e-8
@@ -36,27 +38,29 @@ def solve(xy: np.ndarray, values: np.ndarray) -> list[tuple[float, float, float,
     """Per column of `values`: trend, two length scales and the sample weights.
 
     The scales are those of highest likelihood among `SCALES`; one factorisation serves all
-    columns.
+    columns, and small systems are factorised for many scales at once.
     """
     n, width = values.shape
     extent = np.maximum(np.ptp(xy, axis=0), 1e-6)
     gap = (xy[:, None, :] - xy[None, :, :]) ** 2
+    tried = np.array([(a, b) for a in SCALES for b in SCALES] if n > 1 else [(1.0, 1.0)]) * extent
+    right = np.column_stack([np.ones(n), values])
     best: list = [(-np.inf, None)] * width
-    for sx in SCALES if n > 1 else (1.0,):
-        for sy in SCALES if n > 1 else (1.0,):
-            scale = extent * (sx, sy)
-            k = np.exp(-0.5 * (gap / scale**2).sum(axis=2)) + NUGGET * np.eye(n)
-            half = np.linalg.cholesky(k)
-            white = np.linalg.solve(half, np.column_stack([np.ones(n), values]))
-            one, ys = white[:, 0], white[:, 1:]
-            trend = one @ ys / (one @ one)
-            rest = ys - np.outer(one, trend)
-            spread = (rest**2).mean(axis=0)
-            fit = -0.5 * n * np.log(np.maximum(spread, 1e-300)) - np.log(np.diag(half)).sum()
-            weights = np.linalg.solve(half.T, rest)
-            for j in range(width):
-                if fit[j] > best[j][0]:
-                    best[j] = (fit[j], (float(trend[j]), *map(float, scale), weights[:, j]))
+    step = max(1, 1_000_000 // (n * n))
+    for scales in (tried[i : i + step] for i in range(0, len(tried), step)):
+        k = np.exp(-0.5 * np.einsum("ijd,sd->sij", gap, 1 / scales**2)) + NUGGET * np.eye(n)
+        half = np.linalg.cholesky(k)
+        white = np.linalg.solve(half, np.broadcast_to(right, (len(scales), *right.shape)))
+        one, ys = white[:, :, 0], white[:, :, 1:]
+        trend = np.einsum("sn,snv->sv", one, ys) / (one**2).sum(axis=1)[:, None]
+        rest = ys - one[:, :, None] * trend[:, None, :]
+        spread = np.maximum((rest**2).mean(axis=1), 1e-300)
+        size = np.log(np.diagonal(half, axis1=1, axis2=2)).sum(axis=1)
+        fit = -0.5 * n * np.log(spread) - size[:, None]
+        for j, s in enumerate(fit.argmax(axis=0)):
+            if fit[s, j] > best[j][0]:
+                weights = np.linalg.solve(half[s].T, rest[s, :, j])
+                best[j] = (fit[s, j], (float(trend[s, j]), *map(float, scales[s]), weights))
     return [b[1] for b in best]
 
 
@@ -72,12 +76,11 @@ def fit_kriging(
     chosen = samples.select(*keys, *coords, *[F.col(v).cast("double") for v in values])
     schema = T.StructType([chosen.schema[k] for k in keys] + FITTED)
 
-    def fit_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_SAMPLES:  # pragma: no cover - kept out by the caller's count
-            raise ValueError("too many samples")
-        pdf = pdf.sort_values(coords + values, kind="stable")
-        xy = pdf[coords].to_numpy(float)
-        field = pdf[values].to_numpy(float)
+    def fit_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        # a fixed order, so that the result does not depend on how rows arrive
+        table = pdf[coords + values].to_numpy(float)
+        table = table[np.lexsort(table.T[::-1])]
+        xy, field = table[:, :2], table[:, 2:]
         rows = []
         try:
             zero = (field == 0).all(axis=0)
@@ -93,7 +96,7 @@ def fit_kriging(
             rows = [(*key, None, None, None, None, None, str(problem))]
         return pd.DataFrame(rows, columns=schema.names)
 
-    return chosen.groupBy(*keys).applyInPandas(fit_group, schema)
+    return spread(chosen, keys).groupBy(*keys).applyInPandas(fit_group, schema)
 
 
 def _sum(items: Column, value) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.operators.rows import cardinality_split
+from gridtide.session import spread
 
 HIGH_CARDINALITY = 11
 MISSING = "missing"
@@ -207,7 +208,7 @@ def predict_series(
     )
     fits = {m.name: m.fit_predict for m in models}
 
-    def contest(key, past: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+    def contest(key: tuple, past: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(past) and len(new):
             past = past[past[label].notna()].sort_values("__time", kind="stable")
@@ -233,7 +234,8 @@ def predict_series(
 
     past = history.select(*keys, F.col("month").alias("__time"), F.col(label).cast("double").alias(label), *numeric(history))
     new = rows.select(*keys, row_id, *([chosen] if chosen else []), *numeric(rows))
-    return past.groupBy(*keys).cogroup(new.groupBy(*keys)).applyInPandas(contest, schema)
+    sides = [spread(df, keys).groupBy(*keys) for df in (past, new)]
+    return sides[0].cogroup(sides[1]).applyInPandas(contest, schema)
 
 
 # ---- one fit over all series ------------------------------------------------------------------

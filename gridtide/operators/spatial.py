@@ -220,7 +220,9 @@ def ring_neighbours(
         [station],
         [lon, lat],
     )
-    centres = boxes.select(key, "c_lon", "c_lat", "r0")
+    # both are read once per cell size tried
+    sites = cut(sites, "sites")
+    centres = cut(boxes.select(key, "c_lon", "c_lat", "r0"), "centres")
     radii = ring_radius(centres, sites, key, min_extra, step_km, centre_at, point_at)
     return pairs_within(centres.join(radii, key), sites, "radius_km", centre_at, point_at).select(
         key, station, lon, lat, "dist_km", "radius_km"

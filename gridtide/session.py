@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,15 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows partitioned by key over all shuffle partitions.
+
+    For work that is heavy per row: adaptive execution would otherwise merge the few bytes of such
+    a table into one task. A `groupBy` on the same keys does not shuffle again.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
