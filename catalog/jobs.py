@@ -1 +1,197 @@
+"""J: whole jobs."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import Data, check
+from catalog.aggregates import CAUSED, CAUSED_USES, EVENT_COLUMNS, UNIT_COLUMNS, UNITS
+from catalog.allocation import scaled_sql, volume_sql
+from catalog.bindings import AHEAD, ASOF
+from catalog.modelling import FORECAST, FORECAST_USES, SQL_MODELS
+from catalog.relational import PANEL, PANEL_USES, goals, panel, text_dates
+from catalog.sources import inspections
+from gridtide.functions.text import feeder_code
+from gridtide.operators.attribution import SERVICES
+from gridtide.plans import envelope
+from gridtide.plans.assign import assign, assignment_mode
+from gridtide.plans.forecast import forecast
+from gridtide.plans.panel import panel_with_weather
+from gridtide.plans.requests import run_requests
+from gridtide.plans.suggest import suggest
+from gridtide.sources.tables import Tables
+
+COEFS = {"poda": 1.5, "faixa": 0.5, "estruturas": 2.0}
+
+
+@check(
+    "J1_panel",
+    PANEL
+    + """SELECT conjunto, cod_alim, ano, mes, chi_total, cons_conjunto, qtde_cliente_total, qtde_cliente_ru, qtde_cliente_ub,
+                dec_cj, vlr_qtd_arvore, CAST(month AS VARCHAR) AS month, DESCR_NOVO, feeder_effect, month_weighted FROM panel""",
+    PANEL_USES,
+)
+def _(data):
+    return text_dates(panel(data).drop("pred_month", "months_ahead"))
+
+
+@check(
+    "J1_panel_with_weather",
+    PANEL
+    + """, first AS (SELECT conjunto, min(month) AS first_month FROM panel GROUP BY conjunto)
+         SELECT p.conjunto, cod_alim, ano, mes, chi_total, feeder_effect, CAST(0 AS DOUBLE) AS windvelo_mean FROM panel p JOIN first f ON p.conjunto = f.conjunto
+         WHERE month >= first_month""",
+    PANEL_USES,
+)
+def _(data):
+    """Interpolation gives each month of the history, so the panel keeps all its rows."""
+    points = data["feeder_points"].withColumnRenamed("code", "cod_alim")
+    made, _errors = panel_with_weather(
+        data["panel_raw"], data["feeder_set"], data["runs"], points, data["stations"], data["station_history"]
+    )
+    return made.select("conjunto", "cod_alim", "ano", "mes", "chi_total", "feeder_effect", "windvelo_mean")
+
+
+def requests(data: Data):
+    return data["runs"].withColumn("request_id", F.concat(F.lit("r:"), "conjunto"))
+
+
+_TOTAL = {s: f"max(CASE WHEN service = '{s}' THEN cnt END)" for s in (*SERVICES, "total")}
+_GAP = (
+    FORECAST
+    + CAUSED
+    + UNITS
+    + f"""
+, cause_cols AS (SELECT cod_alim, {", ".join(f"coalesce(max(CASE WHEN service = '{s}' THEN cnt END), 0) AS cnt_{s}, coalesce(max(CASE WHEN service = '{s}' THEN chi END), 0) AS chi_{s}" for s in (*SERVICES, "total"))}
+    FROM attributed WHERE period = 'trailing' GROUP BY cod_alim)
+, pred_totals AS (SELECT conjunto, cod_alim, CAST(sum(CAST(pred AS DECIMAL(24,6))) AS DOUBLE) AS pred_total, max(effect) AS effect FROM forecast GROUP BY conjunto, cod_alim)
+, actuals AS (SELECT conjunto, cod_alim, CAST(coalesce(sum(CASE WHEN month >= pred_month - INTERVAL {12 - AHEAD} MONTH THEN CAST(chi_total AS DECIMAL(24,6)) END), 0) AS DOUBLE) AS actual_total
+    FROM panel GROUP BY conjunto, cod_alim)
+, goal_sums AS (SELECT conjunto, CAST(sum(CAST(chi_goal AS DECIMAL(24,6))) AS DOUBLE) AS goal_total FROM goals GROUP BY conjunto)
+, gap AS (SELECT p.conjunto, p.cod_alim, actual_total + pred_total AS chi_pred, goal_total * effect AS chi_goal,
+     {", ".join(f"coalesce(cnt_{s}, 0) AS cnt_{s}, CASE WHEN coalesce(cnt_{s}, 0) = 0 THEN CAST(0 AS DOUBLE) ELSE chi_{s} / cnt_{s} END AS avg_{s}" for s in SERVICES)},
+     coalesce(cnt_total, 0) AS cnt_total
+  FROM pred_totals p JOIN actuals a ON p.conjunto = a.conjunto AND p.cod_alim = a.cod_alim JOIN goal_sums g ON p.conjunto = g.conjunto
+       LEFT JOIN cause_cols c ON p.cod_alim = c.cod_alim)
+, unit_cols AS (SELECT f.cod_alim, {', '.join(UNIT_COLUMNS)} FROM feeders f LEFT JOIN units u ON f.cod_alim = u.cod_alim GROUP BY f.cod_alim)
+, yearly AS (SELECT cod_alim, service, CAST(period AS INT) AS back, cnt FROM attributed WHERE period <> 'trailing')
+, event_cols AS (SELECT f.cod_alim, {', '.join(EVENT_COLUMNS)} FROM feeders f LEFT JOIN yearly y ON f.cod_alim = y.cod_alim GROUP BY f.cod_alim)
+"""
+)
+SUGGEST_USES = (*FORECAST_USES, *CAUSED_USES, "maintenance")
+SUGGEST = (
+    _GAP
+    + f"""SELECT concat('r:', conjunto) AS request_id, conjunto, gap.cod_alim, '1/2000' AS "from", '2/2000' AS "to",
+       round_even(chi_pred, 2) AS chi_pred, round_even(chi_goal, 2) AS chi_goal, round_even(chi_pred - chi_goal, 2) AS chi_diff, 0 AS goal_gaps,
+       {', '.join(f'{scaled_sql(volume_sql(s), c)} AS {s}_sugg' for s, c in COEFS.items())},
+       unit_cols.* EXCLUDE (cod_alim), event_cols.* EXCLUDE (cod_alim)
+FROM gap JOIN unit_cols ON gap.cod_alim = unit_cols.cod_alim JOIN event_cols ON gap.cod_alim = event_cols.cod_alim"""
+)
+
+
+def suggestions(data: Data):
+    made = forecast(panel(data), goals(data), SQL_MODELS)
+    window = goals(data).join(requests(data).select("request_id", "conjunto"), "conjunto")
+    return suggest(
+        requests(data), made.panel, made.rows, window, data["outages"], data["causes"], data["maintenance"], COEFS
+    )
+
+
+@check("J4_suggestions", SUGGEST, SUGGEST_USES)
+def _(data):
+    return suggestions(data)
+
+
+@check(
+    "I8_suggestion_periods",
+    SUGGEST.replace("SELECT concat('r:', conjunto) AS request_id", "SELECT concat('r:', conjunto) AS request_id", 1).split("round_even(chi_pred, 2) AS chi_pred")[0]
+    + "round_even(chi_pred, 2) AS chi_pred, round_even(chi_goal, 2) AS chi_goal, round_even(chi_pred - chi_goal, 2) AS chi_diff FROM gap",
+    SUGGEST_USES,
+)
+def _(data):
+    return suggestions(data).select(
+        "request_id", "conjunto", "cod_alim", "from", "to", "chi_pred", "chi_goal", "chi_diff"
+    )
+
+
+@check("A9_suggestion_envelope")
+def _(data):
+    return envelope.suggestion_envelope(suggestions(data), F.lit("2000-01-01").cast("timestamp_ntz"))
+
+
+@check(
+    "I5_assignment_mode",
+    FORECAST
+    + """, totals AS (SELECT conjunto, horizon, CAST(sum(CAST(pred AS DECIMAL(24,6))) AS DOUBLE) AS set_pred FROM forecast GROUP BY conjunto, horizon)
+         SELECT t.conjunto, t.horizon, CASE WHEN chi_goal >= set_pred THEN 1 ELSE 0 END AS by_feeder
+         FROM totals t JOIN goals g ON t.conjunto = g.conjunto AND t.horizon = g.horizon""",
+    FORECAST_USES,
+)
+def _(data):
+    modes = assignment_mode(forecast(panel(data), goals(data), SQL_MODELS).rows, goals(data))
+    return modes.select("conjunto", "horizon", F.col("by_feeder").cast("int").alias("by_feeder"))
+
+
+@check("J5_assigned_tasks")
+def _(data):
+    made = forecast(panel(data), goals(data), SQL_MODELS)
+    asked = requests(data).drop("months_ahead").withColumn("us_services", F.lit(9000000.0))
+    tasks = data["tasks"].withColumnsRenamed({"status_servico": "status servico", "us_servico": "us servico"})
+    picked = assign(asked, made.rows, goals(data), tasks, 60)
+    return text_dates(picked.withColumn("us servico", F.col("us servico").cast("double")))
+
+
+def batch_tables(data: Data) -> Tables:
+    """All tables of a batch, feeders named by code as in the inspections."""
+    named = lambda c: feeder_code(F.lit("F"), F.col(c))
+    tasks = inspections(data).withColumns({"se": F.lit("F"), "alimentador": F.substring("se", 3, 9)})
+    feeder = {n: data[n].withColumn("cod_alim", named("cod_alim")) for n in ("panel_raw", "outages", "maintenance")}
+    return Tables(
+        data.spark,
+        {
+            "panel": feeder["panel_raw"],
+            "feeder_set": data["feeder_set"].withColumn("alimentador", named("alimentador")),
+            "goals": data["goals_wide"],
+            "outages": feeder["outages"],
+            "causes": data["causes"],
+            "maintenance": feeder["maintenance"],
+            "inspections": tasks,
+        },
+    )
+
+
+def batch(data: Data):
+    """A suggestion and a task assignment for every set, in one document, and two bad requests."""
+    item = F.concat(
+        F.lit('{"algorithm":"suggestion","conjunto":"'), "r_name",
+        F.lit(f'","pred_year":{ASOF[:4]},"pred_month":{int(ASOF[5:7])},"months_ahead":{AHEAD}}},'),
+        F.lit('{"algorithm":"Prediction","conjunto":"'), "r_name",
+        F.lit(f'","pred_year":{ASOF[:4]},"pred_month":"{int(ASOF[5:7])}","us_services":"150"}}'),
+    )
+    payloads = data["region"].select(
+        F.col("r_regionkey").alias("id"),
+        F.concat(F.lit('{"array":['), item, F.lit(',{"algorithm":"other"}]}')).alias("value"),
+    )
+    return run_requests(batch_tables(data), payloads, COEFS, 60, id_col="id", models=SQL_MODELS)
+
+
+@check(
+    "J6_batch_suggestions",
+    SUGGEST.replace("concat('r:', conjunto) AS request_id, conjunto, gap.cod_alim,", "concat((SELECT r_regionkey FROM region WHERE r_name = conjunto), ':0') AS request_id, conjunto, concat('F', lpad(CAST(gap.cod_alim AS VARCHAR), 2, '0')) AS cod_alim,"),
+    SUGGEST_USES,
+)
+def _(data):
+    return batch(data).suggestions
+
+
+@check("J6_batch_tasks")
+def _(data):
+    return text_dates(batch(data).tasks.drop("year", "month"))
+
+
+@check(
+    "J6_batch_rejects",
+    "SELECT concat(r_regionkey, ':2') AS request_id, 'unknown algorithm' AS reason FROM region",
+)
+def _(data):
+    return batch(data).rejects.select("request_id", "reason")

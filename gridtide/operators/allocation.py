@@ -21,7 +21,7 @@ OPEN_STATUS = "PR"
 FIRST_PASS = ("U", "A")
 
 # A group of up to this many candidates is walked item by item inside one aggregate.
-FOLD_LIMIT = 2000
+FOLD_LIMIT = 10_000
 # Rows per range of a larger group.
 CHUNK_ROWS = 500_000
 
@@ -42,12 +42,13 @@ def greedy_pick(
     `order` must be total within a group and costs positive (an item of cost 0 is taken too).
 
     What fits depends on everything taken before, which looks strictly sequential. It is not: let R
-    be what is left. As long as more than R/2 is left, each item of up to R/2 fits. So the walk can
+    be what is left. All items up to the first one that does not fit are taken; that is one running
+    sum. And as long as more than R/2 is left, each item of up to R/2 fits, so the walk can also
     jump to the first place where either the running sum of those small items leaves R/2 or less,
-    or a larger item fits into R minus that sum. Both are running sums, computed over ranges of the
-    ordered items in parallel, and each jump at least halves what is left. Jumps go on until a group
-    has no more than `fold_limit` candidates, which are then walked directly. No group is ever
-    gathered whole, however many of the rows it holds.
+    or a larger item fits into R minus that sum. The jump that leaves less is made. Running sums
+    are computed over ranges of the ordered items in parallel, and each jump at least halves what
+    is left. Jumps go on until a group has no more than `fold_limit` candidates, which are then
+    walked directly. No group is ever gathered whole, however many of the rows it holds.
     """
     groups, order = list(groups), list(order)
     money = budgets.select(*groups, exact(F.col(budget)).alias("left"))
@@ -120,33 +121,58 @@ def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fo
             break
         candidates = ahead(state).withColumn("half", (F.col("left") / 2).cast("decimal(25,7)"))
         small = F.col("cost") <= F.col("half")
-        per_chunk = candidates.groupBy(*spot).agg(F.sum(F.when(small, F.col("cost"))).alias("s"))
+        few_cost = F.when(small, F.col("cost")).otherwise(F.lit(0))
+        per_chunk = candidates.groupBy(*spot).agg(F.sum("cost").alias("s_all"), F.sum(few_cost).alias("s_small"))
         before = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-        offset = per_chunk.select(*spot, F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset"))
         inside = Window.partitionBy(*spot).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-        run = candidates.join(offset, spot).withColumn(
-            "spent",
-            F.col("offset") + F.coalesce(F.sum(F.when(small, F.col("cost"))).over(inside), F.lit(0)),
+        offset = per_chunk.select(
+            *spot, *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(s) for s in ("s_all", "s_small")]
         )
-        # `spent` includes a small item itself, and for a large one all small ones before it
-        left_after = F.col("left") - F.col("spent") - F.when(small, F.lit(0)).otherwise(F.col("cost"))
-        run = run.withColumn("left_after", left_after.cast("decimal(38,6)")).withColumn("small", small)
-        stops = F.when(F.col("small"), F.col("left_after") <= F.col("half")).otherwise(F.col("left_after") >= 0)
-        stop = run.where(stops).groupBy(*groups).agg(
-            F.min_by(F.struct("pos", "small", "left_after"), F.col("pos")).alias("stop")
+        run = candidates.join(offset, spot).select(
+            *groups,
+            "pos",
+            "cost",
+            "left",
+            "half",
+            small.alias("small"),
+            (F.col("s_all") + F.sum("cost").over(inside)).alias("all_spent"),
+            (F.col("s_small") + F.sum(few_cost).over(inside)).alias("small_spent"),
+        )
+        # a small item is part of its own running sum, a large one is not
+        rest = F.col("left") - F.col("small_spent") - F.when(F.col("small"), F.lit(0)).otherwise(F.col("cost"))
+        run = run.withColumn("rest", rest.cast("decimal(38,6)"))
+        misfit = F.col("all_spent") > F.col("left")
+        halved = F.when(F.col("small"), F.col("rest") <= F.col("half")).otherwise(F.col("rest") >= 0)
+        over = F.struct("pos", (F.col("left") - F.col("all_spent") + F.col("cost")).alias("rest"))
+        stops = run.groupBy(*groups).agg(
+            F.min_by(F.when(misfit, over), F.when(misfit, F.col("pos"))).alias("misfit"),
+            F.min_by(
+                F.when(halved, F.struct("pos", "small", "rest")), F.when(halved, F.col("pos"))
+            ).alias("halved"),
         )
-        jump = state.join(stop, groups, "left").select(
+        # without a misfit all is taken; without a halving place all small items are, and no other
+        whole, by_half = F.col("misfit").isNull(), F.col("halved").isNull()
+        by_prefix = whole | (~by_half & (F.col("misfit.rest") <= F.col("halved.rest")))
+        done = whole | by_half
+        jump = state.join(stops, groups).select(
             *groups,
-            F.col("left"),
             F.col("pos").alias("start"),
-            F.coalesce(F.col("stop.pos"), F.lit(2**62)).alias("end"),
-            F.when(~F.col("stop.small"), F.col("stop.pos")).alias("large"),
-            F.col("stop.left_after").cast("decimal(24,6)").alias("left_after"),
+            F.when(done, F.lit(2**62))
+            .when(by_prefix, F.col("misfit.pos") - 1)
+            .otherwise(F.col("halved.pos"))
+            .alias("end"),
+            F.when(by_prefix, F.col("left")).otherwise((F.col("left") / 2)).cast("decimal(25,7)").alias("limit"),
+            F.when(~done & ~by_prefix & ~F.col("halved.small"), F.col("halved.pos")).alias("large"),
+            F.when(~done & by_prefix, F.col("misfit.pos")).when(~done, F.col("halved.pos")).alias("next"),
+            F.when(~done & by_prefix, F.col("misfit.rest"))
+            .when(~done, F.col("halved.rest"))
+            .cast("decimal(24,6)")
+            .alias("rest"),
         )
         jump = cut(jump, "jump")
         jumps.append(jump)
-        state = jump.where("left_after is not null").select(
-            *groups, F.col("left_after").alias("left"), F.col("end").alias("pos")
+        state = jump.where("next is not null").select(
+            *groups, F.col("rest").alias("left"), F.col("next").alias("pos")
         )
 
     tail = ahead(reduce(DataFrame.unionByName, ends))
@@ -157,13 +183,13 @@ def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fo
     route = (
         reduce(DataFrame.unionByName, jumps)
         .groupBy(*groups)
-        .agg(F.collect_list(F.struct("start", "end", "large", "left")).alias("route"))
+        .agg(F.collect_list(F.struct("start", "end", "large", "limit")).alias("route"))
     )
     hit = F.exists(
         "route",
         lambda j: (F.col("pos") > j["start"])
         & (F.col("pos") <= j["end"])
-        & ((F.col("cost") * 2 <= j["left"]) | F.coalesce(F.col("pos") == j["large"], F.lit(False))),
+        & ((F.col("cost") <= j["limit"]) | F.coalesce(F.col("pos") == j["large"], F.lit(False))),
     )
     jumped = lined.join(chunks.join(route, groups), spot).where(hit).select(*groups, *order, "cost")
     return jumped.unionByName(walked)

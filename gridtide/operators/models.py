@@ -232,8 +232,10 @@ def predict_series(
             for f in features
         ]
 
-    past = history.select(*keys, F.col("month").alias("__time"), F.col(label).cast("double").alias(label), *numeric(history))
-    new = rows.select(*keys, row_id, *([chosen] if chosen else []), *numeric(rows))
+    # new names for the keys: both sides may come from the same table
+    own = [F.col(k).alias(k) for k in keys]
+    past = history.select(*own, F.col("month").alias("__time"), F.col(label).cast("double").alias(label), *numeric(history))
+    new = rows.select(*own, row_id, *([chosen] if chosen else []), *numeric(rows))
     sides = [spread(df, keys).groupBy(*keys) for df in (past, new)]
     return sides[0].cogroup(sides[1]).applyInPandas(contest, schema)
 
