@@ -19,6 +19,7 @@ from gridtide.operators.search import (
 from gridtide.operators.series import chrono_split, future_rows
 from gridtide.plans.forecast import forecast, with_index
 from gridtide.plans.panel import RUN, SERIES
+from gridtide.session import cut
 
 SQL_MODELS = ["mean", "median", "ols1"]
 SERIES_MODELS = ["linear", "ridge", "nearest", "huber", "poisson"]
@@ -60,7 +61,7 @@ FORECAST_USES = (*PANEL_USES, "runs")
 
 
 def split_panel(data: Data) -> DataFrame:
-    return with_index(chrono_split(panel(data), SERIES, ["month"]))
+    return cut(with_index(chrono_split(panel(data), SERIES, ["month"])), "split")
 
 
 def shown(df: DataFrame, columns, digits=4) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.operators.rows import cardinality_split
-from gridtide.session import spread
+from gridtide.session import cut, spread
 
 HIGH_CARDINALITY = 11
 MISSING = "missing"
@@ -339,17 +339,21 @@ def predict_panel(
             | {f: F.coalesce(F.col(f), F.lit(MISSING)) for f in text}
         )
 
-    past, new = cast(history).withColumn("__label", F.col(label).cast("double")), cast(rows)
+    past = cut(cast(history).withColumn("__label", F.col(label).cast("double")), "past")
+    new = cut(cast(rows), "new")
     for (value,) in past.select(apart).distinct().collect():  # the dates of the requests
         train = past.where((F.col(apart) == F.lit(value)) & F.col("__label").isNotNull())
         prepared = preparation(train, features).fit(train)
-        seen, fresh = prepared.transform(train), prepared.transform(new.where(F.col(apart) == F.lit(value)))
+        # estimators pass over these many times, but only until they are fitted
+        seen = prepared.transform(train).select("__features", "__label").persist()
+        fresh = prepared.transform(new.where(F.col(apart) == F.lit(value)))
+        fresh = cut(fresh.select(*keys, row_id, "__features"), "fresh")
         for model in models:
             try:
                 fitted = model.estimator().fit(seen)
             except Exception:  # noqa: BLE001 - any failure of an estimator only drops that candidate
                 continue
-            out = out.unionByName(
-                fitted.transform(fresh).select(*keys, row_id, F.lit(model.name).alias("model"), F.col("pred").cast("double"))
-            )
+            pred = fitted.transform(fresh).select(*keys, row_id, F.lit(model.name).alias("model"), F.col("pred").cast("double"))
+            out = out.unionByName(pred)
+        seen.unpersist()
     return out
