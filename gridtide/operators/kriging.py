@@ -40,6 +40,8 @@ def solve(xy: np.ndarray, values: np.ndarray) -> list[tuple[float, float, float,
     The scales are those of highest likelihood among `SCALES`; one factorisation serves all
     columns, and small systems are factorised for many scales at once.
     """
+    if not (np.isfinite(xy).all() and np.isfinite(values).all()):
+        raise ValueError("a sample is not a finite number")
     n, width = values.shape
     extent = np.maximum(np.ptp(xy, axis=0), 1e-6)
     gap = (xy[:, None, :] - xy[None, :, :]) ** 2
@@ -61,6 +63,8 @@ def solve(xy: np.ndarray, values: np.ndarray) -> list[tuple[float, float, float,
             if fit[s, j] > best[j][0]:
                 weights = np.linalg.solve(half[s].T, rest[s, :, j])
                 best[j] = (fit[s, j], (float(trend[s, j]), *map(float, scales[s]), weights))
+    if any(b[1] is None for b in best):
+        raise np.linalg.LinAlgError("no length scale gives a solvable system")
     return [b[1] for b in best]
 
 
