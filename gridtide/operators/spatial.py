@@ -89,44 +89,40 @@ def eval_grid(boxes: DataFrame, key: str, cell_km: float = 10, dense: int = 100)
     )
 
 
-def _reach(level: int, lat: Column) -> Column:
+# Expressions on cells are SQL text: one call each instead of one per node of the expression.
+
+
+def _reach(level: int, lat: str) -> str:
     """Kilometres around a point that the 3 x 3 cells about it cover for certain."""
     if level == 0:
-        return F.lit(math.inf)
+        return "double('infinity')"
     size = math.radians(360 / 2**level)
-    east_west = F.asin(F.greatest(F.lit(0.0), F.cos(F.radians(lat))) * math.sin(min(size, math.pi / 2)))
-    return F.least(F.lit(size), east_west) * F.lit(EARTH_RADIUS["km"] * (1 - 1e-9))
+    east_west = f"asin(greatest(0D, cos(radians({lat}))) * {math.sin(min(size, math.pi / 2))!r}D)"
+    return f"least({size!r}D, {east_west}) * {EARTH_RADIUS['km'] * (1 - 1e-9)!r}D"
 
 
-def _cell(level: int, lon: Column, lat: Column) -> tuple[Column, Column]:
+def _cell(level: int, lon: str, lat: str) -> tuple[str, str]:
     n = 2**level
-    x = F.pmod(F.floor((lon + 180) * (n / 360)), F.lit(n))
-    return x.cast("int"), F.floor((lat + 90) * (n / 360)).cast("int")
+    return f"floor(({lon} + 180) * {n / 360!r}D) % {n}", f"floor(({lat} + 90) * {n / 360!r}D)"
 
 
-def _cells_around(level: int, lon: Column, lat: Column) -> Column:
+def _cells_around(level: int, lon: str, lat: str) -> str:
+    """Array of (level, cx, cy): the cell of a point and its neighbours, round the globe."""
     x, y = _cell(level, lon, lat)
-    if level == 0:
-        return F.array(F.struct(F.lit(0).alias("level"), x.alias("cx"), y.alias("cy")))
-    return F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("level"),
-                F.pmod(x + dx, F.lit(2**level)).cast("int").alias("cx"),
-                (y + dy).cast("int").alias("cy"),
-            )
-            for dx in (-1, 0, 1)
-            for dy in (-1, 0, 1)
-        ]
+    steps = "array(-1, 0, 1)" if level else "array(0)"
+    return (
+        f"flatten(transform({steps}, dx -> transform({steps}, dy -> named_struct("
+        f"'level', {level}, 'cx', int(pmod({x} + dx, {2**level})), 'cy', int({y} + dy)))))"
     )
 
 
 def _point_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) -> DataFrame:
-    own = []
-    for level in levels:
-        x, y = _cell(level, F.col(lon), F.col(lat))
-        own.append(F.struct(F.lit(level).alias("level"), x.alias("cx"), y.alias("cy")))
-    return points.select("*", F.explode(F.array(*own)).alias("cell")).select(*points.columns, "cell.*")
+    own = ", ".join(
+        f"named_struct('level', {level}, 'cx', int(pmod({x}, {2**level})), 'cy', int({y}))"
+        for level in levels
+        for x, y in [_cell(level, lon, lat)]
+    )
+    return points.selectExpr("*", f"explode(array({own})) AS cell").select(*points.columns, "cell.*")
 
 
 def pairs_within(
@@ -140,15 +136,13 @@ def pairs_within(
 
     Every centre searches the finest grid whose neighbouring cells cover its radius.
     """
-    lon, lat = F.col(centre_at[0]), F.col(centre_at[1])
-    search = reduce(
-        lambda picked, level: picked.when(F.col(radius) <= _reach(level, lat), _cells_around(level, lon, lat)),
-        LEVELS[1:-1],
-        F.when(F.col(radius) <= _reach(LEVELS[0], lat), _cells_around(LEVELS[0], lon, lat)),
-    ).otherwise(_cells_around(0, lon, lat))
-    probes = centres.select("*", F.explode(search).alias("cell")).select(*centres.columns, "cell.*")
+    finest = " ".join(
+        f"WHEN `{radius}` <= {_reach(level, centre_at[1])} THEN {_cells_around(level, *centre_at)}"
+        for level in LEVELS
+    )
+    probes = centres.selectExpr("*", f"explode(CASE {finest} END) AS cell").select(*centres.columns, "cell.*")
     near = probes.join(_point_cells(points, *point_at, LEVELS), ["level", "cx", "cy"])
-    dist = haversine(lat, lon, F.col(point_at[1]), F.col(point_at[0]))
+    dist = haversine(*[F.col(c) for c in (*centre_at[::-1], *point_at[::-1])])
     return (
         near.withColumn("dist_km", dist)
         .where(F.col("dist_km") <= F.col(radius))
@@ -171,16 +165,15 @@ def ring_radius(
     That distance is looked for in ever larger cells; a centre leaves the search when its radius is
     covered by the cells it saw. Centres with fewer further points than asked for take them all.
     """
-    lon, lat = F.col(centre_at[0]), F.col(centre_at[1])
     keys = [key, *centre_at, "r0"]
+    dist = haversine(*[F.col(c) for c in (*centre_at[::-1], *point_at[::-1])])
     waiting = centres.select(*keys)
     done: list[DataFrame] = []
     for level in LEVELS:
-        probes = waiting.select(*keys, F.explode(_cells_around(level, lon, lat)).alias("cell")).select(
-            *keys, "cell.*"
-        )
+        around = f"explode({_cells_around(level, *centre_at)}) AS cell"
+        probes = waiting.selectExpr("*", around).select(*keys, "cell.*")
         seen = probes.join(_point_cells(points, *point_at, [level]), ["level", "cx", "cy"]).select(
-            *keys, haversine(lat, lon, F.col(point_at[1]), F.col(point_at[0])).alias("d")
+            *keys, dist.alias("d")
         )
         # `row_number() <= k` is also applied before the shuffle, so a crowded cell stays cheap
         beyond = seen.where(F.col("d") > F.col("r0")).selectExpr(
@@ -191,7 +184,7 @@ def ring_radius(
         tried = waiting.join(last, key, "left").withColumn("radius_km", radius.cast("double"))
         if level == 0:
             tried = tried.withColumn("radius_km", F.coalesce("radius_km", F.lit(math.inf)))
-        settled = F.coalesce(F.col("radius_km") <= _reach(level, lat), F.lit(False))
+        settled = F.expr(f"coalesce(radius_km <= {_reach(level, centre_at[1])}, false)")
         tried = cut(tried.withColumn("settled", settled), "radius")
         done.append(tried.where("settled").select(key, "radius_km"))
         waiting = tried.where("not settled").select(*keys)

@@ -34,23 +34,23 @@ def parse_requests(df: DataFrame, json_col: str = "value", id_col: str | None =
     listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     items = F.from_json(listed, "array<string>")
     rows = df.select(doc.alias("doc"), F.col(json_col).alias("doc_text"), F.posexplode_outer(items).alias("n", "item"))
-    fields = F.from_json("item", "struct<" + ",".join(f"`{f}`:string" for f in FIELDS) + ">")
+    # json_tuple is a generator: each request is parsed once, however often its fields are used
     rows = rows.select(
         F.concat_ws(":", "doc", F.coalesce("n", F.lit(0))).alias("request_id"),
         F.coalesce("item", "doc_text").alias("request"),
         F.col("n").isNull().alias("unreadable"),
-        fields.alias("f"),
+        F.json_tuple("item", *FIELDS).alias(*[f"f_{f}" for f in FIELDS]),
     )
     typed = rows.select(
         "request_id",
         "request",
         "unreadable",
-        F.lower("f.algorithm").alias("algorithm"),
-        F.col("f.conjunto").alias("conjunto"),
-        to_int(F.col("f.pred_year")).cast("int").alias("y"),
-        to_int(F.col("f.pred_month")).cast("int").alias("m"),
-        to_int(F.col("f.months_ahead")).cast("int").alias("h"),
-        to_float(F.col("f.us_services")).alias("us_services"),
+        F.lower("f_algorithm").alias("algorithm"),
+        F.col("f_conjunto").alias("conjunto"),
+        to_int(F.col("f_pred_year")).cast("int").alias("y"),
+        to_int(F.col("f_pred_month")).cast("int").alias("m"),
+        to_int(F.col("f_months_ahead")).cast("int").alias("h"),
+        to_float(F.col("f_us_services")).alias("us_services"),
     )
     suggestion, prediction = F.col("algorithm") == SUGGESTION, F.col("algorithm") == PREDICTION
     reason = (
