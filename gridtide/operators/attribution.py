@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.numbers import exact, ratio
@@ -25,12 +27,6 @@ SERVICES = ("poda", "faixa", "estruturas")
 TOTAL = "total"
 
 
-def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(
-        [(g, t, s, w) for g, t, s, w in rules], "r_group string, r_tag string, service string, w string"
-    ).select("r_group", "r_tag", "service", F.col("w").cast("decimal(4,2)").alias("weight"))
-
-
 def with_cause(
     events: DataFrame,
     causes: DataFrame,
@@ -59,45 +55,59 @@ def attribute(
 ) -> DataFrame:
     """(keys, period, service, cnt, chi); service `total` counts every event.
 
-    Per cell (cause group and tag) distinct ids are counted, weighted and cut to a whole number;
-    the cells of a service are then added. `periods` is an array column: an event counts in each
-    period listed there.
+    Per rule, distinct ids are counted, weighted and cut to a whole number; the rules of a service
+    are then added. `periods` is an array column: an event counts in each period listed there.
 
-    Ids are reduced per (keys, cell, id) first. That shuffle is spread by id, so a key with a
-    large part of all events does not end in one task; what follows is one row per cell.
+    Events are reduced to one row per (keys, period, id) first, with one sum per rule. That shuffle
+    is spread by id, so a key with a large part of all events does not end in one task; after it
+    only counters are left. The rules are a short literal list: conditions, not a join.
     """
-    spark = events.sparkSession
-    ruled = events.join(
-        F.broadcast(rules_table(spark, rules)),  # a literal list of a few rows
-        (F.col(group) == F.col("r_group")) & (F.col("r_tag").isNull() | (F.col(tag) == F.col("r_tag"))),
-        "left",
-    )
-    whole_cell = F.struct(
-        F.lit(TOTAL).alias("service"),
-        F.lit(None).cast("string").alias("c_group"),
-        F.lit(None).cast("string").alias("c_tag"),
-        F.lit(1).cast("decimal(4,2)").alias("weight"),
-    )
-    rule_cell = F.struct("service", F.col("r_group").alias("c_group"), F.col("r_tag").alias("c_tag"), "weight")
-    cells = F.when(F.col("service").isNull(), F.array(whole_cell)).otherwise(F.array(whole_cell, rule_cell))
-    rows = ruled.select(
+    rules = list(rules)
+    met = [
+        (F.col(group) == g) if t is None else (F.col(group) == g) & (F.col(tag) == t) for g, t, _s, _w in rules
+    ]
+    rows = events.select(
         *keys,
-        F.explode(F.lit([""]) if periods is None else periods).alias("period"),
-        cells.alias("cells"),
+        (F.lit("") if periods is None else F.explode(periods)).alias("period"),
         F.col(id).alias("__id"),
         exact(F.col(value)).alias("__value"),
-    ).select(*keys, "period", F.explode("cells").alias("c"), "__id", "__value")
-    rows = rows.select(*keys, "period", "c.*", "__id", "__value")
-
-    cell = [*keys, "period", "service", "c_group", "c_tag", "weight"]
-    per_id = rows.groupBy(*cell, "__id").agg(F.sum("__value").alias("__value"))
-    per_cell = per_id.groupBy(*cell).agg(F.count("__id").alias("n"), F.sum("__value").alias("__value"))
-    counted = (F.col("n") * F.col("weight").cast("double")).cast("bigint")
-    weighted = F.col("__value").cast("decimal(30,6)") * F.col("weight")
-    out = per_cell.groupBy(*keys, "period", "service").agg(
-        F.sum(counted).alias("cnt"),
-        F.coalesce(F.sum(weighted).cast("double"), F.lit(0.0)).alias("chi"),
+        *[m.alias(f"__met{i}") for i, m in enumerate(met)],
+    )
+    span = [*keys, "period"]
+    numbers = range(len(rules))
+    per_id = rows.groupBy(*span, "__id").agg(
+        F.sum("__value").alias("__value"),
+        *[F.max(f"__met{i}").alias(f"__met{i}") for i in numbers],
+        *[F.sum(F.when(F.col(f"__met{i}"), F.col("__value"))).alias(f"__value{i}") for i in numbers],
     )
+    wide = per_id.groupBy(*span).agg(
+        F.count("__id").alias("__n"),
+        F.sum("__value").alias("__value"),
+        *[F.max(f"__met{i}").alias(f"__met{i}") for i in numbers],
+        *[F.count(F.when(F.col(f"__met{i}"), F.col("__id"))).alias(f"__n{i}") for i in numbers],
+        *[F.sum(f"__value{i}").alias(f"__value{i}") for i in numbers],
+    )
+
+    def chi(c: str, weight: str) -> Column:
+        return F.coalesce(F.col(c).cast("decimal(30,6)") * F.lit(weight).cast("decimal(4,2)"), F.lit(0))
+
+    def line(service: str, cnt: Column, amount: Column, known: Column) -> Column:
+        return F.struct(
+            F.lit(service).alias("service"),
+            cnt.cast("bigint").alias("cnt"),
+            amount.cast("double").alias("chi"),
+            known.alias("known"),
+        )
+
+    lines = [line(TOTAL, F.col("__n"), F.coalesce(F.col("__value"), F.lit(0)), F.lit(True))]
+    for service in dict.fromkeys(r[2] for r in rules):
+        own = [(i, r[3]) for i, r in enumerate(rules) if r[2] == service]
+        counts = [(F.col(f"__n{i}") * F.lit(float(w))).cast("bigint") for i, w in own]
+        amounts = [chi(f"__value{i}", w) for i, w in own]
+        known = [F.coalesce(F.col(f"__met{i}"), F.lit(False)) for i, _w in own]
+        lines.append(line(service, reduce(add, counts), reduce(add, amounts), reduce(or_, known)))
+    out = wide.select(*span, F.explode(F.array(*lines)).alias("l")).where("l.known")
+    out = out.select(*span, "l.service", "l.cnt", "l.chi")
     return out if periods is not None else out.drop("period")
 
 

@@ -46,10 +46,11 @@ def outage_periods(when: Column, asof: Column) -> Column:
     """The periods an outage counts in: the 12 months before `asof`, and a year before its year."""
     trailing = within(when, F.add_months(asof, -YEAR), asof)
     back = years_back(when, asof)
-    names = F.array(
-        F.when(trailing, F.lit(TRAILING)), F.when(back.between(1, 3), back.cast("string"))
+    year = F.when(back.between(1, 3), back.cast("string"))
+    both = F.array(F.lit(TRAILING), year)
+    return F.when(trailing, F.when(year.isNull(), F.array(F.lit(TRAILING))).otherwise(both)).when(
+        year.isNotNull(), F.array(year)
     )
-    return F.array_compact(names)
 
 
 def attributed_outages(outages: DataFrame, causes: DataFrame, feeders: DataFrame) -> DataFrame:
