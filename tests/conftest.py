@@ -12,9 +12,9 @@ from gridtide.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
