@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.functions.numbers import exact, half_even
 from gridtide.functions.text import comma_decimal, feeder_code, plain_columns, plain_text, quantity
@@ -20,7 +22,7 @@ PRIORITIES = ("U", "A", "B", "C")
 OPEN_STATUS = "PR"
 FIRST_PASS = ("U", "A")
 
-# A group of up to this many candidates is walked item by item inside one aggregate.
+# A group of up to this many candidates is walked item by item.
 FOLD_LIMIT = 10_000
 # Rows per range of a larger group.
 CHUNK_ROWS = 500_000
@@ -73,24 +75,36 @@ def greedy_pick(
     return picked.select(*groups, *order, F.col("cost").alias(cost))
 
 
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def _fits(costs: pd.Series, left: pd.Series) -> pd.Series:
+    """Whether each cost fits when its turn comes. An array is walked once; a fold in SQL would copy
+    the list of taken items for every item."""
+    out = []
+    for line, rest in zip(costs, left, strict=True):
+        flags = []
+        for cost in line.tolist():
+            fits = cost <= rest
+            if fits:
+                rest -= cost
+            flags.append(fits)
+        out.append(flags)
+    return pd.Series(out, dtype=object)
+
+
 def _walk(items: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    """Item-by-item walk of groups of bounded size."""
-    line = F.sort_array(F.collect_list(F.struct(*order, "cost")))
-    gathered = items.groupBy(*groups).agg(line.alias("line"), F.max("left").alias("left"))
-    line_type = gathered.schema["line"].dataType.simpleString()
-    start = F.struct(F.col("left").alias("left"), F.array().cast(line_type).alias("taken"))
-
-    def step(state, item):
-        fits = item["cost"] <= state["left"]
-        return F.struct(
-            F.when(fits, (state["left"] - item["cost"]).cast("decimal(24,6)"))
-            .otherwise(state["left"])
-            .alias("left"),
-            F.when(fits, F.concat(state["taken"], F.array(item))).otherwise(state["taken"]).alias("taken"),
-        )
+    """Item-by-item walk of groups of bounded size, in millionths of a unit."""
+    gathered = items.groupBy(*groups).agg(
+        F.sort_array(F.collect_list(F.struct(*order, "cost"))).alias("line"),
+        # more than the sum of all costs is as good as the sum
+        F.least(F.max("left"), F.sum("cost")).alias("left"),
+    )
+
+    def units(c: Column) -> Column:
+        return (c * 1_000_000).cast("bigint")
 
-    taken = F.aggregate("line", start, step, lambda state: state["taken"])
-    return gathered.select(*groups, F.explode(taken).alias("t")).select(*groups, "t.*")
+    fits = _fits(F.transform("line", lambda item: units(item["cost"])), units(F.col("left")))
+    pairs = gathered.select(*groups, F.explode(F.arrays_zip("line", fits.alias("fits"))).alias("p"))
+    return pairs.where("p.fits").select(*groups, "p.line.*")
 
 
 def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fold_limit: int) -> DataFrame:

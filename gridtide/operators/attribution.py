@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.functions.numbers import exact, ratio
+from gridtide.functions.numbers import ratio
 from gridtide.functions.text import plain_text
 
 # Cause group (text after clean-up, spelling as stored), urban/rural tag (None: the
@@ -25,6 +25,7 @@ RULES = [
 ]
 SERVICES = ("poda", "faixa", "estruturas")
 TOTAL = "total"
+MILLION = 1_000_000
 
 
 def with_cause(
@@ -56,7 +57,8 @@ def attribute(
     """(keys, period, service, cnt, chi); service `total` counts every event.
 
     Per rule, distinct ids are counted, weighted and cut to a whole number; the rules of a service
-    are then added. `periods` is an array column: an event counts in each period listed there.
+    are then added. Amounts are summed in millionths, as whole numbers, so that order does not
+    matter; a sum beyond 9e12 is an error. `periods` is an array column: an event counts in each period listed there.
 
     Events are reduced to one row per (keys, period, id) first, with one sum per rule. That shuffle
     is spread by id, so a key with a large part of all events does not end in one task; after it
@@ -66,30 +68,37 @@ def attribute(
     met = [
         (F.col(group) == g) if t is None else (F.col(group) == g) & (F.col(tag) == t) for g, t, _s, _w in rules
     ]
+    bits = [F.when(m, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, m in enumerate(met)]
     rows = events.select(
         *keys,
         (F.lit("") if periods is None else F.explode(periods)).alias("period"),
         F.col(id).alias("__id"),
-        exact(F.col(value)).alias("__value"),
-        *[m.alias(f"__met{i}") for i, m in enumerate(met)],
+        F.round(F.col(value).cast("double") * MILLION).cast("bigint").alias("__value"),
+        reduce(add, bits, F.lit(0).cast("bigint")).alias("__met"),
     )
     span = [*keys, "period"]
     numbers = range(len(rules))
+
+    def under(i: int, c: str) -> Column:
+        """`c` where rule `i` is met."""
+        return F.when(F.col("__met").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.col(c))
+
     per_id = rows.groupBy(*span, "__id").agg(
         F.sum("__value").alias("__value"),
-        *[F.max(f"__met{i}").alias(f"__met{i}") for i in numbers],
-        *[F.sum(F.when(F.col(f"__met{i}"), F.col("__value"))).alias(f"__value{i}") for i in numbers],
+        F.bit_or("__met").alias("__met"),
+        *[F.sum(under(i, "__value")).alias(f"__value{i}") for i in numbers],
     )
     wide = per_id.groupBy(*span).agg(
         F.count("__id").alias("__n"),
         F.sum("__value").alias("__value"),
-        *[F.max(f"__met{i}").alias(f"__met{i}") for i in numbers],
-        *[F.count(F.when(F.col(f"__met{i}"), F.col("__id"))).alias(f"__n{i}") for i in numbers],
+        F.bit_or("__met").alias("__met"),
+        *[F.count(under(i, "__id")).alias(f"__n{i}") for i in numbers],
         *[F.sum(f"__value{i}").alias(f"__value{i}") for i in numbers],
     )
 
     def chi(c: str, weight: str) -> Column:
-        return F.coalesce(F.col(c).cast("decimal(30,6)") * F.lit(weight).cast("decimal(4,2)"), F.lit(0))
+        amount = F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
+        return amount * F.lit(weight).cast("decimal(4,2)")
 
     def line(service: str, cnt: Column, amount: Column, known: Column) -> Column:
         return F.struct(
@@ -99,13 +108,13 @@ def attribute(
             known.alias("known"),
         )
 
-    lines = [line(TOTAL, F.col("__n"), F.coalesce(F.col("__value"), F.lit(0)), F.lit(True))]
+    lines = [line(TOTAL, F.col("__n"), chi("__value", "1"), F.lit(True))]
     for service in dict.fromkeys(r[2] for r in rules):
         own = [(i, r[3]) for i, r in enumerate(rules) if r[2] == service]
         counts = [(F.col(f"__n{i}") * F.lit(float(w))).cast("bigint") for i, w in own]
         amounts = [chi(f"__value{i}", w) for i, w in own]
-        known = [F.coalesce(F.col(f"__met{i}"), F.lit(False)) for i, _w in own]
-        lines.append(line(service, reduce(add, counts), reduce(add, amounts), reduce(or_, known)))
+        mask = F.lit(sum(1 << i for i, _w in own)).cast("bigint")
+        lines.append(line(service, reduce(add, counts), reduce(add, amounts), F.col("__met").bitwiseAND(mask) != 0))
     out = wide.select(*span, F.explode(F.array(*lines)).alias("l")).where("l.known")
     out = out.select(*span, "l.service", "l.cnt", "l.chi")
     return out if periods is not None else out.drop("period")
