@@ -112,9 +112,6 @@ def _(data):
 
 # A feeder's share and its gap to the goal, derived from its customers.
 FORECAST = """
-, fc AS (SELECT sigla_conjunto AS conjunto, alimentador AS feeder, n * 1.0 / sum(n) OVER (PARTITION BY sigla_conjunto) AS effect_raw,
-           CASE WHEN alimentador % 7 = 0 THEN NULL ELSE CAST((n % 11) - 5 AS DOUBLE) / 10 END AS delta
-         FROM feeder_set JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) ON c_nationkey = alimentador)
 , effects AS (SELECT conjunto, feeder, delta, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) AS effect FROM (
      SELECT sigla_conjunto AS conjunto, alimentador AS feeder, n, sum(n) OVER (PARTITION BY sigla_conjunto) AS total,
             CASE WHEN alimentador % 7 = 0 THEN NULL ELSE CAST((n % 11) - 5 AS DOUBLE) / 10 END AS delta
@@ -195,16 +192,49 @@ def _(data):
     return assign_month(tasks, forecast(data, F.lit(False)), wallets(data), key="conjunto")[1]
 
 
-@check("I5_months_in_a_chain")
+def month_sql(m: int) -> str:
+    """One month for all sets: budgets `us{m}`, open tasks `open{m}`; gives `picks{m}` and `us{m + 1}`."""
+    return f"""
+, shares{m} AS (SELECT f.conjunto, f.feeder, delta, (length(f.conjunto) + {m}) % 2 = 0 AS by_feeder,
+     CASE WHEN (length(f.conjunto) + {m}) % 2 = 0 THEN concat(f.conjunto, ':', f.feeder) ELSE f.conjunto END AS wallet,
+     CAST(CASE WHEN (length(f.conjunto) + {m}) % 2 = 0 THEN round_even(effect * us, 3) ELSE us END AS DECIMAL(24,6)) AS budget
+   FROM effects f JOIN us{m} u ON f.conjunto = u.conjunto)
+, items{m} AS (SELECT s.wallet, s.conjunto, o.feeder, idservico, us, budget, row_number() OVER (PARTITION BY s.wallet
+     ORDER BY CASE WHEN by_feeder OR prio <= 2 THEN 0 ELSE 1 END, delta NULLS LAST, o.feeder, prio, date_time, idservico) AS rn
+   FROM open{m} o JOIN shares{m} s ON o.feeder = s.feeder)
+, walk{m} AS (
+  SELECT wallet, CAST(0 AS BIGINT) AS rn, CAST(max(budget) AS DECIMAL(24,6)) AS remaining, FALSE AS taken FROM items{m} GROUP BY wallet
+  UNION ALL
+  SELECT i.wallet, i.rn, CAST(CASE WHEN i.us <= w.remaining THEN w.remaining - i.us ELSE w.remaining END AS DECIMAL(24,6)), i.us <= w.remaining
+  FROM walk{m} w JOIN items{m} i ON i.wallet = w.wallet AND i.rn = w.rn + 1)
+, picks{m} AS (SELECT i.* FROM items{m} i JOIN walk{m} w ON w.wallet = i.wallet AND w.rn = i.rn WHERE taken)
+, open{m + 1} AS (SELECT * FROM open{m} WHERE idservico NOT IN (SELECT idservico FROM picks{m}))
+, us{m + 1} AS (SELECT conjunto, CAST(sum(budget - coalesce(spent, 0)) AS DOUBLE) AS us FROM
+     (SELECT DISTINCT conjunto, wallet, budget FROM shares{m}) b LEFT JOIN (SELECT wallet, sum(us) AS spent FROM picks{m} GROUP BY wallet) p
+     ON b.wallet = p.wallet GROUP BY conjunto)
+"""
+
+
+@check(
+    "I5_months_in_a_chain",
+    ELIGIBLE
+    + FORECAST
+    + f", us1 AS (SELECT r_name AS conjunto, CAST({US} AS DOUBLE) AS us FROM region), open1 AS (SELECT * FROM eligible) "
+    + "".join(map(month_sql, (1, 2, 3)))
+    + "/*recursive*/ "
+    + " UNION ALL ".join(
+        f"SELECT conjunto, feeder, idservico, CAST(us AS DOUBLE) AS us, {m} AS horizon FROM picks{m}" for m in (1, 2, 3)
+    ),
+    ("tasks", "feeder_set"),
+)
 def _(data):
-    """Two months; every other set has its goal covered in the first."""
-    both = []
-    for month in (1, 2):
-        covered = (F.ascii(F.col("conjunto")) + month) % 2 == 0
-        both.append(forecast(data, covered).withColumn("horizon", F.lit(month)))
-    picks = assign_tasks(
-        eligible(data).drop("pred_month"), both[0].unionByName(both[1]), wallets(data), 2, key="conjunto"
-    )
+    """Three months; in each, some sets have their goal covered and the others share the budget."""
+    months = []
+    for month in (1, 2, 3):
+        covered = (F.length("conjunto") + month) % 2 == 0
+        months.append(forecast(data, covered).withColumn("horizon", F.lit(month)))
+    plan = months[0].unionByName(months[1]).unionByName(months[2])
+    picks = assign_tasks(eligible(data).drop("pred_month"), plan, wallets(data), 3, key="conjunto")
     return picks.withColumn("us", F.col("us").cast("double"))
 
 
