@@ -193,12 +193,12 @@ def _(data):
 
 
 def month_sql(m: int) -> str:
-    """One month for all sets: budgets `us{m}`, open tasks `open{m}`; gives `picks{m}` and `us{m + 1}`."""
+    """One month for all sets: `plan`, budgets `us{m}` and tasks `open{m}` give `picks{m}` and `us{m + 1}`."""
     return f"""
-, shares{m} AS (SELECT f.conjunto, f.feeder, delta, (length(f.conjunto) + {m}) % 2 = 0 AS by_feeder,
-     CASE WHEN (length(f.conjunto) + {m}) % 2 = 0 THEN concat(f.conjunto, ':', f.feeder) ELSE f.conjunto END AS wallet,
-     CAST(CASE WHEN (length(f.conjunto) + {m}) % 2 = 0 THEN round_even(effect * us, 3) ELSE us END AS DECIMAL(24,6)) AS budget
-   FROM effects f JOIN us{m} u ON f.conjunto = u.conjunto)
+, shares{m} AS (SELECT f.conjunto, f.feeder, delta, by_feeder,
+     CASE WHEN by_feeder THEN concat(f.conjunto, ':', f.feeder) ELSE f.conjunto END AS wallet,
+     CAST(CASE WHEN by_feeder THEN round_even(effect * us, 3) ELSE us END AS DECIMAL(24,6)) AS budget
+   FROM plan f JOIN us{m} u ON f.conjunto = u.conjunto WHERE horizon = {m})
 , items{m} AS (SELECT s.wallet, s.conjunto, o.feeder, idservico, us, budget, row_number() OVER (PARTITION BY s.wallet
      ORDER BY CASE WHEN by_feeder OR prio <= 2 THEN 0 ELSE 1 END, delta NULLS LAST, o.feeder, prio, date_time, idservico) AS rn
    FROM open{m} o JOIN shares{m} s ON o.feeder = s.feeder)
@@ -219,6 +219,8 @@ def month_sql(m: int) -> str:
     "I5_months_in_a_chain",
     ELIGIBLE
     + FORECAST
+    + ", plan AS (SELECT conjunto, feeder, m AS horizon, effect, delta, (length(conjunto) + m) % 2 = 0 AS by_feeder "
+    + "FROM effects CROSS JOIN (VALUES (1), (2), (3)) v(m)) "
     + f", us1 AS (SELECT r_name AS conjunto, CAST({US} AS DOUBLE) AS us FROM region), open1 AS (SELECT * FROM eligible) "
     + "".join(map(month_sql, (1, 2, 3)))
     + "/*recursive*/ "

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import Data, check
 from catalog.aggregates import CAUSED, CAUSED_USES, EVENT_COLUMNS, UNIT_COLUMNS, UNITS
-from catalog.allocation import scaled_sql, volume_sql
+from catalog.allocation import ELIGIBLE, MONTHS, US, month_sql, scaled_sql, volume_sql
 from catalog.bindings import AHEAD, ASOF
 from catalog.modelling import FORECAST, FORECAST_USES, SQL_MODELS
 from catalog.relational import PANEL, PANEL_USES, goals, panel, text_dates
@@ -132,12 +132,34 @@ def _(data):
     return modes.select("conjunto", "horizon", F.col("by_feeder").cast("int").alias("by_feeder"))
 
 
-@check("J5_assigned_tasks")
+_ASSIGN = (
+    FORECAST
+    + ELIGIBLE
+    + f"""
+, totals AS (SELECT conjunto, horizon, CAST(sum(CAST(pred AS DECIMAL(24,6))) AS DOUBLE) AS set_pred FROM forecast GROUP BY conjunto, horizon)
+, plan AS (SELECT f.conjunto, f.cod_alim AS feeder, f.horizon, effect, round_even((goal_chi - pred) / nullif(goal_chi, 0), 2) AS delta,
+     chi_goal >= set_pred AS by_feeder FROM forecast f JOIN totals t ON f.conjunto = t.conjunto AND f.horizon = t.horizon
+     JOIN goals g ON f.conjunto = g.conjunto AND f.horizon = g.horizon)
+, us1 AS (SELECT r_name AS conjunto, CAST({US} AS DOUBLE) AS us FROM region), open1 AS (SELECT * FROM eligible)
+"""
+    + month_sql(1)
+    + month_sql(2)
+    + "/*recursive*/ "
+    + " UNION ALL ".join(
+        f"""SELECT concat('r:', conjunto) AS request_id, conjunto, p.feeder, p.idservico, {m} AS horizon, prioridade,
+            status_servico AS "status servico", CAST(us_servico AS DOUBLE) AS "us servico", CAST(date_time AS VARCHAR) AS date_time
+            FROM picks{m} p JOIN tasks t ON p.idservico = t.idservico"""
+        for m in (1, 2)
+    )
+)
+
+
+@check("J5_assigned_tasks", _ASSIGN, (*FORECAST_USES, "tasks", "feeder_set"))
 def _(data):
     made = forecast(panel(data), goals(data), SQL_MODELS)
-    asked = requests(data).drop("months_ahead").withColumn("us_services", F.lit(9000000.0))
+    asked = requests(data).drop("months_ahead").withColumn("us_services", F.lit(float(US)))
     tasks = data["tasks"].withColumnsRenamed({"status_servico": "status servico", "us_servico": "us servico"})
-    picked = assign(asked, made.rows, goals(data), tasks, 60)
+    picked = assign(asked, made.rows, goals(data), tasks, MONTHS)
     return text_dates(picked.withColumn("us servico", F.col("us servico").cast("double")))
 
 
