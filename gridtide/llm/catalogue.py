@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm.bpe import bpe_decode, bpe_encode
+from gridtide.llm.decontaminate import contamination
+from gridtide.llm.lines import drop_shared_lines
+from gridtide.llm.secrets import scan_secrets, span_text
+from gridtide.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +27,73 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+SQL["op2_decontamination"] = r"""
+WITH low AS (SELECT 'd' AS side, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+             UNION ALL
+             SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+  split AS (SELECT side, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+  wins AS (SELECT DISTINCT id AS item_id, array_to_string(w[s : s + 9], ' ') AS win, least(len(w), 10) AS n
+           FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM split WHERE side = 'b' AND len(w) > 0)),
+  lens AS (SELECT DISTINCT n FROM wins),
+  runs AS (SELECT id AS doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS win
+           FROM (SELECT id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s FROM split, lens WHERE side = 'd' AND len(w) >= n)),
+  hits AS (SELECT doc_id, s, wins.n, item_id FROM runs JOIN wins ON runs.win = wins.win AND runs.n = wins.n),
+  covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hits) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM split LEFT JOIN covered ON id = covered.doc_id LEFT JOIN items ON id = items.doc_id
+WHERE side = 'd'
+"""
+
+
+@query
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"), shingle=4, distance=4)
+    code = F.lower(F.lpad(F.hex("code"), 16, "0"))
+    return found.select("doc_id", code.alias("fingerprint"), "component_id")
+
+
+@query
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_shared_lines(table(spark, folder, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op5_line_dedup"] = """
+WITH lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos
+               FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+  keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+  shared AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(s.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (s.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared s ON keyed.key = s.key
+GROUP BY doc_id
+"""
+
+
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
