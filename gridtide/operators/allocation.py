@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, time, timedelta
+from decimal import localcontext
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,32 +79,29 @@ def greedy_pick(
 
 @F.pandas_udf(T.ArrayType(T.BooleanType()))
 def _fits(costs: pd.Series, left: pd.Series) -> pd.Series:
-    """Whether each cost fits when its turn comes. An array is walked once; a fold in SQL would copy
-    the list of taken items for every item."""
+    """Whether each cost fits when its turn comes, in exact decimals. An array is walked once; a fold
+    in SQL would copy the list of taken items for every item."""
     out = []
-    for line, rest in zip(costs, left, strict=True):
-        flags = []
-        for cost in line.tolist():
-            fits = cost <= rest
-            if fits:
-                rest -= cost
-            flags.append(fits)
-        out.append(flags)
+    with localcontext(prec=60):
+        for line, rest in zip(costs, left, strict=True):
+            flags = []
+            for cost in line:
+                fits = cost <= rest
+                if fits:
+                    rest -= cost
+                flags.append(fits)
+            out.append(flags)
     return pd.Series(out, dtype=object)
 
 
 def _walk(items: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    """Item-by-item walk of groups of bounded size, in millionths of a unit."""
+    """Item-by-item walk of groups of bounded size."""
     gathered = items.groupBy(*groups).agg(
         F.sort_array(F.collect_list(F.struct(*order, "cost"))).alias("line"),
         # more than the sum of all costs is as good as the sum
         F.least(F.max("left"), F.sum("cost")).alias("left"),
     )
-
-    def units(c: Column) -> Column:
-        return (c * 1_000_000).cast("bigint")
-
-    fits = _fits(F.transform("line", lambda item: units(item["cost"])), units(F.col("left")))
+    fits = _fits(F.col("line.cost"), F.col("left"))
     pairs = gathered.select(*groups, F.explode(F.arrays_zip("line", fits.alias("fits"))).alias("p"))
     return pairs.where("p.fits").select(*groups, "p.line.*")
 
@@ -212,10 +211,13 @@ def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fo
 def clean_inspections(raw: DataFrame) -> DataFrame:
     """Inspection tasks with plain column names, parsed numbers and times, and the feeder code."""
     df = plain_columns(raw)
-    day = F.coalesce(
-        F.col("data cadastro").try_cast("timestamp_ntz"),
-        F.try_to_timestamp(F.col("data cadastro").cast("string"), F.lit("d/M/yyyy")).cast("timestamp_ntz"),
-    )
+    if isinstance(df.schema["data cadastro"].dataType, T.StringType):
+        day = F.coalesce(
+            F.col("data cadastro").try_cast("timestamp_ntz"),
+            F.try_to_timestamp("data cadastro", F.lit("d/M/yyyy")).cast("timestamp_ntz"),
+        )
+    else:  # a stored date can be compared in the scan
+        day = F.col("data cadastro").cast("timestamp_ntz")
     return (
         df.withColumn("data cadastro", day)
         .withColumn("date_time", at_time(F.col("data cadastro"), F.col("hora do cadastro")))
@@ -250,6 +252,7 @@ def eligible_tasks(
     status: str = "status servico",
     cost: str = "us servico",
     asof: str = "pred_month",
+    day: str = "data cadastro",
 ) -> DataFrame:
     """Open tasks of the feeders registered in the `months` months up to `asof`, one row per
     feeder, id and further column of `feeders`, with `prio`, `date_time`, `idservico`, `us`.
@@ -257,12 +260,15 @@ def eligible_tasks(
     `feeders` has the columns `feeder`, `asof` and any keys to carry along.
     """
     extra = [c for c in feeders.columns if c != feeder]
-    # the span of all requests is one row; as a literal it reaches the scan of the tasks
+    # the span of all requests is one row; as a literal it reaches the scan of a stored day
     span = feeders.agg(F.min(F.add_months(asof, 1 - months)), F.max(asof)).first()
     if span[0] is None:
         known = tasks.where(F.lit(False))
     else:
         known = tasks.where(F.col(when).between(F.lit(span[0]), F.lit(span[1])))
+        if day in tasks.columns:
+            low, high = (datetime.combine(d, time()) for d in (span[0] - timedelta(days=1), span[1] + timedelta(days=1)))
+            known = known.where((F.col(day) >= F.lit(low).cast("timestamp_ntz")) & (F.col(day) < F.lit(high).cast("timestamp_ntz")))
     known = known.where((F.col(status) == OPEN_STATUS) & (F.col(cost) != 0)).select(
         F.col(feeder).alias("feeder"),
         F.col(id).alias("idservico"),
@@ -313,7 +319,8 @@ def assign_month(
         }
     )
     shares = cut(shares, "shares")
-    wallets = shares.select(key, "wallet", "budget").distinct()
+    own = F.when(F.col("by_feeder"), F.col("feeder")).alias("owner")
+    wallets = shares.select(key, "wallet", own, "budget").distinct()
     lines = eligible.join(
         shares.select(key, "feeder", "wallet", "by_feeder", "delta_chi_percent"), [key, "feeder"]
     ).withColumns(
@@ -323,14 +330,14 @@ def assign_month(
             "delta": F.coalesce(F.col("delta_chi_percent"), F.lit(0.0)),
         }
     )
-    picks = greedy_pick(lines, [key, "wallet"], ORDER, "us", wallets, fold_limit=fold_limit)
+    picks = greedy_pick(lines, [key, "wallet"], ORDER, "us", wallets.drop("owner"), fold_limit=fold_limit)
     picks = cut(picks.select(key, "wallet", "feeder", "idservico", "us"), "picks")
     spent = picks.groupBy(key, "wallet").agg(F.sum("us").alias("spent"))
     left = wallets.join(spent, [key, "wallet"], "left").withColumn(
         "left", (F.col("budget") - F.coalesce(F.col("spent"), F.lit(0))).cast("double")
     )
     if carry == "last":
-        after = left.groupBy(key).agg(F.max_by("left", "wallet").alias("us_services"))
+        after = left.groupBy(key).agg(F.max_by("left", F.struct("owner")).alias("us_services"))
     else:
         after = left.groupBy(key).agg(F.sum(exact(F.col("left"))).cast("double").alias("us_services"))
     return picks.drop("wallet"), cut(after, "budgets")

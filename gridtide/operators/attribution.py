@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import add
 
@@ -57,8 +58,9 @@ def attribute(
     """(keys, period, service, cnt, chi); service `total` counts every event.
 
     Per rule, distinct ids are counted, weighted and cut to a whole number; the rules of a service
-    are then added. Amounts are summed in millionths, as whole numbers, so that order does not
-    matter; a sum beyond 9e12 is an error. `periods` is an array column: an event counts in each period listed there.
+    are then added. Amounts are summed in millionths, as whole decimals, so that order does not
+    matter; only a sum beyond 1e17 is an error. `periods` is an array column: an event counts in each
+    period listed there.
 
     Events are reduced to one row per (keys, period, id) first, with one sum per rule. That shuffle
     is spread by id, so a key with a large part of all events does not end in one task; after it
@@ -73,7 +75,7 @@ def attribute(
         *keys,
         (F.lit("") if periods is None else F.explode(periods)).alias("period"),
         F.col(id).alias("__id"),
-        F.round(F.col(value).cast("double") * MILLION).cast("bigint").alias("__value"),
+        F.round(F.col(value).cast("double") * MILLION).cast("decimal(38,0)").alias("__value"),
         reduce(add, bits, F.lit(0).cast("bigint")).alias("__met"),
     )
     span = [*keys, "period"]
@@ -97,14 +99,15 @@ def attribute(
     )
 
     def chi(c: str, weight: str) -> Column:
-        amount = F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")
-        return amount * F.lit(weight).cast("decimal(4,2)")
+        """The weighted amount in hundredths of millionths; these widths keep every step exact."""
+        hundredths = F.lit(int(Decimal(weight) * 100)).cast("decimal(3,0)")
+        return F.coalesce(F.col(c), F.lit(0)).cast("decimal(23,0)") * hundredths
 
     def line(service: str, cnt: Column, amount: Column, known: Column) -> Column:
         return F.struct(
             F.lit(service).alias("service"),
             cnt.cast("bigint").alias("cnt"),
-            amount.cast("double").alias("chi"),
+            (amount.cast("decimal(29,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast("double").alias("chi"),
             known.alias("known"),
         )
 

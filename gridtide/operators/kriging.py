@@ -20,8 +20,7 @@ from gridtide.session import spread
 # Length scales tried, as multiples of the extent of the samples along each axis.
 SCALES = (0.1, 0.25, 0.5, 1.0, 2.0, 4.0)
 NUGGET = 1e-8
-# A dense system of more samples than this does not fit one task; it is reported, not solved.
-MAX_SAMPLES = 10_000
+BLOCK = 64
 
 SAMPLE = T.StructType([T.StructField(f, T.DoubleType()) for f in ("lon", "lat", "w")])
 FITTED = [
@@ -34,73 +33,124 @@ FITTED = [
 ]
 
 
+def _below(half: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solves `half @ x = right` for a lower triangle, block by block."""
+    x = right.copy()
+    for at in range(0, len(half), BLOCK):
+        rows = slice(at, at + BLOCK)
+        x[rows] -= half[rows, :at] @ x[:at]
+        x[rows] = np.linalg.solve(half[rows, rows], x[rows])
+    return x
+
+
+def _above(half: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solves `half.T @ x = right`, from the last block up."""
+    x = right.copy()
+    for at in reversed(range(0, len(half), BLOCK)):
+        rows, after = slice(at, at + BLOCK), slice(at + BLOCK, None)
+        x[rows] -= half[after, rows].T @ x[after]
+        x[rows] = np.linalg.solve(half[rows, rows].T, x[rows])
+    return x
+
+
 def solve(xy: np.ndarray, values: np.ndarray) -> list[tuple[float, float, float, np.ndarray]]:
     """Per column of `values`: trend, two length scales and the sample weights.
 
-    The scales are those of highest likelihood among `SCALES`; one factorisation serves all
-    columns, and small systems are factorised for many scales at once.
+    The scales are those of highest likelihood among `SCALES`. The covariance depends only on the
+    places, so one factorisation per pair of scales serves all columns.
     """
     if not (np.isfinite(xy).all() and np.isfinite(values).all()):
         raise ValueError("a sample is not a finite number")
     n, width = values.shape
     extent = np.maximum(np.ptp(xy, axis=0), 1e-6)
-    gap = (xy[:, None, :] - xy[None, :, :]) ** 2
+    gaps = [(xy[:, i, None] - xy[None, :, i]) ** 2 for i in (0, 1)]
     tried = np.array([(a, b) for a in SCALES for b in SCALES] if n > 1 else [(1.0, 1.0)]) * extent
     right = np.column_stack([np.ones(n), values])
-    best: list = [(-np.inf, None)] * width
-    step = max(1, 1_000_000 // (n * n))
-    for scales in (tried[i : i + step] for i in range(0, len(tried), step)):
-        k = np.exp(-0.5 * np.einsum("ijd,sd->sij", gap, 1 / scales**2)) + NUGGET * np.eye(n)
-        half = np.linalg.cholesky(k)
-        white = np.linalg.solve(half, np.broadcast_to(right, (len(scales), *right.shape)))
-        one, ys = white[:, :, 0], white[:, :, 1:]
-        trend = np.einsum("sn,snv->sv", one, ys) / (one**2).sum(axis=1)[:, None]
-        rest = ys - one[:, :, None] * trend[:, None, :]
-        spread = np.maximum((rest**2).mean(axis=1), 1e-300)
-        size = np.log(np.diagonal(half, axis1=1, axis2=2)).sum(axis=1)
-        fit = -0.5 * n * np.log(spread) - size[:, None]
-        for j, s in enumerate(fit.argmax(axis=0)):
-            if fit[s, j] > best[j][0]:
-                weights = np.linalg.solve(half[s].T, rest[s, :, j])
-                best[j] = (fit[s, j], (float(trend[s, j]), *map(float, scales[s]), weights))
-    if any(b[1] is None for b in best):
+
+    def factor(scales: np.ndarray) -> np.ndarray:
+        k = gaps[0] * (-0.5 / scales[0] ** 2)
+        k += gaps[1] * (-0.5 / scales[1] ** 2)
+        np.exp(k, out=k)
+        k[np.diag_indices(n)] += NUGGET
+        return np.linalg.cholesky(k)
+
+    def whitened(half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        white = _below(half, right)
+        one, ys = white[:, 0], white[:, 1:]
+        trend = one @ ys / (one @ one)
+        return trend, ys - one[:, None] * trend
+
+    fit = np.full((len(tried), width), -np.inf)
+    for i, scales in enumerate(tried):
+        half = factor(scales)
+        _trend, rest = whitened(half)
+        variance = np.maximum((rest**2).mean(axis=0), 1e-300)
+        fit[i] = -0.5 * n * np.log(variance) - np.log(np.diagonal(half)).sum()
+    if width and not np.isfinite(fit.max(axis=0)).all():
         raise np.linalg.LinAlgError("no length scale gives a solvable system")
-    return [b[1] for b in best]
+    out: list = [None] * width
+    best = fit.argmax(axis=0)
+    for i in np.unique(best):
+        half = factor(tried[i])
+        trend, rest = whitened(half)
+        own = np.flatnonzero(best == i)
+        weights = _above(half, rest[:, own])
+        for j, w in zip(own, weights.T, strict=True):
+            out[j] = (float(trend[j]), *map(float, tried[i]), w)
+    return out
 
 
 def fit_kriging(
-    samples: DataFrame, keys: Sequence[str], coords: tuple[str, str], values: Sequence[str]
+    samples: DataFrame,
+    keys: Sequence[str],
+    coords: tuple[str, str],
+    values: Sequence[str],
+    per: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key and variable: `trend, scale_lon, scale_lat, weights, error`.
 
-    A variable that is 0 at every sample is 0 everywhere and is not fitted. A group that cannot be
-    solved yields one row with `error` and no variable.
+    A variable that is 0 at every sample is 0 everywhere and is not fitted. A key that cannot be
+    solved yields one row with `error` and no variable. `per` names the keys that are worked on
+    together: their fields with samples at the same places share the factorisations.
     """
     keys, values, coords = list(keys), list(values), list(coords)
+    per = keys if per is None else list(per)
+    rest = [k for k in keys if k not in per]
     chosen = samples.select(*keys, *coords, *[F.col(v).cast("double") for v in values])
     schema = T.StructType([chosen.schema[k] for k in keys] + FITTED)
 
     def fit_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        # a fixed order, so that the result does not depend on how rows arrive
-        table = pdf[coords + values].to_numpy(float)
-        table = table[np.lexsort(table.T[::-1])]
-        xy, field = table[:, :2], table[:, 2:]
-        rows = []
-        try:
-            zero = (field == 0).all(axis=0)
-            fitted = iter(solve(xy, field[:, ~zero]) if not zero.all() else [])
-            for name, is_zero in zip(values, zero, strict=True):
-                if is_zero:
-                    rows.append((*key, name, 0.0, 1.0, 1.0, [], None))
-                    continue
-                trend, sx, sy, w = next(fitted)
-                weights = [{"lon": a, "lat": b, "w": c} for (a, b), c in zip(xy.tolist(), w.tolist(), strict=True)]
-                rows.append((*key, name, trend, sx, sy, weights, None))
-        except (np.linalg.LinAlgError, ValueError) as problem:
-            rows = [(*key, None, None, None, None, None, str(problem))]
+        rows, shared = [], {}
+        for other, part in pdf.groupby(rest, dropna=False) if rest else [((), pdf)]:
+            named = dict(zip(rest, other, strict=True)) | dict(zip(per, key, strict=True))
+            whole = tuple(named[k] for k in keys)
+            # a fixed order, so that the result does not depend on how rows arrive
+            table = part[coords + values].to_numpy(float)
+            table = table[np.lexsort(table.T[::-1])]
+            if not np.isfinite(table).all():
+                rows.append((*whole, None, None, None, None, None, "a sample is not a finite number"))
+                continue
+            shared.setdefault(table[:, :2].tobytes(), (table[:, :2], []))[1].append((whole, table[:, 2:]))
+        for xy, fields in shared.values():
+            zero = [(field == 0).all(axis=0) for _whole, field in fields]
+            try:
+                columns = np.column_stack([field[:, ~z] for (_whole, field), z in zip(fields, zero, strict=True)])
+                fitted = iter(solve(xy, columns) if columns.shape[1] else [])
+            except (np.linalg.LinAlgError, ValueError) as problem:
+                rows += [(*whole, None, None, None, None, None, str(problem)) for whole, _field in fields]
+                continue
+            places = xy.tolist()
+            for (whole, _field), z in zip(fields, zero, strict=True):
+                for name, is_zero in zip(values, z, strict=True):
+                    if is_zero:
+                        rows.append((*whole, name, 0.0, 1.0, 1.0, [], None))
+                        continue
+                    trend, sx, sy, w = next(fitted)
+                    weights = [{"lon": a, "lat": b, "w": c} for (a, b), c in zip(places, w.tolist(), strict=True)]
+                    rows.append((*whole, name, trend, sx, sy, weights, None))
         return pd.DataFrame(rows, columns=schema.names)
 
-    return spread(chosen, keys).groupBy(*keys).applyInPandas(fit_group, schema)
+    return spread(chosen, per).groupBy(*per).applyInPandas(fit_group, schema)
 
 
 def _sum(items: Column, value) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.operators.allocation import assign_tasks, eligible_tasks
+from gridtide.functions.numbers import exact
+from gridtide.operators.allocation import OPEN_STATUS, assign_tasks, eligible_tasks, priority_rank
 from gridtide.plans.forecast import set_totals
 from gridtide.plans.panel import RUN
 from gridtide.session import cut
@@ -55,7 +56,9 @@ def assign(
         )
     )
     feeders = cut(feeders, "feeders")
-    eligible = eligible_tasks(tasks, feeders.select("request_id", "feeder", "pred_month").distinct(), months)
+    eligible = cut(
+        eligible_tasks(tasks, feeders.select("request_id", "feeder", "pred_month").distinct(), months), "eligible"
+    )
     picks = assign_tasks(
         eligible.select("request_id", "feeder", "idservico", "prio", "date_time", "us"),
         feeders.drop("conjunto", "pred_month"),
@@ -63,5 +66,31 @@ def assign(
         months_ahead,
         carry=carry,
     )
-    named = picks.drop("us").join(requests.select("request_id", "conjunto"), "request_id")
-    return tasks.join(named, ["feeder", "idservico"])
+    task = ["request_id", "feeder", "idservico"]
+    named = picks.join(eligible.select(*task, "prio", "date_time"), task).join(
+        requests.select("request_id", "conjunto"), "request_id"
+    )
+    return _task_rows(tasks, named)
+
+
+def _task_rows(tasks: DataFrame, picks: DataFrame) -> DataFrame:
+    """One row per pick: of the rows with its feeder and id, that which was picked (the first of equal ones)."""
+    open_tasks = tasks.where(F.col("status servico") == OPEN_STATUS)
+    picked = picks.select(
+        "feeder",
+        "idservico",
+        "request_id",
+        "conjunto",
+        "horizon",
+        *[F.col(c).alias(f"picked_{c}") for c in ("prio", "date_time", "us")],
+    )
+    same = (
+        (F.col("date_time") == F.col("picked_date_time"))
+        & (exact(F.col("us servico")) == F.col("picked_us"))
+        & (priority_rank(F.col("prioridade")) == F.col("picked_prio"))
+    )
+    rows = open_tasks.join(picked, ["feeder", "idservico"]).where(same)
+    keys = ["feeder", "idservico", "request_id", "conjunto", "horizon"]
+    rest = [c for c in tasks.columns if c not in keys]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("task"))
+    return first.select("feeder", "idservico", *[F.col("task")[c].alias(c) for c in rest], *keys[2:])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.text import number_text, to_float, to_int
@@ -13,7 +13,7 @@ from gridtide.operators.allocation import clean_inspections
 from gridtide.operators.goals import goal_window, goals_long, monthly_goals
 from gridtide.plans.assign import MONTHS_AHEAD, assign
 from gridtide.plans.forecast import forecast
-from gridtide.plans.panel import build_panel, panel_with_weather, runs_of
+from gridtide.plans.panel import SERIES, build_panel, feeders_of, panel_with_weather, runs_of
 from gridtide.plans.suggest import suggest
 from gridtide.session import cut
 from gridtide.sources.tables import Tables
@@ -28,23 +28,33 @@ def parse_requests(df: DataFrame, json_col: str = "value", id_col: str | None =
 
     Valid rows: `request_id, algorithm, conjunto, pred_month` (first of the month), `months_ahead`,
     `us_services`. Rejects have `request_id`, the text and a reason; they never stop a batch.
+
+    Without `id_col` equal documents are one; with it, documents that share an id are rejected.
     """
-    doc = F.col(id_col).cast("string") if id_col else F.xxhash64(json_col).cast("string")
+    if id_col:
+        doc = F.col(id_col).cast("string")
+        same_id = F.count("*").over(Window.partitionBy(doc)) > 1
+    else:
+        df = df.select(json_col).distinct()
+        doc, same_id = F.sha2(json_col, 256), F.lit(False)
     text = F.get_json_object(json_col, "$.array")
     listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     items = F.from_json(listed, "array<string>")
-    rows = df.select(doc.alias("doc"), F.col(json_col).alias("doc_text"), F.posexplode_outer(items).alias("n", "item"))
+    df = df.select(doc.alias("doc"), same_id.alias("same_id"), json_col)
+    rows = df.select("doc", "same_id", F.col(json_col).alias("doc_text"), F.posexplode_outer(items).alias("n", "item"))
     # json_tuple is a generator: each request is parsed once, however often its fields are used
     rows = rows.select(
         F.concat_ws(":", "doc", F.coalesce("n", F.lit(0))).alias("request_id"),
         F.coalesce("item", "doc_text").alias("request"),
         F.col("n").isNull().alias("unreadable"),
+        "same_id",
         F.json_tuple("item", *FIELDS).alias(*[f"f_{f}" for f in FIELDS]),
     )
     typed = rows.select(
         "request_id",
         "request",
         "unreadable",
+        "same_id",
         F.lower("f_algorithm").alias("algorithm"),
         F.col("f_conjunto").alias("conjunto"),
         to_int(F.col("f_pred_year")).cast("int").alias("y"),
@@ -54,7 +64,8 @@ def parse_requests(df: DataFrame, json_col: str = "value", id_col: str | None =
     )
     suggestion, prediction = F.col("algorithm") == SUGGESTION, F.col("algorithm") == PREDICTION
     reason = (
-        F.when(F.col("unreadable"), "not readable")
+        F.when(F.col("same_id"), "the id of the document is repeated")
+        .when(F.col("unreadable"), "not readable")
         .when(~F.coalesce(suggestion | prediction, F.lit(False)), "unknown algorithm")
         .when(F.col("conjunto").isNull(), "conjunto is missing")
         .when(F.col("y").isNull(), "pred_year is missing or not a number")
@@ -98,6 +109,16 @@ class Results:
     errors: DataFrame
 
 
+def lost_feeders(asked: DataFrame, panel: DataFrame, errors: DataFrame) -> DataFrame:
+    """Feeders of the sets that the panel lacks and that no error accounts for yet."""
+    lost = asked.select(*SERIES).join(panel.select(*SERIES).distinct(), SERIES, "left_anti")
+    known = errors.where(F.col("month").isNull() & F.col("cod_alim").isNotNull())
+    lost = lost.withColumn("cod_alim", F.col("cod_alim").cast("string"))
+    lost = lost.join(known.where(F.col("conjunto").isNull()).select("cod_alim").distinct(), "cod_alim", "left_anti")
+    lost = lost.join(known.select(*SERIES).distinct(), SERIES, "left_anti")
+    return lost.select(*SERIES, F.lit("panel").alias("stage"), F.lit("no rows before the date").alias("reason"))
+
+
 def run_requests(
     tables: Tables,
     payloads: DataFrame,
@@ -114,7 +135,7 @@ def run_requests(
     valid = cut(valid, "requests")
     runs = cut(runs_of(valid), "runs")
     raw, members = tables.read("panel"), tables.read("feeder_set")
-    no_errors = "conjunto string, pred_month date, cod_alim string, stage string, reason string"
+    no_errors = "conjunto string, pred_month date, cod_alim string, month date, stage string, reason string"
     errors = tables.spark.createDataFrame([], no_errors)
     if "stations" in tables:
         points = tables.read("feeder_points")
@@ -122,14 +143,15 @@ def run_requests(
         panel, weather_errors = panel_with_weather(
             raw, members, runs, points, tables.read("stations"), tables.read("station_history")
         )
-        gone = weather_errors.where(F.col("month").isNull())
-        errors = errors.unionByName(gone.drop("month"), allowMissingColumns=True)
+        weather_errors = weather_errors.withColumn("cod_alim", F.col("cod_alim").cast("string"))
+        errors = errors.unionByName(weather_errors, allowMissingColumns=True)
     else:
         panel = build_panel(raw, members, runs)
     monthly = cut(monthly_goals(goals_long(tables.read("goals"))), "goals")
     goals = cut(goal_window(monthly, runs), "goal_window")
     made = forecast(panel, goals, models)
-    errors = errors.unionByName(made.errors.withColumn("cod_alim", F.col("cod_alim").cast("string")))
+    errors = errors.unionByName(made.errors.withColumn("cod_alim", F.col("cod_alim").cast("string")), allowMissingColumns=True)
+    errors = errors.unionByName(lost_feeders(feeders_of(runs, members), made.panel, errors), allowMissingColumns=True)
     no_goal = goals.where(F.col("chi_goal").isNull() & (F.col("horizon") >= 1)).select("conjunto", "pred_month").distinct()
     errors = errors.unionByName(
         no_goal.withColumns({"stage": F.lit("goals"), "reason": F.lit("a month has no goal")}),

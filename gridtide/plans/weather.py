@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.dates import month_of
-from gridtide.operators.kriging import MAX_SAMPLES, fit_kriging, predict_kriging
+from gridtide.operators.kriging import fit_kriging, predict_kriging
 from gridtide.operators.rows import complete_rows, first_per
 from gridtide.operators.series import fill_by_calendar_month, month_spine
 from gridtide.operators.spatial import bounding_boxes, grid_points, ring_neighbours
@@ -49,7 +49,6 @@ def interpolate_weather(
     key: str = "cod_alim",
     variables=WEATHER,
     axis_order: str = "lat_lon",
-    max_samples: int = MAX_SAMPLES,
 ) -> tuple[DataFrame, DataFrame]:
     """(key, month, variables) where stations have values, and (key, month, stage, reason) errors.
 
@@ -58,22 +57,23 @@ def interpolate_weather(
     wanted = points.join(spans.select(key), key, "left_semi")
     boxes = cut(bounding_boxes(wanted, key, axis_order=axis_order), "boxes")
     near = cut(ring_neighbours(boxes, stations, key, axis_order=axis_order), "near")
-    crowd = near.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > max_samples)
-    solvable = near.join(crowd, key, "left_anti").select(key, "station_code", "longitude", "latitude")
-    samples = station_samples(solvable, station_months(history, variables), spans, key)
-    fitted = cut(fit_kriging(samples, [key, "month"], ("longitude", "latitude"), variables), "fitted")
+    places = near.select(key, "station_code", "longitude", "latitude")
+    samples = station_samples(places, station_months(history, variables), spans, key)
+    fitted = cut(fit_kriging(samples, [key, "month"], ("longitude", "latitude"), variables, per=[key]), "fitted")
     grid = boxes.select(key, grid_points().alias("points"))
     values = predict_kriging(fitted, grid, [key, "month"], variables, [key])
     no_month = F.lit(None).cast("date").alias("month")
+    stage = F.lit("weather").alias("stage")
+    located = spans.select(key).join(boxes.select(key), key, "left_semi")
     errors = (
         fitted.where(F.col("error").isNotNull())
-        .select(key, "month", F.lit("weather").alias("stage"), F.col("error").alias("reason"))
+        .select(key, "month", stage, F.col("error").alias("reason"))
         .unionByName(
-            crowd.select(key, no_month, F.lit("weather").alias("stage"), F.lit("too many stations").alias("reason"))
+            spans.join(boxes, key, "left_anti").select(key, no_month, stage, F.lit("no coordinates").alias("reason"))
         )
         .unionByName(
-            spans.join(boxes, key, "left_anti").select(
-                key, no_month, F.lit("weather").alias("stage"), F.lit("no coordinates").alias("reason")
+            located.join(fitted.where(F.col("error").isNull()), key, "left_anti").select(
+                key, no_month, stage, F.lit("no station near has values").alias("reason")
             )
         )
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +26,19 @@ def build_session(name: str = "gridtide", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors, whose Python steps import it; once for a session."""
+    if not any(f.rpartition("/")[2].startswith("gridtide-") for f in spark.sparkContext.listFiles):
+        package = Path(__file__).resolve().parent
+        with tempfile.NamedTemporaryFile(prefix="gridtide-", suffix=".zip", delete=False) as file:
+            with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+                for source in sorted(package.rglob("*.py")):
+                    archive.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(file.name)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

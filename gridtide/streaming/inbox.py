@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridtide.plans import envelope
@@ -42,8 +43,9 @@ def serve(
     """
 
     def run(payloads: DataFrame, batch: int) -> None:
-        write_results(run_requests(tables(), payloads, **options), outbox, batch)
+        write_results(run_requests(tables(), payloads, id_col="file", **options), outbox, batch)
 
-    stream = spark.readStream.text(inbox, wholetext=True)
+    # a file is a document; its path tells equal ones apart
+    stream = spark.readStream.text(inbox, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

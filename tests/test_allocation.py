@@ -163,3 +163,11 @@ def test_clean_inspections(spark):
     assert first["date_time"] == dt.datetime(2020, 1, 31, 4, 5, 6) and (first.year, first.month) == (2020, 1)
     assert (first.feeder, first.descricao, first.quantidade, first["us servico"]) == ("S07", "arvore", 12, 3.5)
     assert (second.feeder, second["us servico"], first["descricao da causa"]) == ("S123", 0.0, "caida")
+
+
+def test_large_amounts_walked_and_jumped(spark):
+    """The answer does not depend on the size of a group."""
+    rows = [(1, k, 1e13) for k in range(5)] + [(2, 1, 3e13), (2, 2, 0.000001), (2, 3, 1e13)]
+    budgets = [(1, 3e13), (2, 3e13)]
+    walked = picked(spark, rows, budgets)
+    assert walked == picked(spark, rows, budgets, fold_limit=1, chunk_rows=2) == {(1, 0), (1, 1), (1, 2), (2, 1)}

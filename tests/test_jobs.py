@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -199,7 +202,61 @@ def test_tasks_by_hand(results):
 def test_what_was_not_served(results):
     assert [(r.request_id, r.conjunto) for r in results.ignored.collect()] == [("d:2", "EMPTY")]
     assert [r.request_id for r in results.rejects.collect()] == ["d:3"]
-    assert {(r.conjunto, r.stage) for r in results.errors.collect()} == {("EMPTY", "goals")}
+    assert {(r.conjunto, r.stage) for r in results.errors.collect()} == {("EMPTY", "goals"), ("EMPTY", "panel")}
+
+
+def test_equal_documents_count_once(spark, results):
+    """Without an id equal documents are one; documents that share an id are rejected."""
+    once = spark.createDataFrame([(json.dumps({"array": [SUGGEST, ASSIGN]}),)], "value string")
+    made = run_requests(domain(spark), once.union(once).union(once), COEFS, 6, models=["mean", "ols1"])
+    numbers = lambda r: sorted((x.cod_alim, x.chi_pred, x.chi_goal, x.chi_diff) for x in r.suggestions.collect())
+    assert numbers(made) == numbers(results)
+    tasks = lambda r: sorted((x.idservico, x.horizon, x.feeder) for x in r.tasks.collect())
+    assert tasks(made) == tasks(results)
+    twice = payload(spark, SUGGEST).union(payload(spark, ASSIGN))
+    valid, rejects = parse_requests(twice, id_col="id")
+    assert valid.count() == 0 and {r.reason for r in rejects.collect()} == {"the id of the document is repeated"}
+
+
+def test_repeated_task_rows_are_handed_out_once(spark, results):
+    """What is handed out never costs more than the budget, however often a row is there."""
+    tables = domain(spark)
+    names = ("panel", "feeder_set", "goals", "outages", "causes", "maintenance")
+    raw = tables.read("inspections")
+    closed = raw.withColumn("status servico", F.lit("EX")) if "status servico" in raw.columns else raw
+    repeated = Tables(spark, {**{n: tables.read(n) for n in names}, "inspections": raw.union(raw).union(closed)})
+    made = run_requests(repeated, payload(spark, ASSIGN), COEFS, 6, id_col="id", models=["mean", "ols1"])
+    got = made.tasks.collect()
+    assert sorted((r.idservico, r.horizon, r.feeder) for r in got) == sorted((r.idservico, r.horizon, r.feeder) for r in results.tasks.collect())
+    assert sum(r["us servico"] for r in got) <= 10
+    assert set(made.tasks.columns) == set(results.tasks.columns)
+
+
+def test_every_feeder_is_delivered_or_in_errors(spark):
+    tables = domain(spark)
+    names = ("panel", "goals", "outages", "causes", "maintenance", "inspections")
+    more = tables.read("feeder_set").union(spark.createDataFrame([("C", "GONE")], tables.read("feeder_set").schema))
+    made = run_requests(Tables(spark, {**{n: tables.read(n) for n in names}, "feeder_set": more}), payload(spark, SUGGEST), COEFS, 6, id_col="id", models=["mean"])
+    delivered = {r.cod_alim for r in made.suggestions.collect()}
+    assert delivered == {"S01", "S02"}
+    assert [(r.cod_alim, r.stage) for r in made.errors.where("cod_alim IS NOT NULL").collect()] == [("GONE", "panel")]
+
+
+def test_package_reaches_workers_from_another_folder(tmp_path):
+    """A session started elsewhere, with the package only on the driver's path."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from gridtide.session import build_session\n"
+        "spark = build_session('far', 'local[1]', **{'spark.checkpoint.dir': sys.argv[2], 'spark.sql.shuffle.partitions': '1'})\n"
+        "from gridtide.operators.kriging import fit_kriging\n"
+        "df = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (1, 1.0, 0.0, 2.0)], 'k int, x double, y double, v double')\n"
+        "print('fitted', fit_kriging(df, ['k'], ('x', 'y'), ['v']).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run([sys.executable, str(script), root, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "fitted 1" in done.stdout, done.stderr[-2000:]
 
 
 def test_run_with_weather(spark):

@@ -220,3 +220,13 @@ def test_cardinality(spark):
     got = {r.name: (r.n_distinct, r.high) for r in R.cardinality_split(df, ["a", "b"]).collect()}
     assert got == {"a": (12, True), "b": (1, False)}
     assert R.cardinality_split(df, []).count() == 0
+
+
+def test_large_outages(spark):
+    """Sums of amounts beyond nine digits of millionths stay exact."""
+    from gridtide.operators.attribution import attribute
+
+    rows = [("f", k, 5e12, "70% arvore / 30% outros", "U") for k in range(3)] + [("f", 9, 0.000001, "arvore", "U")]
+    events = spark.createDataFrame(rows, "cod_alim string, id_interrupcao long, chi_tot double, grupo string, tag_urb_rur string")
+    got = {r.service: (r.cnt, r.chi) for r in attribute(events, ["cod_alim"]).collect()}
+    assert got == {"total": (4, 1.5e13 + 0.000001), "poda": (3, 1.05e13 + 0.000001)}

@@ -175,14 +175,46 @@ def test_weather_gaps_are_filled_once(spark):
     assert by_month[dt.date(2019, 5, 1)].windvelo_mean == 0.0
 
 
-def test_feeder_without_points_and_crowded_feeder_are_reported(spark):
+def test_feeder_without_points_or_values_is_reported(spark):
     points, stations, history = weather_fixture(spark)
     once = spark.createDataFrame([(f, dt.date(2018, 1, 1), dt.date(2018, 3, 1)) for f in ("f1", "ghost")], "cod_alim string, start date, end date")
     values, errors = interpolate_weather(points, stations, history, once)
     assert {r.cod_alim for r in values.collect()} == {"f1"}
     assert [(r.cod_alim, r.reason) for r in errors.collect()] == [("ghost", "no coordinates")]
-    _, errors = interpolate_weather(points, stations, history, once, max_samples=2)
-    assert {(r.cod_alim, r.reason) for r in errors.collect()} == {("f1", "too many stations"), ("ghost", "no coordinates")}
+    values, errors = interpolate_weather(points, stations, history.where("year < 2018"), once)
+    assert values.count() == 0
+    assert {(r.cod_alim, r.month, r.reason) for r in errors.collect()} == {("f1", None, "no station near has values"), ("ghost", None, "no coordinates")}
+
+
+def test_failing_month_is_reported(spark):
+    points, stations, history = weather_fixture(spark)
+    broken = history.withColumn("temp_max", F.when((F.col("year") == 2018) & (F.col("month") == 2), F.lit(float("inf"))).otherwise(F.col("temp_max")))
+    once = spark.createDataFrame([("f1", dt.date(2018, 1, 1), dt.date(2018, 3, 1))], "cod_alim string, start date, end date")
+    values, errors = interpolate_weather(points, stations, broken, once)
+    assert {r.month for r in values.collect()} == {dt.date(2018, 1, 1), dt.date(2018, 3, 1)}
+    assert [(r.cod_alim, r.month) for r in errors.collect()] == [("f1", dt.date(2018, 2, 1))]
+
+
+def test_months_share_a_factor_and_many_samples_are_solved(spark):
+    """Fields worked on together equal those worked on alone; there is no limit on samples."""
+    rng = np.random.default_rng(3)
+    xy = rng.uniform(0, 5, (700, 2))
+    field = np.sin(xy[:, :1]) + np.array([[1.0, 2.0, 3.0]])
+    got = K.solve(xy, field)
+    assert [g[1:3] for g in got] == [got[0][1:3]] * 3
+    dx = (xy[:, None, 0] - xy[None, :, 0]) / got[1][1]
+    dy = (xy[:, None, 1] - xy[None, :, 1]) / got[1][2]
+    again = got[1][0] + np.exp(-0.5 * (dx**2 + dy**2)) @ got[1][3]
+    assert np.abs(again - field[:, 1]).max() < 1e-3
+    rows = [(m, float(x), float(y), float(np.cos(x) + m), 0.0) for m in range(3) for x, y in xy[: 20 + 5 * (m == 2)]]
+    samples = spark.createDataFrame([("a", *r) for r in rows], "k string, month int, lon double, lat double, v double, z double")
+    apart = K.fit_kriging(samples, ["k", "month"], ("lon", "lat"), ["v", "z"]).collect()
+    together = K.fit_kriging(samples, ["k", "month"], ("lon", "lat"), ["v", "z"], per=["k"]).collect()
+    one, two = ({(r.month, r.variable): r for r in rows} for rows in (apart, together))
+    assert set(one) == set(two) and len(one) == 6
+    for k, r in one.items():
+        assert r.trend == pytest.approx(two[k].trend) and (r.scale_lon, r.scale_lat) == (two[k].scale_lon, two[k].scale_lat)
+        assert [w.w for w in r.weights] == pytest.approx([w.w for w in two[k].weights], rel=1e-6, abs=1e-6)
 
 
 def test_station_month_needs_all_variables(spark):
