@@ -163,16 +163,23 @@ def _(data):
     return text_dates(picked.withColumn("us servico", F.col("us servico").cast("double")))
 
 
-def batch_tables(data: Data) -> Tables:
-    """All tables of a batch, feeders named by code as in the inspections."""
+def batch_tables(data: Data, times: int = 1, ghosts: bool = False) -> Tables:
+    """All tables of a batch, feeders named by code as in the inspections.
+
+    `times`: how often each inspection row is there; `ghosts` adds a feeder without rows to each set.
+    """
     named = lambda c: feeder_code(F.lit("F"), F.col(c))
     tasks = inspections(data).withColumns({"se": F.lit("F"), "alimentador": F.substring("se", 3, 9)})
+    tasks = tasks.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("copy")
+    members = data["feeder_set"].withColumn("alimentador", named("alimentador"))
+    if ghosts:
+        members = members.unionByName(members.select("sigla_conjunto", F.lit("F99").alias("alimentador")).distinct())
     feeder = {n: data[n].withColumn("cod_alim", named("cod_alim")) for n in ("panel_raw", "outages", "maintenance")}
     return Tables(
         data.spark,
         {
             "panel": feeder["panel_raw"],
-            "feeder_set": data["feeder_set"].withColumn("alimentador", named("alimentador")),
+            "feeder_set": members,
             "goals": data["goals_wide"],
             "outages": feeder["outages"],
             "causes": data["causes"],
@@ -182,8 +189,8 @@ def batch_tables(data: Data) -> Tables:
     )
 
 
-def batch(data: Data):
-    """A suggestion and a task assignment for every set, in one document, and two bad requests."""
+def batch(data: Data, repeated: int = 1, id_col: str | None = "id", **options):
+    """A suggestion and a task assignment for every set, in one document, and a bad request."""
     item = F.concat(
         F.lit('{"algorithm":"suggestion","conjunto":"'), "r_name",
         F.lit(f'","pred_year":{ASOF[:4]},"pred_month":{int(ASOF[5:7])},"months_ahead":{AHEAD}}},'),
@@ -194,7 +201,8 @@ def batch(data: Data):
         F.col("r_regionkey").alias("id"),
         F.concat(F.lit('{"array":['), item, F.lit(',{"algorithm":"other"}]}')).alias("value"),
     )
-    return run_requests(batch_tables(data), payloads, COEFS, 60, id_col="id", models=SQL_MODELS)
+    payloads = payloads.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeated)))).drop("copy")
+    return run_requests(batch_tables(data, **options), payloads, COEFS, 60, id_col=id_col, models=SQL_MODELS)
 
 
 @check(
@@ -206,6 +214,46 @@ def _(data):
     return batch(data).suggestions
 
 
+@check(
+    "J6_repeated_documents",
+    SUGGEST.replace("concat('r:', conjunto) AS request_id, conjunto, gap.cod_alim,", "conjunto, concat('F', lpad(CAST(gap.cod_alim AS VARCHAR), 2, '0')) AS cod_alim,"),
+    SUGGEST_USES,
+)
+def _(data):
+    """Equal documents count once: the numbers are those of a single one."""
+    return batch(data, repeated=3, id_col=None).suggestions.drop("request_id")
+
+
+@check(
+    "J6_repeated_task_rows",
+    "SELECT r_name AS conjunto, 0 AS over_budget, 0 AS handed_out_twice FROM region",
+)
+def _(data):
+    """Inspections that are there twice: no budget is exceeded, and no task is handed out twice."""
+    sets = data["region"].select(F.col("r_name").alias("conjunto"))
+    spent = batch(data, times=2).tasks.groupBy("conjunto").agg(
+        F.sum(F.col("us servico").cast("decimal(24,6)")).alias("us"),
+        (F.count("*") - F.count_distinct("feeder", "idservico")).alias("twice"),
+    )
+    over = (F.coalesce("us", F.lit(0)) > 150).cast("int").alias("over_budget")
+    return sets.join(spent, "conjunto", "left").select("conjunto", over, F.coalesce("twice", F.lit(0)).cast("int").alias("handed_out_twice"))
+
+
+@check(
+    "J6_feeders_accounted_for",
+    """SELECT sigla_conjunto AS conjunto, concat('F', lpad(CAST(alimentador AS VARCHAR), 2, '0')) AS cod_alim, 1 AS delivered, 0 AS reported FROM feeder_set
+       UNION ALL SELECT DISTINCT sigla_conjunto, 'F99', 0, 1 FROM feeder_set""",
+    ("feeder_set",),
+)
+def _(data):
+    """Each feeder of a set is delivered or reported, never both and never neither."""
+    made = batch(data, ghosts=True)
+    feeder = ["conjunto", "cod_alim"]
+    delivered = made.suggestions.select(*feeder, F.lit(1).alias("delivered"), F.lit(0).alias("reported"))
+    reported = made.errors.where("cod_alim IS NOT NULL AND month IS NULL").select(*feeder, F.lit(0).alias("delivered"), F.lit(1).alias("reported"))
+    return delivered.unionByName(reported).groupBy(*feeder).agg(*[F.sum(c).cast("int").alias(c) for c in ("delivered", "reported")])
+
+
 @check("J6_batch_tasks")
 def _(data):
     return text_dates(batch(data).tasks.drop("year", "month"))

@@ -94,6 +94,20 @@ def _(data):
     return cardinality_split(data["customer"], ["c_mktsegment", "c_name", "c_nationkey"])
 
 
+@check(
+    "H5_candidate_counts",
+    MODELS
+    + f"""SELECT s.cod_alim, m.model, count(*) AS n FROM split s CROSS JOIN (VALUES {", ".join(f"('{n}')" for n in REGISTRY)}) m(model)
+          WHERE NOT is_train GROUP BY s.cod_alim, m.model""",
+    PANEL_USES,
+)
+def _(data):
+    """Every registered model is tried on every feeder, on all months of its test part."""
+    made = split_panel(data)
+    scores = evaluate_models(made, SERIES, feature_columns(made), models=list(REGISTRY))
+    return scores.select("cod_alim", "model", F.col("n").cast("bigint").alias("n"))
+
+
 @check("H5_candidates_per_feeder")
 def _(data):
     """Every registered model, tried on every feeder."""

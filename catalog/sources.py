@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from catalog import Data, check
 from gridtide.functions.text import plain_text
 from gridtide.plans import envelope
-from gridtide.plans.requests import format_tasks, parse_requests
+from gridtide.plans.requests import format_tasks, parse_requests, unserved
 from gridtide.session import fresh_path
 from gridtide.sources import files
 from gridtide.sources.tables import Tables, csv, parquet
@@ -229,14 +229,15 @@ def _(data):
 
 @check(
     "A12_results_and_ignored",
-    """SELECT c_custkey, count(o_orderkey) AS n, max(CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END) AS ignored
-       FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'P' GROUP BY c_custkey""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS request_id, CASE WHEN c_custkey % 2 = 0 THEN 'suggestion' ELSE 'prediction' END AS algorithm, c_mktsegment AS conjunto
+       FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT')""",
 )
 def _(data):
-    """Requests with results joined to those that had none."""
-    served = data["orders"].where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    asked = data["customer"].select("c_custkey")
-    ignored = asked.join(served, "c_custkey", "left_anti").select("c_custkey", F.lit(0).cast("bigint").alias("n"))
-    return (
-        asked.join(served, "c_custkey").withColumn("ignored", F.lit(0)).unionByName(ignored.withColumn("ignored", F.lit(1)))
-    )
+    """Requests that neither kind of result has rows for; a result may have many rows of a request."""
+    key = F.col("c_custkey").cast("string").alias("request_id")
+    kind = F.when(F.col("c_custkey") % 2 == 0, "suggestion").otherwise("prediction").alias("algorithm")
+    asked = data["customer"].select(key, kind, F.col("c_mktsegment").alias("conjunto"))
+    owner = F.col("o_custkey").cast("string").alias("request_id")
+    suggestions = data["orders"].where("o_orderstatus = 'P'").select(owner, "o_orderkey")
+    tasks = data["orders"].where("o_orderpriority = '1-URGENT'").select(owner, "o_totalprice")
+    return unserved(asked, suggestions, tasks)

@@ -188,6 +188,28 @@ def _(data):
     return text_dates(made.select("code", "month", "windvelo_mean"))
 
 
+_ONE_STATION = (
+    NEAR
+    + """, known AS (SELECT n.code, make_date(year, month, 1) AS month, h.* EXCLUDE (year, month)
+           FROM near n JOIN station_history h ON n.station_code = h.station_code
+           WHERE temp_max IS NOT NULL AND make_date(year, month, 1) BETWEEN DATE '1995-01-01' AND DATE '1999-12-01')
+    SELECT code, CAST(month AS VARCHAR) AS month, """
+    + ", ".join(f"round(max({v}), 6) AS {v}" for v in WEATHER)
+    + " FROM known GROUP BY code, month HAVING count(*) = 1"
+)
+
+
+@check("E17_fields_of_one_station", _ONE_STATION, (*POINTS, "stations", "station_history"))
+def _(data):
+    """Where a month has one station only, the field is its value everywhere."""
+    alone = samples(data).groupBy("code", "month").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    chosen = samples(data).join(alone, ["code", "month"], "left_semi")
+    fitted = fit_kriging(chosen, ["code", "month"], ("longitude", "latitude"), WEATHER, per=["code"])
+    grid = boxes(data).select("code", grid_points().alias("points"))
+    made = predict_kriging(fitted, grid, ["code", "month"], WEATHER, ["code"])
+    return text_dates(rounded(made, WEATHER)).select("code", "month", *WEATHER)
+
+
 @check("A13_stored_fields")
 def _(data):
     path = fresh_path(data.spark, "fields")

@@ -19,6 +19,7 @@ from gridtide.session import cut
 
 # Cell sizes are 360 / 2**level degrees, from about 40 km down to one cell for the whole globe.
 LEVELS = (10, 8, 6, 4, 2, 0)
+CELL = ["level", "cx", "cy", "part"]
 
 
 def bounding_boxes(
@@ -106,19 +107,26 @@ def _cell(level: int, lon: str, lat: str) -> tuple[str, str]:
     return f"floor(({lon} + 180) * {n / 360!r}D) % {n}", f"floor(({lat} + 90) * {n / 360!r}D)"
 
 
+def _shares(level: int) -> int:
+    """Parts that the points of a cell are dealt to. A large cell may hold most points; only few
+    centres look at it, so these are copied to all its parts."""
+    return 2 ** max(0, 6 - level)
+
+
 def _cells_around(level: int, lon: str, lat: str) -> str:
-    """Array of (level, cx, cy): the cell of a point and its neighbours, round the globe."""
+    """Array of (level, cx, cy, part): the cell of a point and its neighbours, round the globe."""
     x, y = _cell(level, lon, lat)
     steps = "array(-1, 0, 1)" if level else "array(0)"
     return (
-        f"flatten(transform({steps}, dx -> transform({steps}, dy -> named_struct("
-        f"'level', {level}, 'cx', int(pmod({x} + dx, {2**level})), 'cy', int({y} + dy)))))"
+        f"flatten(transform(sequence(0, {_shares(level) - 1}), part -> flatten(transform({steps}, dx -> transform({steps}, dy -> named_struct("
+        f"'level', {level}, 'cx', int(pmod({x} + dx, {2**level})), 'cy', int({y} + dy), 'part', part))))))"
     )
 
 
 def _point_cells(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) -> DataFrame:
     own = ", ".join(
-        f"named_struct('level', {level}, 'cx', int(pmod({x}, {2**level})), 'cy', int({y}))"
+        f"named_struct('level', {level}, 'cx', int(pmod({x}, {2**level})), 'cy', int({y}), "
+        f"'part', int(pmod(xxhash64({lon}, {lat}), {_shares(level)})))"
         for level in levels
         for x, y in [_cell(level, lon, lat)]
     )
@@ -141,12 +149,14 @@ def pairs_within(
         for level in LEVELS
     )
     probes = centres.selectExpr("*", f"explode(CASE {finest} END) AS cell").select(*centres.columns, "cell.*")
-    near = probes.join(_point_cells(points, *point_at, LEVELS), ["level", "cx", "cy"])
+    # points need a row only for the cell sizes that some centre uses
+    used = sorted(r.level for r in probes.select("level").distinct().collect())
+    near = probes.join(_point_cells(points, *point_at, used or LEVELS[:1]), CELL)
     dist = haversine(*[F.col(c) for c in (*centre_at[::-1], *point_at[::-1])])
     return (
         near.withColumn("dist_km", dist)
         .where(F.col("dist_km") <= F.col(radius))
-        .drop("level", "cx", "cy")
+        .drop(*CELL)
     )
 
 
@@ -172,7 +182,7 @@ def ring_radius(
     for level in LEVELS:
         around = f"explode({_cells_around(level, *centre_at)}) AS cell"
         probes = waiting.selectExpr("*", around).select(*keys, "cell.*")
-        seen = probes.join(_point_cells(points, *point_at, [level]), ["level", "cx", "cy"]).select(
+        seen = probes.join(_point_cells(points, *point_at, [level]), CELL).select(
             *keys, dist.alias("d")
         )
         # `row_number() <= k` is also applied before the shuffle, so a crowded cell stays cheap

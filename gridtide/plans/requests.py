@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,6 +120,12 @@ def lost_feeders(asked: DataFrame, panel: DataFrame, errors: DataFrame) -> DataF
     return lost.select(*SERIES, F.lit("panel").alias("stage"), F.lit("no rows before the date").alias("reason"))
 
 
+def unserved(asked: DataFrame, *served: DataFrame) -> DataFrame:
+    """Valid requests that none of the results has rows for."""
+    ids = reduce(DataFrame.unionByName, [s.select("request_id") for s in served]).distinct()
+    return asked.join(ids, "request_id", "left_anti").select("request_id", "algorithm", "conjunto")
+
+
 def run_requests(
     tables: Tables,
     payloads: DataFrame,
@@ -179,6 +186,4 @@ def run_requests(
         carry,
     )
     tasks = cut(tasks, "tasks")
-    served = suggestions.select("request_id").unionByName(tasks.select("request_id")).distinct()
-    ignored = valid.join(served, "request_id", "left_anti").select("request_id", "algorithm", "conjunto")
-    return Results(suggestions, tasks, ignored, rejects, errors)
+    return Results(suggestions, tasks, unserved(valid, suggestions, tasks), rejects, errors)
