@@ -8,14 +8,15 @@ need no care; an empty table gives an empty table.
 from __future__ import annotations
 
 import functools
+import hashlib
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.merge_automaton import MergeAutomaton, read_vocabulary
@@ -37,76 +38,87 @@ LATE = (
     "\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead"
     "\U000323b0-\U00033479\U0003d000-\U0003fc3f"
 )
-REMEMBERED = 500_000  # words and pieces that a worker keeps; then it starts afresh
-
-
-class Clean(dict):
-    """Encodings of pieces between single spaces; a piece is read with the space before it."""
-
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise Mixed
-        words = self.encoder.words
-        if piece.isalpha():
-            found = words[" " + piece]
-        elif piece[-1] in ".,;:!?" and piece[:-1].isalpha():
-            found = words[" " + piece[:-1]] + words[piece[-1]]
-        else:
-            found = b"".join([words[w] for w in self.encoder.split(" " + piece)])
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = found
-        return found
-
-
-class Mixed(Exception):
-    """White space of several characters: words depend on their neighbours."""
-
-
-class Words(dict):
-    def __init__(self, automaton: MergeAutomaton):
-        self.automaton = automaton
-
-    def __missing__(self, word: str) -> bytes:
-        found = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) < 200:
-            self[word] = found
-        return found
+REMEMBERED = 400_000  # words and pieces that a worker keeps; then it starts afresh
+TOGETHER = 2_000_000  # characters of texts whose new words are encoded in one go
+ROWS = 512  # rows of a batch that are worked on at a time
+IN_STEP = 64  # longer words are encoded on their own
 
 
 class Encoder:
-    """Splits texts into words and encodes these; remembers what it has encoded."""
+    """Splits texts into words and encodes the new ones all at once; remembers what it has encoded."""
 
     def __init__(self, automaton: MergeAutomaton, special: dict[str, int]):
-        self.automaton, self.special = automaton, special
+        self.automaton, self.special = automaton, {s: np.array([k], "<u4").tobytes() for s, k in special.items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.split = regex.compile(WORDS).findall
-        self.words, self.pieces = Words(automaton), Clean(self)
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}  # what stands between single spaces, read with the space before it
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out, start, size = [], 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size > TOGETHER:
+                out += self._together(texts[start : k + 1])
+                start, size = k + 1, 0
+        return out + self._together(texts[start:])
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        if len(self.pieces) + len(self.words) > REMEMBERED:
+            self.pieces, self.words = {}, {}
+        new: dict[str, list[str]] = {}
+        units = [self._units(text, new) for text in texts]
+        wanted = {w for some in units for kind, x in some if kind == "words" for w in x}.union(*new.values())
+        self._learn(wanted.difference(self.words))
+        for piece, words in new.items():
+            self.pieces[piece] = b"".join([self.words[w] for w in words])
+        known = {"words": self.words.__getitem__, "pieces": self.pieces.__getitem__, "ids": self.special.__getitem__}
+        return [b"".join([b for kind, x in some for b in map(known[kind], x)]) for some in units]
+
+    def _learn(self, words: set[str]) -> None:
+        short = [w for w in words if len(w) <= IN_STEP]
+        self.words.update(zip(short, self.automaton.encode_many([w.encode() for w in short])))
+        for word in words.difference(short):
+            self.words[word] = np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+
+    def _units(self, text: str, new: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
+        """What a text consists of, as lists of words, pieces or special tokens; `new` gets unknown pieces."""
         if any(s in text for s in self.special):
-            parts = self.cut.split(text)
-            return b"".join(np.array([self.special[p]], "<u4").tobytes() if k % 2 else self.plain(p) for k, p in enumerate(parts))
-        return self.plain(text)
+            units = []
+            for k, part in enumerate(self.cut.split(text)):
+                units += [("ids", [part])] if k % 2 else self._plain(part, new)
+            return units
+        return self._plain(text, new)
 
-    def plain(self, text: str) -> bytes:
+    def _plain(self, text: str, new: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
         if not text:
-            return b""
-        if not text.isascii() and late().search(text):
-            return b"".join([self.words[w] for w in old_words()(text)])
+            return []
+        if not is_latin(text) and late().search(text):
+            return [("words", old_words()(text))]
         first, *rest = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                return b"".join([*[self.words[w] for w in self.split(first)], *map(self.pieces.__getitem__, rest)])
-            except Mixed:
-                pass
-        return b"".join([self.words[w] for w in self.split(text)])
+        unknown = set(rest).difference(self.pieces).difference(new)
+        if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in unknown):
+            return [("words", self.split(text))]  # white space of several characters: words depend on neighbours
+        for p in unknown:
+            if p.isalpha():
+                new[p] = [" " + p]
+            elif p[-1] in ".,;:!?" and p[:-1].isalpha():
+                new[p] = [" " + p[:-1], p[-1]]
+            else:
+                new[p] = self.split(" " + p)
+        return [("words", self.split(first)), ("pieces", rest)]
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @functools.cache
@@ -129,51 +141,68 @@ def compiled(path: str) -> bytes:
     return pickle.dumps((MergeAutomaton(labels, merges), special))
 
 
-def shared(spark: SparkSession, path: str) -> Broadcast:
-    """Some MB that depend on the vocabulary alone, never on the data."""
-    return spark.sparkContext.broadcast(compiled(path))
-
-
-LOADED: dict[int, Encoder] = {}
+LOADED: dict[bytes, Encoder] = {}
 
 
 def loaded(packed: Broadcast) -> Encoder:
-    key = hash(packed.value)
+    """The encoder of this worker, which keeps what it has learned from task to task."""
+    key = hashlib.sha256(packed.value).digest()
     if key not in LOADED:
         LOADED.clear()
         LOADED[key] = Encoder(*pickle.loads(packed.value))
     return LOADED[key]
 
 
-def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a worker holds little at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
+def _type(rows: DataFrame) -> str:
+    return rows.schema["doc_id"].dataType.simpleString()
+
+
+def _decoded(label: Callable[[int], bytes], ids: bytes) -> str:
+    return b"".join(map(label, unpacked(ids))).decode("utf-8", "replace") if ids else ""
+
+
+def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """One row per row of `docs`: `doc_id` and `ids`, the token ids as packed little-endian uint32.
 
-    Strings of special tokens in a text become these tokens, as the vocabulary's library does it.
+    Strings of special tokens in a text become these tokens, as the vocabulary's library does it. With
+    `decoded` the ids are decoded in the same pass, to `text`.
     """
-    packed = shared(docs.sparkSession, path)
+    # some MB that depend on the vocabulary alone, never on the data
+    packed = docs.sparkSession.sparkContext.broadcast(compiled(path))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(packed)
-        for batch in batches:
-            ids = [encoder.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        label = encoder.automaton.labels.__getitem__
+        for batch in _each(batches):
+            ids = encoder.encode_all([t or "" for t in batch.column(1).to_pylist()])
+            columns = {"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())}
+            if decoded:
+                columns["text"] = pa.array([_decoded(label, i) for i in ids], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(encode, f"doc_id {_type(rows)}, ids binary" + ", text string" * decoded)
 
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds `text`, the labels of the ids' arcs, joined; bytes that are not UTF-8 become U+FFFD."""
-    packed = shared(encoded.sparkSession, path)
+    labels = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(path)[0])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = loaded(packed).automaton
-        for batch in batches:
-            texts = [automaton.decode(np.frombuffer(i, "<u4").tolist()).decode("utf-8", "replace") if i else "" for i in batch.column(1).to_pylist()]
+        label = labels.value.__getitem__
+        for batch in _each(batches):
+            texts = [_decoded(label, i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(decode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, text string")
+    return rows.mapInArrow(decode, f"doc_id {_type(rows)}, ids binary, text string")
 
 
 def unpacked(ids: bytes) -> list[int]:

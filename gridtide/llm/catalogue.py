@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm.bpe import bpe_decode, bpe_encode
+from gridtide.llm.bpe import bpe_encode
 from gridtide.llm.decontaminate import contamination
 from gridtide.llm.lines import drop_shared_lines
 from gridtide.llm.secrets import scan_secrets, span_text
@@ -97,7 +97,7 @@ GROUP BY doc_id
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path), path)
+    coded = bpe_encode(table(spark, folder, "documents"), path, decoded=True)
     return coded.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),

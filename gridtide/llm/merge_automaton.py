@@ -74,7 +74,7 @@ class Bits:
 
 
 class MergeAutomaton:
-    """Compiled transitions; `encode` follows them, `decode` emits the labels of arcs."""
+    """Compiled transitions; encoding follows them, decoding emits `labels`."""
 
     def __init__(self, labels: list[bytes], merges: list[tuple[int, int, int]]):
         self.labels = labels
@@ -110,41 +110,142 @@ class MergeAutomaton:
             if a == b:  # a run is merged from the left: a cannot stand before aa, aa can before a
                 label[c] = label[a]
                 sharing_class[label[c]] += 1
-        width = (bits.classes + 7) // 8
-        self.rows = [row.tobytes() for row in bits.table[: bits.states, :width]]
+        self.width = (bits.classes + 7) // 8
+        self.table = bits.table[: bits.states, : self.width].tobytes()
         self.state, self.label = state, label
         self._index()
 
     def __getstate__(self):
         tokens = np.array(list(self.state), np.int64)
         packed = [np.array([d[k] for k in self.state], np.int32) for d in (self.state, self.label)]
-        return self.labels, len(self.rows), zlib.compress(b"".join(self.rows), 1), tokens, *packed
+        return self.labels, self.width, zlib.compress(self.table, 1), tokens, *packed
 
     def __setstate__(self, saved):
-        self.labels, rows, table, tokens, state, label = saved
-        table = zlib.decompress(table)
-        width = len(table) // rows
-        self.rows = [table[k * width : (k + 1) * width] for k in range(rows)]
+        self.labels, self.width, table, tokens, state, label = saved
+        self.table = zlib.decompress(table)
         self.state = dict(zip(tokens.tolist(), state.tolist()))
         self.label = dict(zip(tokens.tolist(), label.tolist()))
         self._index()
 
     def _index(self) -> None:
-        """Arcs by their labels' bytes, and for each token the next shorter one."""
+        """Arcs by the bytes of their labels, as a tree, and for each token the next shorter one."""
         self.whole = {self.labels[k]: k for k in self.state}
         self.step: dict[int, int] = {}
-        self.token_at = [-1]
+        token_at = [-1]
         for text, k in self.whole.items():
             node = 0
             for byte in text:
                 key = node << 8 | byte
                 if key not in self.step:
-                    self.step[key] = len(self.token_at)
-                    self.token_at.append(-1)
+                    self.step[key] = len(token_at)
+                    token_at.append(-1)
                 node = self.step[key]
-            self.token_at[node] = k
+            token_at[node] = k
         self.reach = max(map(len, self.whole))
-        self.shorter = {k: next((self.whole[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.whole), -1) for t, k in self.whole.items()}
+        self.token_at = token_at
+        self.shorter = [-1] * len(self.labels)
+        for text, k in self.whole.items():
+            self.shorter[k] = next((self.whole[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.whole), -1)
+        # the same as arrays, for many words at once
+        self._bits = np.frombuffer(self.table, np.uint8)
+        self._token_at, self._shorter = np.array(token_at, np.int32), np.array(self.shorter, np.int32)
+        self._state, self._label = np.zeros(len(self.labels), np.int64), np.zeros(len(self.labels), np.int64)
+        tokens = list(self.state)
+        self._state[tokens], self._label[tokens] = list(self.state.values()), list(self.label.values())
+        self._size = np.array([len(t) for t in self.labels], np.int32)
+        self._steps(np.array(list(self.step), np.int64), np.array(list(self.step.values()), np.int32))
+
+    def _steps(self, keys: np.ndarray, nodes: np.ndarray) -> None:
+        """The tree's steps in a hash table with linear probing."""
+        self._slots = 1 << max(4, int(4 * len(keys)).bit_length())
+        self._key, self._node = np.full(self._slots, -1, np.int64), np.full(self._slots, -1, np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self._key[slot] < 0
+            self._key[slot[free]] = keys[free]
+            here = self._key[slot] == keys
+            self._node[slot[here]] = nodes[here]
+            keys, nodes, slot = keys[~here], nodes[~here], (slot[~here] + 1) % self._slots
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self._slots.bit_length() + 1)
+
+    def _walk(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes that steps lead to, -1 where there is none."""
+        key = node << 8 | byte
+        slot = self._slot(key)
+        seen = self._key[slot]
+        out = np.where(seen == key, self._node[slot], -1)
+        left = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) % self._slots
+            seen = self._key[slot[left]]
+            hit = seen == key[left]
+            out[left[hit]] = self._node[slot[left[hit]]]
+            left = left[~hit & (seen >= 0)]
+        return out.astype(np.int64)
+
+    def _longest(self, text: np.ndarray, here: np.ndarray, end: np.ndarray) -> np.ndarray:
+        best = np.full(len(here), -1, np.int32)
+        live, node, at = np.arange(len(here)), np.zeros(len(here), np.int64), here.copy()
+        while len(live):
+            node = self._walk(node, text[at])
+            on = node >= 0
+            live, node, at = live[on], node[on], at[on] + 1
+            token = self._token_at[node]
+            good = token >= 0
+            best[live[good]] = token[good]
+            on = at < end[live]
+            live, node, at = live[on], node[on], at[on]
+        return best
+
+    def encode_many(self, words: list[bytes]) -> list[bytes]:
+        """The ids of many words as packed little-endian uint32: `encode`, for all words in step."""
+        if not words:
+            return []
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        text = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        ends = np.cumsum(sizes)
+        begin = ends - sizes
+        chosen = np.full(len(text) + 1, -1, np.int32)  # by the byte where a token begins
+        came_from = np.full(len(text) + 1, -1, np.int64)
+        dead = np.zeros(len(text) + 1, bool)
+        word = np.flatnonzero(sizes > 0)
+        here, end = begin[word].copy(), ends[word]
+        token = self._longest(text, here, end)
+        while len(word):
+            kind, there = self._label[token], here + self._size[token]
+            back = came_from[here]
+            state = self._state[chosen[back]]
+            free = here == begin[word]
+            fits = (self._bits[state * self.width + (kind >> 3)] >> (kind & 7).astype(np.uint8) & 1).astype(bool)
+            good = (free | fits) & ~(dead[there] & (there < end))
+            chosen[here[good]] = token[good]
+            inner = np.flatnonzero(good & (there < end))
+            came_from[there[inner]] = here[inner]
+            bad = np.flatnonzero(~good)
+            token[bad] = self._shorter[token[bad]]
+            here[inner] = there[inner]
+            token[inner] = self._longest(text, here[inner], end[inner])
+            stuck = bad[token[bad] < 0]
+            while len(stuck):
+                dead[here[stuck]] = True
+                here[stuck] = came_from[here[stuck]]
+                token[stuck] = self._shorter[chosen[here[stuck]]]
+                stuck = stuck[token[stuck] < 0]
+            on = np.flatnonzero(~(good & (there >= end)))
+            word, here, end, token = word[on], here[on], end[on], token[on]
+        count = np.zeros(len(words), np.int64)
+        starts, at, live = [], begin.copy(), np.flatnonzero(sizes > 0)
+        while len(live):
+            starts.append(at[live])
+            count[live] += 1
+            at[live] += self._size[chosen[at[live]]]
+            live = live[at[live] < ends[live]]
+        ids = chosen[np.sort(np.concatenate(starts))] if starts else chosen[:0]
+        packed = ids.astype("<u4").tobytes()
+        stop = 4 * np.cumsum(count)
+        return [packed[a:b] for a, b in zip((stop - 4 * count).tolist(), stop.tolist())]
 
     def encode(self, word: bytes) -> list[int]:
         """The token ids of one pre-split word, in time linear in its length.
@@ -156,11 +257,11 @@ class MergeAutomaton:
             return [self.whole[word]]
         if not word:
             return []
-        rows, state, label, labels, shorter = self.rows, self.state, self.label, self.labels, self.shorter
-        step, token_at = self.step, self.token_at
+        table, width, state, label = self.table, self.width, self.state, self.label
+        labels, shorter, step, token_at = self.labels, self.shorter, self.step, self.token_at
         path: list[int] = []
         dead = bytearray(len(word) + 1)
-        here, end, row, token = 0, len(word), None, -1
+        here, end, row, token = 0, len(word), -1, -1
         while True:
             if token < 0:  # a new position: the longest arc that can be read
                 node = 0
@@ -171,19 +272,16 @@ class MergeAutomaton:
                     if token_at[node] >= 0:
                         token = token_at[node]
             there, kind = here + len(labels[token]), label[token]
-            if not dead[there] and (row is None or row[kind >> 3] >> (kind & 7) & 1):
+            if not dead[there] and (row < 0 or table[row + (kind >> 3)] >> (kind & 7) & 1):
                 path.append(token)
                 if there == end:
                     return path
-                here, row, token = there, rows[state[token]], -1
+                here, row, token = there, width * state[token], -1
             else:
                 token = shorter[token]
                 while token < 0:
                     dead[here] = 1
                     token = path.pop()
                     here -= len(labels[token])
-                    row = rows[state[path[-1]]] if path else None
+                    row = width * state[path[-1]] if path else -1
                     token = shorter[token]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.labels.__getitem__, ids))

@@ -50,6 +50,8 @@ def test_frame(spark, library):
     for k, text, _ in rows:
         assert unpacked(got[k].ids) == library.encode(text or "", add_special_tokens=False).ids
         assert got[k].text == (text or "")
+    both = bpe_encode(docs, PATH, decoded=True)
+    assert sorted(both.collect(), key=str) == sorted(got.values(), key=str)
     assert bpe_decode(bpe_encode(docs.limit(0), PATH), PATH).count() == 0
     assert unpacked(b"") == []
 
