@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from gridtide.llm import langid, toxicity
 from gridtide.llm.bpe import bpe_encode
 from gridtide.llm.decontaminate import contamination
 from gridtide.llm.lines import drop_shared_lines
+from gridtide.llm.neighbours import nearest
+from gridtide.llm.pages import extract_text
 from gridtide.llm.secrets import scan_secrets, span_text
 from gridtide.llm.simhash import near_duplicates
+from gridtide.llm.surrogates import replace_personal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +32,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"), toxicity.may_learn(3, 1))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.is_held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), window=10)
@@ -94,6 +107,14 @@ GROUP BY doc_id
 """
 
 
+@query
+def op6_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    # the key is a secret of whoever runs this; a test table has no secrets
+    replaced = replace_personal(table(spark, folder, "documents").select("doc_id", "text"), key=b"surrogates of the test tables")
+    spans = F.array_join(F.transform("entities", lambda e: F.concat_ws(":", e["kind"], e["begin"].cast("string"), e["end"].cast("string"))), ",")
+    return replaced.select("doc_id", F.size("entities").cast("long").alias("n_entities"), spans.alias("entities"), "text")
+
+
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -104,3 +125,30 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, reach=6000)
+
+
+@query
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, ~toxicity.is_held_out(4, 2))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", toxicity.is_held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

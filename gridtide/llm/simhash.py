@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.components import components
@@ -54,16 +54,20 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def _tag(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id` and `code`, the fingerprint as a signed long."""
+    """`doc_id`, `doc_tag` (a hash of id and text) and `code`, the fingerprint as a signed long."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes)], ["doc_id", "code"])
+            codes = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes)], ["doc_id", "doc_tag", "code"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(read, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, code long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), _tag(id_col, text_col).alias("doc_tag"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(read, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, doc_tag long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -329,7 +333,9 @@ def _cross_links(split: DataFrame, linked: DataFrame, distance: int, block: int)
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int | None = None, block: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """`doc_id`, `code` and `component_id`, the smallest id reachable through links.
+    """`doc_id`, `doc_tag`, `code`, `component_id` (the smallest id reachable through links) and `root`.
+
+    `root` is a fingerprint that names the component.
 
     `blocks` (more than `distance`) trades orders against the size of upper nodes; whatever it is, no
     link is lost. By default it grows with the number of fingerprints. `block` is the number of rows
@@ -363,5 +369,14 @@ def near_duplicates(
         linked = cut(components(forest.unionByName(across)), "linked")
     grouped = codes.join(linked.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(least, "root").select("code", "component_id")
-    return prints.join(named, "code").select("doc_id", "code", "component_id")
+    named = grouped.join(least, "root").select("code", "component_id", "root")
+    return prints.join(named, "code").select("doc_id", "doc_tag", "code", "component_id", "root")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component: that with the smallest id; an id before none."""
+    groups = near_duplicates(docs, shingle, distance, id_col=id_col, text_col=text_col)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc_tag")).alias("first"))
+    kept = first.select(F.col("first.doc_tag").alias("doc_tag_"))
+    rows = docs.withColumn("doc_tag_", _tag(id_col, text_col)).join(kept, "doc_tag_", "left_semi")
+    return rows.dropDuplicates(["doc_tag_"]).select(docs.columns)
