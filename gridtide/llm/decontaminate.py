@@ -14,6 +14,8 @@ gives no hits.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from gridtide.session import cut
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHINGLE = 5
+WHOLE = 0x2545F4914F6CDD1D  # stands for the shingle of the row that a document has of its own
 BROADCAST_ROWS = 200_000  # shingles of the benchmark up to here (16 bytes each) go to all executors
 
 
@@ -48,48 +51,58 @@ def benchmark_windows(benchmark: DataFrame, window: int, id_col: str = "item_id"
     return each.distinct().withColumn("window_id", F.xxhash64("win"))
 
 
-def _shingle_hashes(words_col: str, length: int) -> Column:
-    """The hash of each run of `length` words, by place; needs that many words."""
-    return F.expr(f"transform(sequence(1, size({words_col}) - {length - 1}), i -> xxhash64(slice({words_col}, i, {length})))")
+def _shingle(words_col: str, place: Column, length: int) -> Column:
+    """The hash of `length` words from a place (from 0) on."""
+    return F.xxhash64(*[F.get(F.col(words_col), place + k) for k in range(length)])
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_tag`, `item_id`, `start` (from 1) and `size` of each occurrence of a window in a document."""
-    windows = cut(benchmark_windows(benchmark, window), "windows")
-    unique = windows.select("window_id", "win").distinct()
-    lengths = [r.n for r in unique.select(F.least(F.size("win"), F.lit(SHINGLE)).alias("n")).distinct().collect()]  # at most SHINGLE rows
-    parts = None
-    for n in lengths:
-        some = unique.where(F.least(F.size("win"), F.lit(SHINGLE)) == n)
-        part = some.select("window_id", F.lit(n).alias("n"), F.posexplode(_shingle_hashes("win", n)).alias("at", "shingle"))
-        parts = part if parts is None else parts.unionByName(part)
-    if parts is None:
-        return docs.select(_tag(id_col, text_col).alias("doc_tag"), F.lit("").alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("size")).limit(0)
-    shingles = cut(parts, "shingles")
+def _length(words_col: str) -> Column:
+    """Words in a shingle of a window."""
+    return F.least(F.size(words_col), F.lit(SHINGLE))
+
+
+def shingle_places(docs: DataFrame, shingles: DataFrame, lengths: list[int], window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Where the shingles occur, and how long the documents are, in one pass over the texts.
 
+    For each document there is a row with place -1 and `n_words`; for each occurrence, `pos` (from 0), the
+    words `around` it and how many of them come `before` it. A document of equal rows is there once.
+    """
     wanted = shingles.select("n", "shingle").distinct()
     small = wanted.count() <= BROADCAST_ROWS
     doc_words = docs.select(_tag(id_col, text_col).alias("doc_tag"), words(F.col(text_col)).alias("w"))
-    around = F.expr(f"slice(w, greatest(pos - {window - 2}, 1), {2 * window})").alias("around")  # pos counts from 0
-    before = F.expr(f"least(pos, {window - 1})").cast("int").alias("before")
+    whole = F.lit(WHOLE)
+    around = F.expr(f"slice(w, greatest(pos - {window - 2}, 1), {2 * window})")
+    before = F.expr(f"least(pos, {window - 1})").cast("int")
     found = None
-    for n in lengths:
-        per_doc = doc_words.where(F.size("w") >= n)
-        keys = wanted.where(F.col("n") == n).select("shingle")
+    for k, n in enumerate(lengths or [1]):
+        start = 0 if k else -1  # the row of the document comes with the first length
+        places = F.expr(f"sequence({start}, greatest(size(w) - {n}, {start}))")
+        per_doc = doc_words.where(F.size("w") >= n) if k else doc_words
+        hashed = F.when(F.col("pos") < 0, whole).otherwise(_shingle("w", F.col("pos"), n)).alias("shingle")
+        keys = wanted.where(F.col("n") == n).select("shingle").unionByName(docs.sparkSession.range(1).select(whole.alias("shingle")))
         if small:
-            placed = per_doc.select("doc_tag", "w", F.posexplode(_shingle_hashes("w", n)).alias("pos", "shingle"))
+            # words stay in the row of the document until a place has matched
+            placed = per_doc.select("doc_tag", "w", F.explode(places).alias("pos")).select("doc_tag", "w", "pos", hashed)
             part = placed.join(F.broadcast(keys), "shingle", "left_semi")
         else:  # places first, so that words never travel with every shingle
-            placed = per_doc.select("doc_tag", F.posexplode(_shingle_hashes("w", n)).alias("pos", "shingle"))
-            part = placed.join(keys, "shingle", "left_semi").join(per_doc.dropDuplicates(["doc_tag"]), "doc_tag")
-        part = part.select("doc_tag", "pos", F.lit(n).alias("n"), "shingle", around, before)
+            placed = per_doc.select("doc_tag", "w", F.explode(places).alias("pos")).select("doc_tag", "pos", hashed)
+            part = placed.join(keys, "shingle", "left_semi").join(doc_words.dropDuplicates(["doc_tag"]), "doc_tag")
+        at = F.col("pos") >= 0
+        part = part.select(
+            "doc_tag", "pos", F.lit(n).alias("n"), "shingle", F.when(~at, F.size("w")).alias("n_words"), F.when(at, around).alias("around"), before.alias("before")
+        )
         found = part if found is None else found.unionByName(part)
-    found = cut(found.distinct(), "found")
+    return found.distinct()
+
 
+def window_hits(windows: DataFrame, shingles: DataFrame, found: DataFrame) -> DataFrame:
+    """`doc_tag`, `item_id`, `start` (from 1) and `size` of each occurrence of a window in a document."""
+    found = found.where(F.col("pos") >= 0)
     rarity = found.groupBy("n", "shingle").agg(F.count("*").alias("times"))
     # a shingle that no document has leaves its window nothing to match
     ranked = shingles.join(rarity, ["n", "shingle"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     prefix = ranked.groupBy("window_id").agg(F.min(F.struct("times", "shingle", "at", "n")).alias("p"))
+    unique = windows.select("window_id", "win").distinct()
     probes = prefix.where(F.col("p.times") > 0).select("window_id", "p.shingle", "p.at", "p.n").join(unique, "window_id")
     placed = found.join(probes, ["n", "shingle"])
     inside = (F.col("pos") >= F.col("at")) & (F.size("around") - F.col("before") + F.col("at") >= F.size("win"))
@@ -100,13 +113,24 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with `n_words`, `n_hit` (words inside hits), `items` (sorted ids) and `contaminated`."""
-    hits = cut(window_hits(docs, benchmark, window, id_col, text_col).distinct(), "hits")
+    spark = docs.sparkSession
+    windows = cut(benchmark_windows(benchmark, window), "windows")
+    unique = windows.select("window_id", "win", _length("win").alias("n")).distinct()
+    lengths = sorted(r.n for r in unique.select("n").distinct().collect())  # at most SHINGLE rows
+    parts = [spark.createDataFrame([], "window_id long, n int, at int, shingle long")]
+    for n in lengths:
+        each = unique.where(F.col("n") == n).select("window_id", "n", "win", F.explode(F.expr(f"sequence(0, size(win) - {n})")).alias("at"))
+        parts.append(each.select("window_id", "n", "at", _shingle("win", F.col("at"), n).alias("shingle")))
+    shingles = cut(functools.reduce(DataFrame.unionByName, parts), "shingles")
+    found = cut(shingle_places(docs, shingles, lengths, window, id_col, text_col), "found")
+    hits = cut(window_hits(windows, shingles, found).distinct(), "hits")
     covered = hits.select("doc_tag", "start", "size").distinct()
     covered = covered.select("doc_tag", F.explode(F.expr("sequence(start, start + size - 1)")).alias("place")).distinct()
     n_hit = covered.groupBy("doc_tag").agg(F.count("*").alias("n_hit"))
     items = hits.select("doc_tag", "item_id").distinct().groupBy("doc_tag").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
     others = [c for c in docs.columns if c not in ("doc_tag", "n_words", "n_hit", "items", "contaminated")]
-    rows = docs.select(*others, _tag(id_col, text_col).alias("doc_tag"), F.regexp_count(_lowered(F.col(text_col)), F.lit(WORD)).cast("long").alias("n_words"))
+    n_words = found.where(F.col("pos") < 0).select("doc_tag", F.col("n_words").cast("long").alias("n_words"))
+    rows = docs.select(*others, _tag(id_col, text_col).alias("doc_tag")).join(n_words, "doc_tag")
     joined = rows.join(n_hit.join(items, "doc_tag"), "doc_tag", "left")
     n = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(*others, "n_words", n.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n > 0).alias("contaminated"))
