@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridtide.operators import series_models
 from gridtide.operators.rows import cardinality_split
 from gridtide.session import cut, spread
 
@@ -182,7 +183,18 @@ def _poisson(x, y, new, rounds=30):
     return np.exp(np.clip(_with_one(new) @ beta, -50, 50))
 
 
-for _name, _fit in [("linear", _linear), ("ridge", _ridge), ("nearest", _nearest), ("huber", _huber), ("poisson", _poisson)]:
+for _name, _fit in [
+    ("linear", _linear),
+    ("ridge", _ridge),
+    ("lasso", series_models.lasso),
+    ("elastic_net", series_models.elastic_net),
+    ("nearest", _nearest),
+    ("huber", _huber),
+    ("poisson", _poisson),
+    ("tree", series_models.one_tree),
+    ("forest", series_models.forest),
+    ("boosted", series_models.boosted),
+]:
     register_model(SeriesModel(_name, _fit))
 
 

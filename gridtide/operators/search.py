@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from gridtide.functions.numbers import half_even, share
 from gridtide.operators import models as M
 from gridtide.operators.rows import columns_except
-from gridtide.operators.series import chrono_split
 from gridtide.session import cut
 
 # Columns that are neither keys of a model nor features.
@@ -110,6 +109,20 @@ def month_index(month: str, asof: str) -> Column:
     return ((F.year(month) - F.year(asof)) * 12 + F.month(month) - F.month(asof)).cast("int")
 
 
+def held_out_predictions(
+    split: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    label: str = "chi_total",
+    models: Sequence[str] | None = None,
+) -> DataFrame:
+    """(keys, month, model, pred, y) on the rows kept for testing."""
+    train, test = split.where("is_train"), split.where("not is_train")
+    preds = _predict(train, test, keys, features, label, "month", M.models_named(models))
+    actual = test.select(*keys, "month", F.col(label).cast("double").alias("y"))
+    return preds.join(actual, [*keys, "month"])
+
+
 def evaluate_models(
     split: DataFrame,
     keys: Sequence[str],
@@ -123,10 +136,8 @@ def evaluate_models(
     `split` has one row per key and `month`, with `t` and `is_train`. `metrics` may use the columns
     `y` and `pred`.
     """
-    train, test = split.where("is_train"), split.where("not is_train")
-    preds = _predict(train, test, keys, features, label, "month", M.models_named(models))
-    actual = test.select(*keys, "month", F.col(label).cast("double").alias("y"))
-    return score(preds.join(actual, [*keys, "month"]), [*keys, "model"], "y", "pred", max(len(features), 1), metrics)
+    preds = held_out_predictions(split, keys, features, label, models)
+    return score(preds, [*keys, "model"], "y", "pred", max(len(features), 1), metrics)
 
 
 def refit_predict(
@@ -152,14 +163,14 @@ def against_goal(preds: DataFrame, goal: str = "goal_chi", pred: str = "pred") -
 
 
 def search(
-    panel: DataFrame,
+    split: DataFrame,
     keys: Sequence[str],
     label: str = "chi_total",
     models: Sequence[str] | None = None,
-    frac: float = 0.9,
-) -> tuple[DataFrame, DataFrame]:
-    """Champion and scores per key."""
-    features = feature_columns(panel)
-    split = cut(chrono_split(panel, keys, ["month"], frac), "split")
-    scores = cut(evaluate_models(split, keys, features, label, models), "scores")
-    return champion(scores, keys), scores
+    metrics: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Champion per key, scores per key and model, and the test predictions behind them."""
+    features = feature_columns(split)
+    preds = cut(held_out_predictions(split, keys, features, label, models), "tests")
+    scores = cut(score(preds, [*keys, "model"], "y", "pred", max(len(features), 1), metrics), "scores")
+    return champion(scores, keys), scores, preds

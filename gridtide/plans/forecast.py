@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.numbers import exact
 from gridtide.operators.search import against_goal, feature_columns, month_index, refit_predict, search
-from gridtide.operators.series import future_rows
+from gridtide.operators.series import chrono_split, future_rows
 from gridtide.plans.panel import RUN, SERIES
 from gridtide.schemas import WEATHER
 from gridtide.session import cut
@@ -22,6 +22,7 @@ class Forecast:
     rows: DataFrame
     scores: DataFrame
     errors: DataFrame
+    tests: DataFrame
 
 
 def with_index(panel: DataFrame) -> DataFrame:
@@ -33,16 +34,18 @@ def forecast(
     goals: DataFrame,
     models: Sequence[str] | None = None,
     label: str = "chi_total",
+    metrics: Mapping[str, Column] | None = None,
 ) -> Forecast:
     """One row per set, date, feeder and horizon.
 
     `goals`: (set, date, horizon, chi_goal). A feeder for which no candidate could be scored, or
-    whose champion could not be trained again, has no rows and is listed in `errors`.
+    whose champion could not be trained again, has no rows and is listed in `errors`. `metrics` adds
+    scores, aggregates over `y` and `pred`; `tests` holds these two for every candidate.
     """
-    panel = cut(with_index(panel), "panel")
+    panel = cut(chrono_split(with_index(panel), SERIES, ["month"]), "panel")
     features = feature_columns(panel)
-    best, scores = search(panel, SERIES, label, models)
-    best = cut(best, "champions")
+    best, scores, tests = search(panel, SERIES, label, models, metrics)
+    best, panel = cut(best, "champions"), panel.drop("is_train")
     future = with_index(
         future_rows(panel, SERIES, F.col("months_ahead"), F.col("pred_month"), goals, RUN, WEATHER, label)
     )
@@ -64,7 +67,7 @@ def forecast(
         )
 
     untrained = missing(preds, "champion gave no prediction").join(best.select(*SERIES), SERIES, "left_semi")
-    return Forecast(panel, rows, scores, missing(best, "no candidate could be scored").unionByName(untrained))
+    return Forecast(panel, rows, scores, missing(best, "no candidate could be scored").unionByName(untrained), tests)
 
 
 def set_totals(rows: DataFrame) -> DataFrame:

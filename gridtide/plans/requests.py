@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.text import number_text, to_float, to_int
@@ -108,6 +108,8 @@ class Results:
     ignored: DataFrame
     rejects: DataFrame
     errors: DataFrame
+    scores: DataFrame
+    tests: DataFrame
 
 
 def lost_feeders(asked: DataFrame, panel: DataFrame, errors: DataFrame) -> DataFrame:
@@ -135,9 +137,15 @@ def run_requests(
     id_col: str | None = None,
     models: Sequence[str] | None = None,
     carry: str = "sum",
+    metrics: Mapping[str, Column] | None = None,
+    states: Sequence[str] | None = None,
+    axis_order: str = "lat_lon",
 ) -> Results:
     """Everything a batch asks for. Panel, weather and forecast are made once per set and date, no
-    matter how many requests need them. Without bound stations the panel has no weather."""
+    matter how many requests need them. Without bound stations the panel has no weather.
+
+    `states` keeps the stations of these states only; `metrics` adds scores of the candidates.
+    """
     valid, rejects = parse_requests(payloads, json_col, id_col)
     valid = cut(valid, "requests")
     runs = cut(runs_of(valid), "runs")
@@ -147,8 +155,11 @@ def run_requests(
     if "stations" in tables:
         points = tables.read("feeder_points")
         points = points.toDF(*["cod_alim" if c in ("code", "ctmt") else c for c in points.columns])
+        stations = tables.read("stations")
+        if states is not None:
+            stations = stations.where(F.col("state_initials").isin(list(states)))
         panel, weather_errors = panel_with_weather(
-            raw, members, runs, points, tables.read("stations"), tables.read("station_history")
+            raw, members, runs, points, stations, tables.read("station_history"), axis_order=axis_order
         )
         weather_errors = weather_errors.withColumn("cod_alim", F.col("cod_alim").cast("string"))
         errors = errors.unionByName(weather_errors, allowMissingColumns=True)
@@ -156,7 +167,7 @@ def run_requests(
         panel = build_panel(raw, members, runs)
     monthly = cut(monthly_goals(goals_long(tables.read("goals"))), "goals")
     goals = cut(goal_window(monthly, runs), "goal_window")
-    made = forecast(panel, goals, models)
+    made = forecast(panel, goals, models, metrics=metrics)
     errors = errors.unionByName(made.errors.withColumn("cod_alim", F.col("cod_alim").cast("string")), allowMissingColumns=True)
     errors = errors.unionByName(lost_feeders(feeders_of(runs, members), made.panel, errors), allowMissingColumns=True)
     no_goal = goals.where(F.col("chi_goal").isNull() & (F.col("horizon") >= 1)).select("conjunto", "pred_month").distinct()
@@ -186,4 +197,4 @@ def run_requests(
         carry,
     )
     tasks = cut(tasks, "tasks")
-    return Results(suggestions, tasks, unserved(valid, suggestions, tasks), rejects, errors)
+    return Results(suggestions, tasks, unserved(valid, suggestions, tasks), rejects, errors, made.scores, made.tests)

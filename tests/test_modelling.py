@@ -230,3 +230,33 @@ def test_large_outages(spark):
     events = spark.createDataFrame(rows, "cod_alim string, id_interrupcao long, chi_tot double, grupo string, tag_urb_rur string")
     got = {r.service: (r.cnt, r.chi) for r in attribute(events, ["cod_alim"]).collect()}
     assert got == {"total": (4, 1.5e13 + 0.000001), "poda": (3, 1.05e13 + 0.000001)}
+
+
+def test_trees_and_penalties():
+    from gridtide.operators import series_models as S
+
+    draw = np.random.default_rng(4)
+    x, new = draw.normal(size=(60, 6)), draw.normal(size=(30, 6))
+    truth = lambda a: 4 * (a[:, 1] > 0.2) + 2 * a[:, 0]
+    y = truth(x)
+    blind = np.sqrt(((truth(new) - y.mean()) ** 2).mean())
+    for fit in (S.one_tree, S.forest, S.boosted, S.lasso, S.elastic_net):
+        pred = fit(x, y, new)
+        assert np.sqrt(((pred - truth(new)) ** 2).mean()) < 0.9 * blind
+        assert (fit(x, y, new) == pred).all()
+        assert fit(x[:1], y[:1], new[:2]) == pytest.approx([y[0]] * 2)
+        assert fit(np.zeros((5, 0)), np.arange(5.0), np.zeros((2, 0))) == pytest.approx([2.0, 2.0], abs=1.0)
+    feature, limit, low, high = S.grow(np.array([[1.0], [2.0], [3.0], [4.0]]), np.array([0.0, 0, 10, 10]), 3)
+    assert (feature, limit, low, high) == (0, 2.5, 0.0, 10.0)
+    plain = np.linalg.lstsq(np.column_stack([np.ones(60), x]), 2 * x[:, 0] + 1, rcond=None)[0]
+    assert S.elastic_net(x, 2 * x[:, 0] + 1, x, alpha=0.0) == pytest.approx(np.column_stack([np.ones(60), x]) @ plain)
+
+
+def test_metrics_and_test_predictions_reach_the_caller(spark):
+    rows = [("C", dt.date(2020, 2, 1), "f", 1, dt.date(2018, 1 + k % 12, 1) if k < 12 else dt.date(2019, 1 + k % 12, 1), 100.0 + k, 0.5) for k in range(24)]
+    panel = spark.createDataFrame(rows, "conjunto string, pred_month date, cod_alim string, months_ahead int, month date, chi_total double, feeder_effect double")
+    panel = panel.withColumns({"ano": F.year("month"), "mes": F.month("month"), "cons_conjunto": F.lit(1.0), "qtde_cliente_total": F.lit(1.0), "qtde_cliente_ru": F.lit(1.0), "qtde_cliente_ub": F.lit(1.0), "DESCR_NOVO": F.lit("C"), "month_weighted": F.lit(1)})
+    goals = spark.createDataFrame([("C", dt.date(2020, 2, 1), dt.date(2020, 2, 1), 1, 10.0)], "conjunto string, pred_month date, month date, horizon int, chi_goal double")
+    made = forecast(panel, goals, ["mean", "tree"], metrics={"worst": F.max(F.abs(F.col("y") - F.col("pred")))})
+    assert {r.model for r in made.tests.collect()} == {"mean", "tree"} and made.tests.count() == 6
+    assert all(r.worst >= r.rmse for r in made.scores.collect())
