@@ -129,7 +129,7 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, reach=6000)
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
 @query

@@ -2,7 +2,8 @@
 
 A vector gets one more component, so that the order by inner product becomes the order by distance. Its two
 halves are quantised separately; a cell is a pair of centroids. A query goes through the cells by the sum
-of its distances to the two centroids, with a heap, until the cells passed hold `reach` different vectors.
+of its distances to the two centroids, with a heap, until the cells passed hold `reach` different vectors;
+the reach is calibrated on a bounded sample of the queries.
 Cells are packed into shards of about `SHARD` vectors, large cells over several shards; all entries of
 the shards that a query touches are ranked by their exact inner products.
 
@@ -35,6 +36,7 @@ CENTROIDS = 1024  # of each half, at most
 PER_CELL = 8  # vectors in a cell that the number of centroids aims at
 SHARD = 512
 CHUNK = 2048  # queries that meet a shard in one go
+CALIBRATION = 64  # queries whose true neighbours are looked up to set the reach
 
 
 def fit_centroids(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -98,30 +100,50 @@ class MultiIndex:
             else:
                 filled += r
 
-    def probe(self, queries: np.ndarray, reach: int) -> Iterator[np.ndarray]:
-        """The shards of each query: cells by summed distance until `reach` different vectors are passed."""
+    def walk(self, queries: np.ndarray) -> Iterator[Iterator[int]]:
+        """For each query the cells that hold vectors, by the sum of the distances to their centroids."""
         a, b = self.halves(queries, True)
-        every, per_row = distances(a, self.first), len(self.second)
-        for one, two in zip(every, distances(b, self.second)):
-            x, y = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
-            near, far = one[x].tolist(), two[y].tolist()
-            rows, columns = (x * per_row).tolist(), y.tolist()
-            passed, found, heap, deep = 0, set(), [(near[0] + far[0], 0, 0)], [0] * len(near)
-            while heap and passed < reach:
-                _, i, j = heapq.heappop(heap)
-                cell = rows[i] + columns[j]
-                n = self.size[cell]
-                if n:
-                    passed += int(n)
-                    found.update(range(self.shard[cell], self.shard[cell] + self.shards[cell]))
-                # the next cells are those whose neighbours towards the corner have all been passed
-                deep[i] = j + 1
-                if j + 1 < len(far) and (i == 0 or deep[i - 1] > j + 1):
-                    heapq.heappush(heap, (near[i] + far[j + 1], i, j + 1))
-                if i + 1 < len(near) and deep[i + 1] == j:
-                    heapq.heappush(heap, (near[i + 1] + far[j], i + 1, j))
+        for one, two in zip(distances(a, self.first), distances(b, self.second)):
+            yield self._cells_by_sum(one, two)
+
+    def _cells_by_sum(self, one: np.ndarray, two: np.ndarray) -> Iterator[int]:
+        x, y = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
+        near, far = one[x].tolist(), two[y].tolist()
+        rows, columns = (x * len(two)).tolist(), y.tolist()
+        heap, deep = [(near[0] + far[0], 0, 0)], [0] * len(near)
+        while heap:
+            _, i, j = heapq.heappop(heap)
+            if self.size[rows[i] + columns[j]]:
+                yield rows[i] + columns[j]
+            # the next cells are those whose neighbours towards the corner have all been passed
+            deep[i] = j + 1
+            if j + 1 < len(far) and (i == 0 or deep[i - 1] > j + 1):
+                heapq.heappush(heap, (near[i] + far[j + 1], i, j + 1))
+            if i + 1 < len(near) and deep[i + 1] == j:
+                heapq.heappush(heap, (near[i + 1] + far[j], i + 1, j))
+
+    def probe(self, queries: np.ndarray, reach: int) -> Iterator[np.ndarray]:
+        """The shards of each query: those of its cells until `reach` different vectors are passed."""
+        for cells in self.walk(queries):
+            passed, found = 0, set()
+            for cell in cells:
+                found.update(range(self.shard[cell], self.shard[cell] + self.shards[cell]))
+                passed += int(self.size[cell])
+                if passed >= reach:
+                    break
             yield np.array(sorted(found), np.int64)
 
+    def needed(self, query: np.ndarray, shards: list[int]) -> list[int]:
+        """For each of some shards the least reach with which the query touches it."""
+        passed, at = 0, {}
+        for cell in next(self.walk(query[None])):
+            for shard in range(self.shard[cell], self.shard[cell] + self.shards[cell]):
+                at.setdefault(int(shard), passed + 1)
+            passed += int(self.size[cell])
+            if len(at) >= len(shards) and all(s in at for s in shards):
+                break
+        return [at[s] for s in shards]
+
 
 def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
     if isinstance(column, pd.Series):
@@ -163,10 +185,41 @@ def _rank(k: int):
     return best
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: int = 4000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def calibrated_reach(dealt: DataFrame, queries: DataFrame, index: MultiIndex, k: int, recall: float) -> int:
+    """The least reach that finds `recall` of the true neighbours of a bounded sample of the queries.
+
+    `dealt`: (vec_id, v, shard) of all vectors; each task returns its `k` best for each sampled query.
+    """
+    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).toArrow()
+    if not sample.num_rows:
+        return 1
+    ids, points = sample.column("vec_id").to_numpy(), _matrix(sample.column("v").combine_chunks())
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, shard = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            scores = np.where(own[None, :] == ids[:, None], -np.inf, points @ _matrix(batch.column(1)).T)
+            top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            row = np.repeat(np.arange(len(ids)), top.shape[1])
+            flat = top.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own[flat]), pa.array(shard[flat]), pa.array(scores[row, flat])], ["q", "vec_id", "shard", "score"])
+
+    found = dealt.mapInArrow(best, "q long, vec_id long, shard long, score double").where(F.col("score") > float("-inf"))
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
+    true: dict[int, list[int]] = {}
+    for r in found.withColumn("rank", rank).where(F.col("rank") <= k).select("q", "shard").collect():  # k rows a sampled query
+        true.setdefault(r.q, []).append(r.shard)
+    needed = sorted(n for q, shards in true.items() for n in index.needed(points[q], shards))
+    return needed[math.ceil(recall * len(needed)) - 1] if needed else 1
+
+
+def nearest(
+    vectors: DataFrame, is_query: Column, k: int = 20, reach: int | None = None, recall: float = 0.97, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: the `k` nearest found of each row where `is_query` holds.
 
-    `is_query` is a condition on `vec_id`, an integer. `reach` trades recall against work.
+    `is_query` is a condition on `vec_id`, an integer. `reach` trades recall against work; by default it is
+    what finds `recall` of the true neighbours of `CALIBRATION` queries.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -212,6 +265,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: int = 4000
     dealt = entries.mapInArrow(deal, "vec_id long, v array<double>, shard long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     queries = rows.where(is_query).select("vec_id", "v").repartition(parts)
+    if reach is None:
+        reach = calibrated_reach(dealt, queries, packed, k, recall)
     probes = cut(queries.mapInArrow(probe, "query_id long, q array<double>, shard long"), "probes")
     chunks = probes.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     left = dealt.join(chunks, "shard").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)"))).select("shard", "chunk", "vec_id", "v")
