@@ -154,12 +154,14 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, row
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["toxic", "bits"])
 
     table = chosen.mapInArrow(rows_of, "toxic int, bits binary").toArrow()
-    flags = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, FEATURES // 8)
+    # in a fixed order, so that the same sample always gives the same model
+    known = sorted(zip(table.column("bits").to_pylist(), table.column("toxic").to_pylist()))
+    flags = np.frombuffer(b"".join(b for b, _ in known), np.uint8).reshape(-1, FEATURES // 8)
     x = np.unpackbits(flags, axis=1)[:, : len(best)].astype(np.float32) * ratio[best].astype(np.float32)
     # the intercept is one more feature, as large as a usual row
     constant = np.float32(np.sqrt((x**2).sum(axis=1).mean()) + 1)
     x = np.concatenate([x, np.full((len(x), 1), constant)], axis=1)
-    weight = _fit(x, table.column("toxic").to_numpy().astype(np.float32)).astype(np.float64)
+    weight = _fit(x, np.array([t for _, t in known], np.float32)).astype(np.float64)
     return Model(place, weight[:-1] * ratio[best], float(weight[-1]) * float(constant))
 
 
