@@ -1,7 +1,7 @@
 """Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
-Detected are e-mail addresses, telephone numbers, IPv4 addresses, long account numbers and titled names of
-persons. An entity is a type and a canonical form, so that all spellings of it, in all documents, get the
+Detected are e-mail addresses, telephone numbers, social security numbers, IPv4 addresses, IBANs, long account
+numbers and titled names of persons. An entity is a type and a canonical form, so that all spellings of it, in all documents, get the
 same surrogate. The surrogate is drawn from a keyed hash and written in the format of the mention.
 
 Different entities must stay different. The distinct entities of the corpus draw surrogates; where two
@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import hmac
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -59,9 +60,13 @@ EMAIL = regex.compile(r"(?<![\w.+%-])[\w.+%-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-
 NUMBERS = regex.compile(
     r"(?<![\w.])(?:"
     r"(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?!\.?\w)"
+    r"|(?P<iban>[A-Z]{2}\d{2}(?P<gap> ?)(?:[A-Z0-9]{4}(?P=gap)){2,7}[A-Z0-9]{1,4})(?!\w)"
+    r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?P<account>\d{13,19}|\d{4}(?P<between>[ -])\d{4}(?P=between)\d{4}(?P=between)\d{4})(?![\w-]|\.\d)"
     r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,3}))(?!\w)"
 )
+# What every number above contains; most texts have neither, and are done at that.
+LIKELY = re.compile(r"\d[\d .()+-]{5,}|[A-Z]{2}\d{2}")
 PERSON = regex.compile(rf"(?<!\w)(?P<title>{_titles})(?P<dot>\.?) (?P<name>\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}})")
 
 
@@ -92,11 +97,11 @@ def detect(text: str) -> list[Mention]:
     found = []
     if "@" in text:
         found += [Mention(m.start(), m.end(), "email", m[0].lower(), m[0]) for m in EMAIL.finditer(text)]
-    for m in NUMBERS.finditer(text):
-        kind = next(k for k in ("ip", "account", "phone") if m[k])
-        if kind == "phone" and not (m[0].startswith("+") or "(" in m[0]) and not 9 <= len(_digits(m[0])) <= 15:
+    for m in NUMBERS.finditer(text) if LIKELY.search(text) else ():
+        kind = next(k for k in ("ip", "iban", "ssn", "account", "phone") if m[k])
+        if kind == "phone" and not (7 if m[0].startswith("+") or "(" in m[0] else 9) <= len(_digits(m[0])) <= 15:
             continue
-        canon = m[0] if kind == "ip" else ("+" if m[0].startswith("+") else "") + _digits(m[0])
+        canon = m[0].replace(" ", "") if kind in ("ip", "iban") else ("+" if m[0].startswith("+") else "") + _digits(m[0])
         found.append(Mention(m.start(), m.end(), kind, canon, m[0]))
     for m in PERSON.finditer(text):
         gender = next(g for g, names in TITLES.items() if m["title"] in names)
@@ -137,6 +142,10 @@ def _luhn(digits: str) -> int:
     return sum(d - 9 if d > 9 else d for d in twice) % 10
 
 
+def _mod97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def _domain(key: bytes, domain: str) -> str:
     """The same for all addresses of a domain; the top level stays."""
     draw = Draw(key, "domain", domain, 0)
@@ -155,7 +164,10 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int = 0) -> str:
         kept = 1 if parts[0] in ("10", "127") else 2 if parts[:2] == ["192", "168"] else 0
         first = [str(1 + draw.below(223))] if not kept else parts[:kept]
         return ".".join(first + [str(1 + draw.below(254)) for _ in range(4 - len(first))])
-    if kind in ("phone", "account"):
+    if kind == "iban":
+        out = canon[:2] + "".join(map(draw.like, canon[2:])).upper()
+        return f"{out[:2]}{98 - _mod97(out[:2] + '00' + out[4:]):02d}{out[4:]}" if _mod97(canon) == 1 else out
+    if kind in ("phone", "account", "ssn"):
         kept = 2 if canon.startswith("+") else 0
         out = canon[:kept] + "".join(map(draw.like, canon[kept:]))
         if kind == "account" and _luhn(canon) == 0:
@@ -175,7 +187,10 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int = 0) -> str:
 
 def render(mention: Mention, drawn: str) -> str:
     """A surrogate in the format of the mention: its separators and its case."""
-    if mention.kind in ("phone", "account"):
+    if mention.kind == "iban":
+        chars = iter(drawn)
+        return "".join(c if c == " " else next(chars) for c in mention.text)
+    if mention.kind in ("phone", "account", "ssn"):
         digits = iter(_digits(drawn))
         return "".join(next(digits) if c.isdigit() else c for c in mention.text)
     if mention.kind == "person":

@@ -29,6 +29,15 @@ def test_detection():
     assert kinds("In 2024 there were 12 of 3,000. deadbeef1234") == []
 
 
+def test_account_formats():
+    old = "078-05-1120, DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432."
+    was, now = detect(old), detect(replaced(old))
+    assert [m.kind for m in was] == [m.kind for m in now] == ["ssn", "iban", "iban"]
+    assert [[c.isdigit() for c in m.text] for m in was[:2]] == [[c.isdigit() for c in m.text] for m in now[:2]]
+    assert all(surrogates._mod97(m.canon) == 1 for m in was[1:] + now[1:]) and now[1].text.startswith("DE")
+    assert all(a.canon != b.canon for a, b in zip(was, now))
+
+
 def test_surrogates_keep_format():
     old = "jo.81@mail4.example.com JO.81@MAIL4.EXAMPLE.COM 4111-1111-1111-1111 192.168.3.4 +1 (543) 555-1435 Mrs. Jane Doe, Mr JOHN DOE, Госпожа Иванова"
     new = replaced(old)
