@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import Data, check
 from catalog.aggregates import CAUSED, CAUSED_USES, EVENT_COLUMNS, UNIT_COLUMNS, UNITS
-from catalog.allocation import ELIGIBLE, MONTHS, US, month_sql, scaled_sql, volume_sql
+from catalog.allocation import ELIGIBLE, MONTHS, RANK, US, month_sql, scaled_sql, volume_sql
 from catalog.bindings import AHEAD, ASOF
 from catalog.modelling import FORECAST, FORECAST_USES, SQL_MODELS
 from catalog.relational import PANEL, PANEL_USES, goals, panel, text_dates
@@ -132,16 +132,19 @@ def _(data):
     return modes.select("conjunto", "horizon", F.col("by_feeder").cast("int").alias("by_feeder"))
 
 
-_ASSIGN = (
-    FORECAST
-    + ELIGIBLE
-    + f"""
+# What both assignment jobs share, from the forecast to the plan of each month.
+_PLAN = """
 , totals AS (SELECT conjunto, horizon, CAST(sum(CAST(pred AS DECIMAL(24,6))) AS DOUBLE) AS set_pred FROM forecast GROUP BY conjunto, horizon)
 , plan AS (SELECT f.conjunto, f.cod_alim AS feeder, f.horizon, effect, round_even((goal_chi - pred) / nullif(goal_chi, 0), 2) AS delta,
      chi_goal >= set_pred AS by_feeder FROM forecast f JOIN totals t ON f.conjunto = t.conjunto AND f.horizon = t.horizon
      JOIN goals g ON f.conjunto = g.conjunto AND f.horizon = g.horizon)
-, us1 AS (SELECT r_name AS conjunto, CAST({US} AS DOUBLE) AS us FROM region), open1 AS (SELECT * FROM eligible)
 """
+_OPEN = ", us1 AS (SELECT r_name AS conjunto, CAST({} AS DOUBLE) AS us FROM region), open1 AS (SELECT * FROM eligible)"
+_ASSIGN = (
+    FORECAST
+    + ELIGIBLE
+    + _PLAN
+    + _OPEN.format(US)
     + month_sql(1)
     + month_sql(2)
     + "/*recursive*/ "
@@ -254,9 +257,37 @@ def _(data):
     return delivered.unionByName(reported).groupBy(*feeder).agg(*[F.sum(c).cast("int").alias(c) for c in ("delivered", "reported")])
 
 
-@check("J6_batch_tasks")
+_BATCH_TASKS = (
+    FORECAST
+    + f"""
+, eligible AS (SELECT sigla_conjunto AS conjunto, alimentador AS feeder, idservico, date_time, {RANK} AS prio, us FROM
+   (SELECT CAST(substr(se, 3) AS INTEGER) AS nation, idservico, prioridade, status_servico,
+       CAST(concat(data_cadastro, ' ', hora_do_cadastro) AS TIMESTAMP) AS date_time,
+       CAST(replace(us_servico, ',', '.') AS DECIMAL(24,6)) AS us FROM inspections) i
+   JOIN feeder_set ON nation = alimentador
+   WHERE prioridade <> 'X' AND status_servico = 'PR' AND us <> 0
+     AND date_time BETWEEN DATE '{ASOF}' - INTERVAL 59 MONTH AND DATE '{ASOF}')
+"""
+    + _PLAN
+    + _OPEN.format(150)
+    + month_sql(1)
+    + month_sql(2)
+    + "/*recursive*/ "
+    + " UNION ALL ".join(
+        f"""SELECT concat((SELECT r_regionkey FROM region WHERE r_name = p.conjunto), ':1') AS request_id, p.conjunto,
+            concat('F', lpad(CAST(p.feeder AS VARCHAR), 2, '0')) AS feeder, p.idservico, {m} AS horizon, i.prioridade,
+            CAST(p.us AS DOUBLE) AS us, CAST(e.date_time AS VARCHAR) AS date_time
+            FROM picks{m} p JOIN inspections i ON p.idservico = i.idservico JOIN eligible e ON e.idservico = p.idservico"""
+        for m in (1, 2)
+    )
+)
+
+
+@check("J6_batch_tasks", _BATCH_TASKS, (*FORECAST_USES, "inspections", "feeder_set"))
 def _(data):
-    return text_dates(batch(data).tasks.drop("year", "month"))
+    """What is handed out; the other columns of a task are those of J7."""
+    tasks = batch(data).tasks.withColumn("us", F.col("us servico").cast("double"))
+    return text_dates(tasks.select("request_id", "conjunto", "feeder", "idservico", "horizon", "prioridade", "us", "date_time"))
 
 
 @check(
