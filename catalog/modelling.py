@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +69,15 @@ def shown(df: DataFrame, columns, digits=4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-@check("H3_prepared_features")
+@check(
+    "H3_prepared_features",
+    """WITH d AS (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS x, CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DOUBLE) END AS b,
+                      c_mktsegment AS s, strftime(o_orderdate, '%Y-%m') AS m FROM orders JOIN customer ON o_custkey = c_custkey),
+            f AS (SELECT * EXCLUDE (b), coalesce(b, (SELECT avg(b) FROM d)) AS b FROM d),
+            n AS (SELECT avg(x) AS mx, stddev_samp(x) AS sx, avg(b) AS mb, stddev_samp(b) AS sb FROM f)
+       SELECT o_orderkey, round((x - mx) / sx, 5) AS total, round((b - mb) / sb, 5) AS balance,
+              dense_rank() OVER (ORDER BY s) - 1 AS segment, dense_rank() OVER (ORDER BY m) - 1 AS month FROM f CROSS JOIN n""",
+)
 def _(data):
     """Numbers filled and scaled, low-cardinality text as 0/1 columns, the rest as codes."""
     df = data["orders"].join(data["customer"], F.col("o_custkey") == F.col("c_custkey")).select(
@@ -80,7 +89,15 @@ def _(data):
     )
     features = ["o_totalprice", "balance", "c_mktsegment", "month"]
     made = preparation(df, features).fit(df).transform(df)
-    return made.select("o_orderkey", F.col("__features").cast("string").alias("features"))
+    parts = vector_to_array("__features")
+    return made.withColumn("parts", parts).select(
+        "o_orderkey",
+        F.round(F.get("parts", F.lit(0)), 5).alias("total"),
+        F.round(F.get("parts", F.lit(1)), 5).alias("balance"),
+        # the place of the only 1 among the 0/1 columns
+        (F.array_position(F.slice("parts", F.lit(3), F.size("parts") - 3), 1.0) - 1).alias("segment"),
+        F.element_at("parts", -1).cast("bigint").alias("month"),
+    )
 
 
 @check(
