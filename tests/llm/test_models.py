@@ -110,3 +110,12 @@ def test_language_odd_rows(spark):
     assert langid.train(docs.limit(0)) is None
     assert [r.lang_pred for r in langid.identify(docs, None).collect()] == ["und"] * 5
     assert langid.identify(docs.limit(0), model).count() == 0
+
+
+def test_rare_runs_back_off_where_tables_are_full(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STORED", 60)
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([("the cat and the dog " * 5 + "xylophone zebra", "en"), ("le chat et le chien " * 5, "fr")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert 0 < len(model.runs[3].hashes) <= 60
+    assert [r.lang_pred for r in langid.identify(docs, model).collect()] == ["en", "fr"]
