@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridtide.llm.batches import slices
 from gridtide.session import cut
 
 SAMPLE = 16_000  # labelled rows to fit on, at most
@@ -110,7 +111,7 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column | None, rows: int
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, 1 << BITS), np.int32)
     docs, seen = np.zeros(2, np.int64), np.zeros(1 << BITS, bool)
-    for batch in batches:
+    for batch in slices(batches):
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             seen[ngrams(text)] = True
             found = np.flatnonzero(seen)
@@ -125,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, row
     """Fits a model. The driver gets counts and bit rows, whose sizes do not depend on the texts."""
     chosen = cut(sample(docs, labels, allowed, rows), "sample")
     counts, docs_of = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").toLocalIterator():
+    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").collect():  # a row a task
         raw = pa.decompress(row.counts, decompressed_size=counts.size * 4, codec="zstd", asbytes=True)
         counts += np.frombuffer(raw, np.int32).reshape(counts.shape)
         docs_of += row.docs
@@ -173,7 +174,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     at = others.index(text_col)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = [packed.value.score(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*others, "score"])
 
