@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, row
     """Fits a model. The driver gets counts and bit rows, whose sizes do not depend on the texts."""
     chosen = cut(sample(docs, labels, allowed, rows), "sample")
     counts, docs_of = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").collect():  # a row a task
+    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").toLocalIterator():  # a row at a time
         raw = pa.decompress(row.counts, decompressed_size=counts.size * 4, codec="zstd", asbytes=True)
         counts += np.frombuffer(raw, np.int32).reshape(counts.shape)
         docs_of += row.docs
@@ -158,10 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, row
     # in a fixed order, so that the same sample always gives the same model
     known = sorted(zip(table.column("bits").to_pylist(), table.column("toxic").to_pylist()))
     flags = np.frombuffer(b"".join(b for b, _ in known), np.uint8).reshape(-1, FEATURES // 8)
-    x = np.unpackbits(flags, axis=1)[:, : len(best)].astype(np.float32) * ratio[best].astype(np.float32)
+    # one matrix, filled in place: with `SAMPLE` rows it is most of what the driver holds
+    x = np.zeros((len(known), len(best) + 1), np.float32)
+    x[:, :-1] = np.unpackbits(flags, axis=1)[:, : len(best)]
+    x[:, :-1] *= ratio[best].astype(np.float32)
     # the intercept is one more feature, as large as a usual row
-    constant = np.float32(np.sqrt((x**2).sum(axis=1).mean()) + 1)
-    x = np.concatenate([x, np.full((len(x), 1), constant)], axis=1)
+    constant = np.float32(np.sqrt(np.einsum("ij,ij->", x, x, dtype=np.float64) / len(known)) + 1)
+    x[:, -1] = constant
     weight = _fit(x, np.array([t for _, t in known], np.float32)).astype(np.float64)
     return Model(place, weight[:-1] * ratio[best], float(weight[-1]) * float(constant))
 
