@@ -4,8 +4,8 @@ A vector gets one more component, so that the order by inner product becomes the
 halves are quantised separately; a cell is a pair of centroids. A query goes through the cells by the sum
 of its distances to the two centroids, with a heap, until the cells passed hold `reach` different vectors;
 the reach is calibrated on a bounded sample of the queries.
-Cells are packed into shards of about `SHARD` vectors, large cells over several shards; all entries of
-the shards that a query touches are ranked by their exact inner products.
+Cells are packed into shards, large cells over several; all entries of the shards that a query touches
+are ranked by their exact inner products.
 
 The centroids are fitted on a bounded sample (`SAMPLE` vectors); every vector is indexed. The number of
 cells grows with the number of vectors, up to `CENTROIDS` squared.
@@ -34,7 +34,8 @@ from gridtide.session import cut
 SAMPLE = 16_384
 CENTROIDS = 1024  # of each half, at most
 PER_CELL = 8  # vectors in a cell that the number of centroids aims at
-SHARD = 512
+SHARD, LARGEST_SHARD = 512, 65_536  # vectors in a shard, at least and at most
+SHARDS = 24  # that a table is cut into while shards need not be larger
 CHUNK = 2048  # queries that meet a shard in one go
 CALIBRATION = 64  # queries whose true neighbours are looked up to set the reach
 
@@ -85,14 +86,19 @@ class MultiIndex:
         return assign(a, self.first) * len(self.second) + assign(b, self.second)
 
     def pack(self, cell: np.ndarray, rows: np.ndarray, different: np.ndarray) -> None:
-        """Neighbouring small cells share a shard; a large cell has its own."""
+        """Neighbouring small cells share a shard; a large cell has its own.
+
+        Each shard returns its best for each query that touches it, so few large ones are better than
+        many small ones, as long as one fits a task.
+        """
+        per_shard = min(LARGEST_SHARD, max(SHARD, math.ceil(int(rows.sum()) / SHARDS)))
         n = len(self.first) * len(self.second)
         self.size, self.shard, self.shards = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.zeros(n, np.int64)
         self.size[cell] = different
         current, filled = 0, 0
         for c, r in sorted(zip(cell.tolist(), rows.tolist())):
-            need = max(1, math.ceil(r / SHARD))
-            if filled and filled + r > SHARD:
+            need = max(1, math.ceil(r / per_shard))
+            if filled and filled + r > per_shard:
                 current, filled = current + 1, 0
             self.shard[c], self.shards[c] = current, need
             if need > 1:
