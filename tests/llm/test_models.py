@@ -119,3 +119,28 @@ def test_rare_runs_back_off_where_tables_are_full(spark, monkeypatch):
     model = langid.train(docs)
     assert 0 < len(model.runs[3].hashes) <= 60
     assert [r.lang_pred for r in langid.identify(docs, model).collect()] == ["en", "fr"]
+
+
+def test_languages_keep_every_run_beyond_the_stored_ones(spark, monkeypatch):
+    """Tables joined in Spark give what whole tables give; rare runs and the statistics of all runs count."""
+    words = {"en": "the cat and dog walked home over green fields", "fr": "le chat et chien marche vers la maison verte", "de": "die katze und der hund laufen nach hause"}
+    rows = [(k, " ".join(text.split()[k % 5 :] + [f"{chr(97 + k % 26)}{chr(97 + k * 7 % 26)}q{chr(98 + k % 9)}é" * 2]), lang) for k in range(30) for lang, text in words.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    odd = [(1, None), (2, "123"), (3, "le chat zzqx"), (3, "le chat zzqx"), (4, "a"), (5, "Ωμέγα der hund " * 50), (None, "the xylophone")]
+    asked = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+
+    def result(model):
+        return sorted((str(r.doc_id), str(r.text), r.lang_pred, r.score, r.rejected) for r in langid.identify(asked, model).collect())
+
+    model = langid.train(docs)
+    want = result(model)
+    for stored in (40, 0):
+        monkeypatch.setattr(langid, "STORED", stored)
+        other = langid.train(docs)
+        assert len(other.runs[3].hashes) <= stored < len(model.runs[3].hashes) == other.rest.runs[3].count()
+        assert other.sharpness == model.sharpness and other.limit == pytest.approx(model.limit)
+        got = result(other)
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-9)
+        # the limit is the cost of a text, whose last digits may differ
+        assert sum(g[4] != w[4] for g, w in zip(got, want)) <= 1
