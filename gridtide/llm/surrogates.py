@@ -9,13 +9,16 @@ entities draw the same, or one draws what occurs in the corpus, all but one draw
 Only the entities with further draws travel to the texts: as a broadcast up to `BROADCAST_ROWS` of them, by
 a join beyond.
 
-Cases: a null text is empty. Mentions do not overlap; the leftmost and then the longest counts. Rows with
+Each kind of number has its own pattern over the whole text, and a telephone number ends where another number
+begins (`_phones`). Cases: a null text is empty. Mentions do not overlap; of two that would, the kind that comes
+first in `detect` counts. Rows with
 equal id and text get equal results; null ids are ids like others. Columns of the input whose names the
 result uses are replaced. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import hmac
@@ -57,14 +60,14 @@ FAMILY = {
 _titles = "|".join(sorted({t for names in TITLES.values() for t in names}, key=len, reverse=True))
 
 EMAIL = regex.compile(r"(?<![\w.+%-])[\w.+%-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w-])")
-NUMBERS = regex.compile(
-    r"(?<![\w.])(?:"
-    r"(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?!\.?\w)"
-    r"|(?P<iban>[A-Z]{2}\d{2}(?P<gap> ?)(?:[A-Z0-9]{4}(?P=gap)){2,7}[A-Z0-9]{1,4})(?!\w)"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<account>\d{13,19}|\d{4}(?P<between>[ -])\d{4}(?P=between)\d{4}(?P=between)\d{4})(?![\w-]|\.\d)"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,3}))(?!\w)"
-)
+IP = regex.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\.?\w)")
+IBAN = regex.compile(r"(?<![\w.])[A-Z]{2}\d{2}(?P<gap> ?)(?:[A-Z0-9]{4}(?P=gap)){2,7}[A-Z0-9]{1,4}(?!\w)")
+SSN = regex.compile(r"(?<![\w.]|\d-)\d{3}-\d{2}-\d{4}(?![\w-])")
+ACCOUNT = regex.compile(r"(?<![\w.])(?:\d{13,19}|\d{4}(?P<between>[ -])\d{4}(?P=between)\d{4}(?P=between)\d{4})(?![\w-]|\.\d)")
+PHONE = regex.compile(r"(?<![\w.])(?:\+(?P<country>\d{1,3})[ .-]?)?(?:\((?P<area>\d{2,4})\)[ .-]?)?(?P<group>\d{2,4})(?:[ .-](?P<group>\d{2,4})){1,3}(?!\w)")
+# a number in the form of country code 1, whose last group could begin an account
+SURE_PHONE = regex.compile(r"(?<![\w.]|\+\d{1,3}[ .-]?)(?:\+1[ .-]?(?:\(\d{3}\)[ .-]?|\d{3}[ .-]?)|\(\d{3}\)[ .-]?)\d{3}[ .-]\d{4}(?![\w]|[.-]\d)")
+YEAR = re.compile(r"(?:19|20)\d\d")
 # What every number above contains; most texts have neither, and are done at that.
 LIKELY = re.compile(r"\d[\d .()+-]{5,}|[A-Z]{2}\d{2}")
 PERSON = regex.compile(rf"(?<!\w)(?P<title>{_titles})(?P<dot>\.?) (?P<name>\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}})")
@@ -92,27 +95,88 @@ def script_of(text: str) -> str:
     return "latin"
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """A word or number behind an IBAN is not part of it if the check digits say so."""
+    at = 0
+    while m := IBAN.search(text, at):
+        ends = [m.end()] + [k for k in range(m.end() - 1, m.start() + 14, -1) if text[k] == " "]
+        at = next((e for e in ends if _mod97(text[m.start() : e].replace(" ", "")) == 1), m.end())
+        yield m.start(), at
+
+
+def _accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Of accounts that overlap in a row of groups, those that begin a row and have right check digits come first."""
+    found, taken = [m.span() for m in ACCOUNT.finditer(text, overlapped=True)], []
+    for begin, end in sorted(found, key=lambda s: (text[max(0, s[0] - 1)] in "-." and text[s[0] + 4] == " ", _luhn(_digits(text[s[0] : s[1]])) != 0, s[0])):
+        k = bisect.bisect(taken, (begin, end))
+        if (not k or taken[k - 1][1] <= begin) and (k == len(taken) or end <= taken[k][0]):
+            taken.insert(k, (begin, end))
+    yield from taken
+
+
+def _phones(text: str) -> Iterator[tuple[int, int]]:
+    """Telephone numbers, without the numbers beside them.
+
+    A number of the form 3-3-4, with or without country code 1, ends there. Others end before a group set off by a
+    space if closer separators stand in front, and before a year if the number is long enough without. Else, up to
+    four groups and 15 digits belong to the number.
+    """
+    at = 0
+    while m := PHONE.search(text, at):
+        groups = m.spans("group")
+        seps = [text[b - 1] for b, _ in groups[1:]]
+        sizes = [e - b for b, e in groups]
+        plain = not (m["country"] or m["area"])
+        end = None
+        if not (plain and sizes[1:] == [3, 3, 4] and seps[0] == " " and seps[1] == seps[2] != " "):  # else a number stands before a telephone number
+            for k in range(1, len(groups)):
+                n = len(_digits(text[m.start() : groups[k][1]]))
+                if not (9 if plain else 7) <= n <= 15:
+                    continue
+                end = groups[k][1]
+                if k + 1 == len(groups):
+                    break
+                known = n == 11 and text.startswith("+1", m.start()) or m["area"] and not m["country"] and n == 10 and sizes[k] == 4 or plain and sizes[: k + 1] == [3, 3, 4]
+                year = seps[k] == " " and YEAR.fullmatch(text, *groups[k + 1])
+                looser = seps[k] == " " and seps[k - 1] != " "
+                if known or looser and (n >= 9 or year) or year and n >= 10:
+                    break
+        if end:
+            yield m.start(), end
+        # what is no telephone number hides none behind it
+        at = end or (groups[0][1] if plain else m.start() + 1)
+
+
 def detect(text: str) -> list[Mention]:
     """The mentions in a text, in order, without overlaps."""
-    found = []
+    found, left = [], text
+
+    def take(kind: str, spans: list[tuple[int, int]]) -> None:
+        """The next kinds do not see what was taken."""
+        nonlocal left
+        at, parts = 0, []
+        for begin, end in sorted(spans):
+            mention = text[begin:end]
+            canon = mention.lower() if kind == "email" else mention.replace(" ", "") if kind in ("ip", "iban") else ("+" if mention[0] == "+" else "") + _digits(mention)
+            found.append(Mention(begin, end, kind, canon, mention))
+            parts += [left[at:begin], "\0" * (end - begin)]
+            at = end
+        left = "".join(parts) + left[at:] if parts else left
+
     if "@" in text:
-        found += [Mention(m.start(), m.end(), "email", m[0].lower(), m[0]) for m in EMAIL.finditer(text)]
-    for m in NUMBERS.finditer(text) if LIKELY.search(text) else ():
-        kind = next(k for k in ("ip", "iban", "ssn", "account", "phone") if m[k])
-        if kind == "phone" and not (7 if m[0].startswith("+") or "(" in m[0] else 9) <= len(_digits(m[0])) <= 15:
-            continue
-        canon = m[0].replace(" ", "") if kind in ("ip", "iban") else ("+" if m[0].startswith("+") else "") + _digits(m[0])
-        found.append(Mention(m.start(), m.end(), kind, canon, m[0]))
-    for m in PERSON.finditer(text):
+        take("email", [m.span() for m in EMAIL.finditer(text)])
+    if LIKELY.search(text):
+        take("ip", [m.span() for m in IP.finditer(left)])
+        take("iban", list(_ibans(left)))
+        take("ssn", [m.span() for m in SSN.finditer(left)])
+        take("phone", [m.span() for m in SURE_PHONE.finditer(left)])
+        take("account", list(_accounts(left)))
+        take("phone", list(_phones(left)))
+    for m in PERSON.finditer(left):
         gender = next(g for g, names in TITLES.items() if m["title"] in names)
         name = m["name"]
         found.append(Mention(m.start("name"), m.end("name"), "person", f"{gender}:{script_of(name)}:{name.casefold()}", name))
-    out, end = [], 0
-    for m in sorted(found, key=lambda m: (m.begin, -m.end)):
-        if m.begin >= end:
-            out.append(m)
-            end = m.end
-    return out
+    return sorted(found, key=lambda m: m.begin)
 
 
 class Draw:

@@ -92,3 +92,22 @@ def test_odd_rows(spark):
     assert len(got) == 6 and [r.text for r in got[:2]] == ["", ""]
     assert got[2].text == got[3].text == got[4].text.split()[0] != "a@b.example.org" and len(got[4].entities) == 20_000
     assert replace_personal(docs.limit(0), KEY).count() == 0
+
+
+def test_numbers_beside_each_other():
+    """Each of two adjacent numbers is found as it is found alone."""
+    alone = {
+        "phone": ["+1 (826) 555-4081", "(826) 555-4081", "826-555-4081", "+49 30 1234-5678"],
+        "ip": ["190.137.223.204", "10.0.0.1", "192.168.10.20"],
+        "account": ["4111-1111-1111-1111", "4111 1111 1111 1111", "9807915762804490"],
+        "ssn": ["078-05-1120"],
+        "iban": ["DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034"],
+        None: ["17", "2024", "12"],
+    }
+    every = [(kind, text) for kind, texts in alone.items() for text in texts]
+    for a, left in every:
+        for b, right in every:
+            if (a, b) != (None, None):
+                assert kinds(f"{left} {right}") == [(k, t) for k, t in ((a, left), (b, right)) if k], (left, right)
+    assert kinds("+49 (30) 1234 5678 9012 3456 7890 10.0.0.1")[-1] == ("ip", "10.0.0.1")
+    assert kinds("+44 20 7946 0958 2024") == [("phone", "+44 20 7946 0958")]
