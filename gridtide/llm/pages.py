@@ -6,7 +6,9 @@ tree sees word count, link density, those two of the blocks before and after, an
 trained on the small labelled table below.
 
 Cases: null or empty html has an empty text. Scripts, styles, comments, the head, forms' controls and
-markup never reach a block. Unclosed and stray tags are tolerated, and a page may be cut off anywhere; a
+markup never reach a block. Unclosed and stray tags are tolerated, and a page may be cut off anywhere: the head
+ends at the first thing that cannot stand in one, and what is not shown (`SILENT`) but never closed ends with its
+parent or at the next block element; only a script, style or template without an end goes on. A
 tag that is cut off is markup. White space in a block is what `str.split` takes for it. Every row has a
 result, repeated rows too. Columns of the input whose names the result uses are replaced. An empty table
 gives an empty table.
@@ -29,6 +31,10 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 SILENT = frozenset("script style noscript template svg math textarea select option button iframe object canvas audio video head title map".split())
+IN_HEAD = frozenset("html head title meta link base style script noscript template object".split())
+BLOCK = frozenset(
+    "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th tr ul".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER = frozenset("nav aside footer form dialog menu fieldset".split())
 CONTENT = frozenset("article main".split())
@@ -43,7 +49,9 @@ CONTENT_WORDS = frozenset("article articlebody post entry story maincontent post
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?:[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*?)(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))""", re.S)
 HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "title", "iframe", "noscript")}
+PLAIN_RAW = frozenset("textarea title iframe noscript".split())  # without an end tag before the next of their kind these end at the next tag
+MAYBE_OPEN = re.compile(rf"<(?:{'|'.join(sorted(SILENT - {'head', 'template', 'script', 'style'} - PLAIN_RAW))})\b", re.I)
+RAW_END = {name: re.compile(rf"</{name}\s*>" + (rf"|<({name})[\s/>]" if name in PLAIN_RAW else ""), re.I) for name in ("script", "style", *sorted(PLAIN_RAW))}
 
 
 @dataclass
@@ -67,10 +75,39 @@ def _place(name: str, attributes: str, inherited: int) -> int:
     return 1 if name in CONTENT and inherited >= 0 else inherited
 
 
+def _raw_end(name: str, page: str, at: int) -> int:
+    """Where an element of plain characters ends whose start tag ends at `at`."""
+    stop = RAW_END[name].search(page, at)
+    if stop and not (name in PLAIN_RAW and stop[1]):  # one of its kind begins first
+        return stop.end()
+    after = page.find("<", at) if name in PLAIN_RAW else -1
+    return len(page) if after < 0 else after
+
+
+def _never_closed(page: str) -> set[int]:
+    """Where the silent elements begin that have no end tag."""
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while found := TOKEN.search(page, at):
+        at = found.end()
+        name = (found[2] or found[5] or "").lower()
+        if name not in SILENT:
+            continue
+        if found[1] or found[4]:
+            if opened.get(name):
+                opened[name].pop()
+        elif name in RAW_END:
+            at = _raw_end(name, page, at)
+        elif not found[0].endswith("/>") and name != "template":
+            opened.setdefault(name, []).append(found.start())
+    return {k for starts in opened.values() for k in starts}
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements with their place and whether they are silent
+    stack: list[tuple[str, int, bool, bool]] = []  # open elements with their place, whether they are silent, and whether they have no end tag
+    unclosed = _never_closed(page) if MAYBE_OPEN.search(page) else ()
     text, link_text, links = [], [], 0
     place, silent, at, end = 0, False, 0, len(page)
 
@@ -81,7 +118,14 @@ def blocks(page: str) -> list[Block]:
         text.clear()
         link_text.clear()
 
+    def cut_at(k: int) -> None:
+        nonlocal place, silent
+        del stack[k:]
+        place, silent = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+
     def take(part: str) -> None:
+        if silent and stack[-1][0] == "head" and part.strip():
+            cut_at(-1)
         if part and not silent:
             part = html.unescape(part)
             text.append(part)
@@ -99,6 +143,14 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(found[1] or found[4])
+        if silent and not closing:
+            if stack[-1][0] == "head" and name not in IN_HEAD:
+                cut_at(-1)
+            while name in BLOCK and silent:
+                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in SILENT), -1)
+                if not stack[k][3]:
+                    break
+                cut_at(k)
         if name in INLINE:
             if name == "a":
                 links = 0 if closing else 1
@@ -111,23 +163,20 @@ def blocks(page: str) -> list[Block]:
         if closing:
             names = [e[0] for e in stack]
             if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
-                place, silent = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                cut_at(len(names) - 1 - names[::-1].index(name))
             if name in BOILER or name in CONTENT:
                 links = 0
             continue
         if name in RAW_END:
-            stop = RAW_END[name].search(page, at)
-            at = stop.end() if stop else end
+            at = _raw_end(name, page, at)
             continue
         if name in VOID or found[0].endswith("/>"):
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-            stack.pop()  # these end where the next one begins
-            place, silent = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+            cut_at(-1)  # these end where the next one begins
         place = _place(name, found[3] or "", place)
         silent = silent or name in SILENT
-        stack.append((name, place, silent))
+        stack.append((name, place, silent, found.start() in unclosed))
     close_block()
     return out
 

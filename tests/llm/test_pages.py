@@ -41,3 +41,22 @@ def test_odd_rows(spark):
     assert len(got) == len(pages) and got[0].text == got[1].text == ""
     assert got[4].n_chars == 20_000 * 15 + 19_999 * 2
     assert extract_text(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_elements_that_are_never_closed():
+    """The text behind them is kept; what is closed stays silent."""
+    tree = train_tree()
+    long = "Some words of a longer paragraph that says one thing after another without any link in it at all, and goes on."
+    article = f"<article><p>{long}</p><p>{long}</p></article>"
+    whole = f"{long}\n\n{long}"
+    assert main_text(f"<html><head><title>x</title><meta charset=utf-8><body>{article}", tree) == whole
+    assert main_text(f"<html><head><title>x</title>{article}", tree) == whole
+    assert main_text(f"<head><title>x</title><script>1</script><a href=/>{article}", tree).endswith(whole)
+    assert [b.text for b in blocks("<head><title>x</title> Text")] == ["Text"]
+    for name in ("select", "button", "object", "video", "map", "canvas", "audio", "svg", "iframe", "noscript", "textarea"):
+        assert main_text(f"<div><{name}>{article}</div>", tree) == whole, name
+        assert main_text(f"<div><{name}>Menu</div>{article}", tree) == whole, name
+        assert main_text(f"<{name}>{article}<p><{name}>x</{name}></p>", tree) == whole, name
+        assert blocks(f"<div><{name}><div>{long}</div><p>{long}</{name}></div>") == [], name
+    assert main_text(f"<select><option>a<option>b{article}", tree) == whole
+    assert blocks(f"<select><option>a<option>b</select><template><p>{long}</template><object><object>x</object><p>{long}</object>") == []
