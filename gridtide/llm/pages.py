@@ -1,9 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page becomes a flat sequence of text blocks, cut at block elements; of the markup only each block's
-nearest telling container is kept (article or main against menu, footer, form, advert and the like). The
-tree sees word count, link density, those two of the blocks before and after, and that container. It is
-trained on the small labelled table below.
+nearest telling container is kept (article or main against menu, footer, advert and the like). The
+tree sees word count, link density, those two of the blocks before and after, and that container, which is
+one feature among them: long text with few links is main text whatever its container is called (not in a menu,
+aside or footer element), and rows of links are main text nowhere. It is trained on the small labelled table below.
 
 Cases: null or empty html has an empty text. Scripts, styles, comments, the head, forms' controls and
 markup never reach a block. Unclosed and stray tags are tolerated, and a page may be cut off anywhere: the head
@@ -36,18 +37,24 @@ BLOCK = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILER = frozenset("nav aside footer form dialog menu fieldset".split())
+BOILER = frozenset("nav aside footer dialog menu".split())
 CONTENT = frozenset("article main".split())
-# Words in a class, id or role that tell a container.
-BOILER_WORDS = frozenset(
+# Whole names in a class, id or role that tell a container.
+BOILER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "sidebar sidenav aside widget widgets nav navbar navigation menu breadcrumb breadcrumbs footer masthead toolbar pagination pager "
     "comment comments commentlist respond reply replies discussion disqus related recommended recommendations share sharing social newsletter subscribe subscription signup login search "
-    "contentinfo complementary tags tagcloud copyright legal disclaimer skip".split()
+    "contentinfo complementary tags tagcloud copyright legal disclaimer skip "
+    "ad-banner ad-container ad-slot ad-unit ad-wrapper cookie-banner cookie-bar cookie-consent cookie-notice site-footer page-footer main-footer site-nav main-nav top-nav nav-bar nav-menu main-menu side-bar "
+    "comment-list comments-area comment-section post-comments related-posts related-articles related-content share-buttons share-bar social-links social-share newsletter-signup skip-link tag-list "
+    "sidebar-widget widget-area breadcrumb-nav search-form login-form site-search".split()
+)
+CONTENT_NAMES = frozenset(
+    "article articlebody post entry story maincontent postcontent content main body text article-body article-content article-text post-content post-body entry-content main-content page-content story-body content-body".split()
 )
-CONTENT_WORDS = frozenset("article articlebody post entry story maincontent postcontent content main body text".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?:[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*?)(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))""", re.S)
+LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PLAIN_RAW = frozenset("textarea title iframe noscript".split())  # without an end tag before the next of their kind these end at the next tag
 MAYBE_OPEN = re.compile(rf"<(?:{'|'.join(sorted(SILENT - {'head', 'template', 'script', 'style'} - PLAIN_RAW))})\b", re.I)
@@ -59,20 +66,28 @@ class Block:
     text: str
     words: int
     links: int  # words inside links
-    place: int  # -1 in boilerplate, 1 in an article, 0 elsewhere
+    place: int  # -2 in a boilerplate element, -1 in what is named boilerplate, 1 in an article, 0 elsewhere
 
 
 def _place(name: str, attributes: str, inherited: int) -> int:
-    if name in BOILER or name in ("header", "section", "div", "ul", "ol", "p", "table", "span"):
-        words = {w for m in HINT.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()) if w} if attributes else set()
-        if name in BOILER or words & BOILER_WORDS:
+    """-2 in an element that is boilerplate by itself, -1 in one that a name calls so, 1 in an article."""
+    if name == "main":  # cannot stand in one of those, so that one has no end tag
+        return 1
+    if name in BOILER or inherited == -2:
+        return -2
+    if name in CONTENT or name in ("header", "section", "div", "form", "fieldset", "ul", "ol", "p", "table", "span"):
+        names = {w.replace("_", "-") for m in HINT.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").lower().split()} if attributes else set()
+        if names & BOILER_NAMES:
             return -1
+        if name in CONTENT:  # whatever a container around it is called
+            return 1
+        if name in ("form", "fieldset"):  # one inside an article, or one around the whole page
+            return -1 if inherited == 1 else inherited
         if name == "header":  # a heading inside an article, or the head of the page
             return inherited if inherited else -1
-        if inherited == 0 and words & CONTENT_WORDS:
+        if inherited == 0 and names & CONTENT_NAMES:
             return 1
-        return inherited
-    return 1 if name in CONTENT and inherited >= 0 else inherited
+    return inherited
 
 
 def _raw_end(name: str, page: str, at: int) -> int:
@@ -108,7 +123,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, bool, bool]] = []  # open elements with their place, whether they are silent, and whether they have no end tag
     unclosed = _never_closed(page) if MAYBE_OPEN.search(page) else ()
-    text, link_text, links = [], [], 0
+    text, link_text, links = [], [], 0  # links: 1 in a link, 2 in one without an end tag, which the block ends
     place, silent, at, end = 0, False, 0, len(page)
 
     def close_block() -> None:
@@ -153,13 +168,15 @@ def blocks(page: str) -> list[Block]:
                 cut_at(k)
         if name in INLINE:
             if name == "a":
-                links = 0 if closing else 1
+                after = None if closing else LINK.search(page, at)
+                links = 0 if closing else 1 if after and after[1] else 2
             elif name in ("br", "wbr", "img") and not silent:
                 text.append(" " if name == "br" else "")
             elif name == "span" and not silent:
                 pass
             continue
         close_block()
+        links = 0 if links == 2 else links
         if closing:
             names = [e[0] for e in stack]
             if name in names:
@@ -199,23 +216,35 @@ def features(found: list[Block]) -> np.ndarray:
 # Labelled blocks, hand-made: the features in their order, then 1 for main text and 0 for the rest.
 LABELLED = np.array(
     [
-        # menus, footers, adverts, notices, forms and comments in containers that say so
+        # menus, footers, adverts, notices and comments in containers with names that say so
         [1, 1.0, 0, 0, 1, 1, -1, 0], [2, 1.0, 1, 1, 3, 1, -1, 0], [1, 1.0, 2, 1, 9, 0, -1, 0],
         [9, 0, 1, 1, 14, 0, -1, 0], [30, 0, 2, 1, 12, 0, -1, 0], [14, 0.1, 80, 0, 0, 0, -1, 0],
-        [60, 0, 40, 0, 25, 0, -1, 0], [120, 0, 90, 0, 60, 0, -1, 0], [4, 0, 150, 0, 20, 0, -1, 0],
-        [200, 0, 3, 0, 100, 0, -1, 0], [8, 0.5, 60, 0, 0, 0, -1, 0], [3, 0, 0, 0, 2, 0, -1, 0],
-        [60, 0, 2, 1, 70, 0, -1, 0], [12, 0, 1, 1, 90, 0, -1, 0], [35, 0, 30, 0, 200, 0, -1, 0],
-        [80, 0, 70, 0, 60, 0, -1, 0], [15, 0, 60, 0, 45, 0, -1, 0], [50, 0, 50, 0, 3, 0, -1, 0],
-        [3, 0, 20, 0, 55, 0, -1, 0], [20, 1.0, 4, 1, 110, 0, -1, 0], [90, 0.1, 6, 0, 33, 0, -1, 0],
-        [25, 0, 4, 0, 30, 0, -1, 0], [45, 0.05, 2, 0, 50, 0, -1, 0], [1, 0, 0, 0, 0, 0, -1, 0],
+        [60, 0, 40, 0, 25, 0, -1, 1], [120, 0, 90, 0, 60, 0, -1, 1], [4, 0, 150, 0, 20, 0, -1, 0],
+        [200, 0, 3, 0, 100, 0, -1, 1], [8, 0.5, 60, 0, 0, 0, -1, 0], [3, 0, 0, 0, 2, 0, -1, 0],
+        [60, 0, 2, 1, 70, 0, -1, 1], [12, 0, 1, 1, 90, 0, -1, 0], [35, 0, 30, 0, 200, 0, -1, 1],
+        [80, 0, 70, 0, 60, 0, -1, 1], [15, 0, 60, 0, 45, 0, -1, 0], [50, 0, 50, 0, 3, 0, -1, 1],
+        [3, 0, 20, 0, 55, 0, -1, 0], [20, 1.0, 4, 1, 110, 0, -1, 0], [90, 0.1, 6, 0, 33, 0, -1, 1],
+        [25, 0, 4, 0, 30, 0, -1, 0], [45, 0.05, 2, 0, 50, 0, -1, 1], [1, 0, 0, 0, 0, 0, -1, 0],
+        # long text with few links all the same: a wrapper may have a name that says nothing of what is in it
+        [40, 0, 60, 0, 45, 0, -1, 1], [70, 0.05, 3, 0, 40, 0, -1, 1], [150, 0, 0, 0, 0, 0, -1, 1], [55, 0.08, 80, 0, 4, 0, -1, 1],
+        [300, 0.02, 120, 0, 90, 0, -1, 1], [48, 0, 12, 0, 16, 0, -1, 1], [90, 0.6, 12, 0.8, 16, 0.7, -1, 0], [60, 0.8, 70, 0.9, 50, 0.8, -1, 0],
+        [22, 0, 22, 0, 22, 0, -1, 0], [22, 0, 60, 0, 60, 0, -1, 0], [28, 0, 0, 0, 40, 0, -1, 0], [16, 0, 300, 0, 0, 0, -1, 0],
+        # not so in elements that are boilerplate by themselves
+        [60, 0, 40, 0, 25, 0, -2, 0], [120, 0, 90, 0, 60, 0, -2, 0], [200, 0, 3, 0, 100, 0, -2, 0], [45, 0.05, 2, 0, 50, 0, -2, 0],
+        [35, 0, 0, 0, 0, 0, -2, 0], [80, 0, 70, 0, 60, 0, -2, 0], [400, 0, 120, 0, 0, 0, -2, 0], [50, 0.2, 50, 0, 3, 0, -2, 0],
+        [3, 0, 120, 0, 4, 0, -2, 0], [1, 1.0, 0, 0, 1, 1, -2, 0], [12, 0, 60, 0, 0, 0, -2, 0], [25, 0, 30, 0, 30, 0, -2, 0],
+        [10, 0.3, 5, 0.5, 20, 0, -1, 0], [12, 0.4, 40, 0, 30, 0, -2, 0], [6, 0.5, 1, 1, 14, 0, -1, 0], [15, 0.25, 30, 0, 40, 0, -1, 0], [20, 0.3, 60, 0, 50, 0, -2, 0], [25, 0.2, 40, 0, 30, 0, -1, 0],
+        # lists of links in articles
+        [4, 1.0, 5, 1, 6, 1, 1, 0], [12, 0.9, 10, 0.9, 11, 1, 1, 0], [6, 1.0, 60, 0, 7, 1, 1, 0], [8, 0.9, 9, 0.8, 0, 0, 1, 0],
+        [40, 0.95, 80, 0, 30, 0.9, 1, 0], [10, 0.8, 90, 0, 70, 0, 1, 0], [60, 0.75, 20, 0.9, 40, 0, 1, 0], [15, 1.0, 100, 0, 0, 0, 1, 0],
         # the text of articles, headings and short paragraphs included
         [8, 0, 12, 0, 60, 0, 1, 1], [2, 0, 70, 0, 9, 0, 1, 1], [1, 0, 0, 0, 0, 0, 1, 1],
         [75, 0.02, 8, 0, 40, 0, 1, 1], [160, 0, 75, 0, 3, 0, 1, 1], [3, 0, 160, 0, 90, 0, 1, 1],
         [22, 0.3, 60, 0, 10, 0, 1, 1], [12, 0, 22, 0.3, 25, 0.1, 1, 1], [40, 0, 3, 0, 15, 0.1, 1, 1],
-        [5, 1.0, 40, 0, 50, 0, 1, 1], [4, 0, 1, 1, 12, 0, 1, 1], [18, 0, 1, 1, 1, 1, 1, 1],
+        [5, 1.0, 40, 0, 50, 0, 1, 0], [4, 0, 1, 1, 12, 0, 1, 1], [18, 0, 1, 1, 1, 1, 1, 1],
         [3, 0, 5, 0, 2, 0, 1, 1], [6, 0, 4, 0, 0, 0, 1, 1], [2, 0, 9, 0, 4, 0, 1, 1], [10, 0, 2, 0, 6, 0, 1, 1],
-        [4, 0.9, 3, 0, 2, 0, 1, 1], [7, 0.5, 1, 1, 5, 1, 1, 1], [2, 1.0, 1, 1, 0, 0, 1, 1], [1, 0, 6, 0, 3, 0, 1, 1],
-        [5, 0, 0, 0, 1, 1, 1, 1], [8, 0, 2, 1, 6, 0.5, 1, 1], [1, 1.0, 1, 1, 1, 1, 1, 1], [3, 1.0, 20, 0, 3, 1, 1, 1],
+        [4, 0.9, 3, 0, 2, 0, 1, 0], [7, 0.5, 1, 1, 5, 1, 1, 0], [2, 1.0, 1, 1, 0, 0, 1, 0], [1, 0, 6, 0, 3, 0, 1, 1],
+        [5, 0, 0, 0, 1, 1, 1, 1], [8, 0, 2, 1, 6, 0.5, 1, 1], [1, 1.0, 1, 1, 1, 1, 1, 0], [3, 1.0, 20, 0, 3, 1, 1, 0],
         [600, 0, 18, 0, 0, 0, 1, 1], [9, 0.6, 30, 0, 30, 0, 1, 1], [50, 0, 10, 0, 9, 0.9, 1, 1],
         # pages without such containers: long blocks with few links, and short ones between them
         [40, 0, 1, 1, 50, 0, 0, 1], [55, 0.05, 40, 0, 70, 0, 0, 1], [120, 0, 55, 0, 3, 0, 0, 1],
@@ -223,6 +252,7 @@ LABELLED = np.array(
         [6, 0, 50, 0, 70, 0, 0, 1], [9, 0, 4, 0, 80, 0, 0, 1], [30, 0.1, 20, 0, 0, 0, 0, 1],
         [40, 0, 50, 0, 2, 0, 0, 1], [60, 0, 2, 0, 3, 0, 0, 1], [35, 0, 5, 0, 0, 0, 0, 1], [45, 0, 1, 1, 1, 1, 0, 1],
         [70, 0.02, 0, 0, 0, 0, 0, 1], [33, 0.1, 2, 1, 4, 0.5, 0, 1], [28, 0, 6, 0, 9, 0, 0, 1],
+        [60, 0.25, 50, 0.2, 70, 0.1, 0, 1], [45, 0.3, 40, 0.1, 50, 0.2, 0, 1], [80, 0.2, 60, 0, 30, 0, 0, 1], [50, 0.35, 30, 0.1, 3, 0, 0, 1],
         [2, 0, 40, 0, 60, 0, 0, 1], [4, 0, 60, 0, 45, 0, 0, 1], [1, 1.0, 2, 1, 50, 0, 0, 0], [2, 1.0, 1, 1, 70, 0, 0, 0],
         [3, 0, 80, 0, 60, 0, 0, 1], [22, 0, 7, 0, 28, 0, 0, 1], [85, 0.1, 1, 1, 2, 1, 0, 1],
         [1, 1.0, 0, 0, 2, 1, 0, 0], [2, 1.0, 1, 1, 1, 1, 0, 0], [3, 1.0, 60, 0, 2, 1, 0, 0],

@@ -60,3 +60,21 @@ def test_elements_that_are_never_closed():
         assert blocks(f"<div><{name}><div>{long}</div><p>{long}</{name}></div>") == [], name
     assert main_text(f"<select><option>a<option>b{article}", tree) == whole
     assert blocks(f"<select><option>a<option>b</select><template><p>{long}</template><object><object>x</object><p>{long}</object>") == []
+
+
+def test_container_is_one_feature():
+    """Long text is kept in wrappers with telling names, and lists of links are not in articles."""
+    tree = train_tree()
+    words = "Some words of a longer paragraph that says one thing after another without any link in it at all, and goes on. " * 3
+    long = words.strip()
+    article = f"<article><h1>Title</h1><p>{long}</p><p>Short.</p></article>"
+    for wrapper in ("div class='content has-sidebar'", "div class='layout with-nav'", "div id=share-page", "div id='legal'", "div class='ad sidebar'", "div class=notice", "form action=/", "section class=search"):
+        close = f"</{wrapper.split()[0]}>"
+        assert main_text(f"<body><{wrapper}>{article}{close}", tree) == f"Title\n\n{long}\n\nShort.", wrapper
+        assert main_text(f"<body><{wrapper}><p>{long}</p><p>{long}</p>{close}", tree) == f"{long}\n\n{long}", wrapper
+    links = "<ul>" + "<li><a href=/x>One more story here</a></li>" * 5 + "</ul>"
+    assert main_text(f"<article><p>{long}</p>{links}<p>{long}</p><p><a href=/y>Read this one, too</a></p></article>", tree) == f"{long}\n\n{long}"
+    assert main_text(f"<article><p>{long}</p></article><section class=comments><p>Nice one.</p><article class=comment>Me too.</article></section><aside><article>Ad.</article></aside>", tree) == long
+    for name in ("aside", "footer", "nav"):
+        assert main_text(f"<article><p>{long}</p></article><{name}><p>{long}</p></{name}>", tree) == long
+        assert main_text(f"<{name}>x<main><p>Short.</p><p>{long}</p></main>", tree) == f"Short.\n\n{long}"
