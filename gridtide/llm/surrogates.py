@@ -4,6 +4,9 @@ Detected are e-mail addresses, telephone numbers, social security numbers, IPv4
 numbers and titled names of persons. An entity is a type and a canonical form, so that all spellings of it, in all documents, get the
 same surrogate. The surrogate is drawn from a keyed hash and written in the format of the mention.
 
+Persons are linked within a document (`_persons`): a title makes a person known, and shorter or untitled mentions
+of them get the matching words of the same surrogate. The gender is that of the first title that has one.
+
 Different entities must stay different. The distinct entities of the corpus draw surrogates; where two
 entities draw the same, or one draws what occurs in the corpus, all but one draw again, until none collide.
 Only the entities with further draws travel to the texts: as a broadcast up to `BROADCAST_ROWS` of them, by
@@ -70,7 +73,13 @@ SURE_PHONE = regex.compile(r"(?<![\w.]|\+\d{1,3}[ .-]?)(?:\+1[ .-]?(?:\(\d{3}\)[
 YEAR = re.compile(r"(?:19|20)\d\d")
 # What every number above contains; most texts have neither, and are done at that.
 LIKELY = re.compile(r"\d[\d .()+-]{5,}|[A-Z]{2}\d{2}")
-PERSON = regex.compile(rf"(?<!\w)(?P<title>{_titles})(?P<dot>\.?) (?P<name>\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}})")
+_academic = "|".join(TITLES["n"])
+_word = r"\p{Lu}[\p{L}'’-]+"
+PERSON = regex.compile(
+    rf"(?<!\w)(?P<title>{_titles})\.? (?:(?P<title>{_academic})\.? )*(?P<name>(?!(?:{_academic})\b){_word}(?: (?!(?:{_titles})\.? \p{{Lu}}){_word}){{0,2}})"
+)
+NAMES = regex.compile(rf"(?<!\w){_word}(?: {_word})*")
+ENDING = regex.compile(r"(?:['’]s|['’-]+)$")  # not part of a name
 
 
 @dataclass(frozen=True)
@@ -80,6 +89,7 @@ class Mention:
     kind: str
     canon: str
     text: str
+    words: tuple[int, ...] = ()  # of a person: the words of the whole name that stand here; none for all
 
 
 def _digits(text: str) -> str:
@@ -147,6 +157,83 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
         at = end or (groups[0][1] if plain else m.start() + 1)
 
 
+@dataclass
+class Person:
+    gender: str
+    name: tuple[str, ...]
+    begin: int  # of the first mention with a title
+    spans: list[tuple[int, int, tuple[int, ...]]]  # mentions, and the words of the name that stand there
+
+
+def _within(words: tuple[str, ...], name: tuple[str, ...]) -> tuple[int, ...] | None:
+    """The places of the words in the name, in its order; None if one is not there."""
+    places, at = [], 0
+    for w in words:
+        if w not in name[at:]:
+            return None
+        at = name.index(w, at) + 1
+        places.append(at - 1)
+    return tuple(places)
+
+
+def _persons(text: str) -> list[Mention]:
+    """The mentions of all persons whom a title introduces.
+
+    A name belongs to a longer one whose words contain its words in order, unless the titles' genders differ. Untitled,
+    two words or more do so in the whole text, one word only behind the title. Where several persons fit, the last
+    one introduced before the mention counts.
+    """
+    titled = []
+    for m in PERSON.finditer(text):
+        gender = next((g for t in m.captures("title") for g in "mf" if t in TITLES[g]), "n")
+        begin, name = m.start("name"), ENDING.sub("", m["name"])
+        titled.append((begin, begin + len(name), gender, tuple(ENDING.sub("", w) for w in name.casefold().split(" "))))
+    if not titled:
+        return []
+    persons: list[Person] = []
+    with_word: dict[str, list[Person]] = {}
+
+    def fitting(words: tuple[str, ...], begin: int, gender: str) -> Person | None:
+        fit = [p for p in with_word.get(words[0], ()) if (gender == "n" or p.gender in ("n", gender)) and _within(words, p.name) is not None]
+        before = [p for p in fit if p.begin <= begin]
+        return max(before, key=lambda p: p.begin) if before else min(fit, key=lambda p: p.begin) if fit else None
+
+    for begin, end, gender, words in sorted(titled, key=lambda t: (-len(t[3]), t[0])):
+        person = fitting(words, begin, gender)
+        if not person:
+            person = Person(gender, words, begin, [])
+            persons.append(person)
+            for w in set(words):
+                with_word.setdefault(w, []).append(person)
+        person.gender = gender if person.gender == "n" else person.gender
+        person.begin = min(person.begin, begin)
+        person.spans.append((begin, end, _within(words, person.name)))
+    taken = sorted((begin, end) for begin, end, _, _ in titled)
+    for m in NAMES.finditer(text):
+        words = [(w.start(), w.start() + len(ENDING.sub("", w[0])), ENDING.sub("", w[0]).casefold()) for w in regex.finditer("[^ ]+", text, pos=m.start(), endpos=m.end())]
+        k = 0
+        while k < len(words):
+            begin, size = words[k][0], 1
+            if words[k][2] in with_word:
+                at = bisect.bisect(taken, (begin, len(text)))
+                free = not at or taken[at - 1][1] <= begin
+                until = taken[at][0] if at < len(taken) else len(text)
+                for n in (3, 2, 1) if free else ():
+                    some = words[k : k + n]
+                    name = tuple(w for _, _, w in some)
+                    person = fitting(name, begin, "n") if len(some) == n and some[-1][1] <= until else None
+                    if person and (n > 1 or person.begin < begin):
+                        person.spans.append((begin, some[-1][1], _within(name, person.name)))
+                        size = n
+                        break
+            k += size
+    out = []
+    for p in persons:
+        canon = f"{p.gender}:{script_of(p.name[0])}:{' '.join(p.name)}"
+        out += [Mention(b, e, "person", canon, text[b:e], () if len(places) == len(p.name) else places) for b, e, places in p.spans]
+    return out
+
+
 def detect(text: str) -> list[Mention]:
     """The mentions in a text, in order, without overlaps."""
     found, left = [], text
@@ -172,10 +259,7 @@ def detect(text: str) -> list[Mention]:
         take("phone", [m.span() for m in SURE_PHONE.finditer(left)])
         take("account", list(_accounts(left)))
         take("phone", list(_phones(left)))
-    for m in PERSON.finditer(left):
-        gender = next(g for g, names in TITLES.items() if m["title"] in names)
-        name = m["name"]
-        found.append(Mention(m.start("name"), m.end("name"), "person", f"{gender}:{script_of(name)}:{name.casefold()}", name))
+    found += _persons(left)
     return sorted(found, key=lambda m: m.begin)
 
 
@@ -259,6 +343,7 @@ def render(mention: Mention, drawn: str) -> str:
         return "".join(next(digits) if c.isdigit() else c for c in mention.text)
     if mention.kind == "person":
         words = drawn.split(":", 2)[2].split(" ")
+        words = [words[k] for k in mention.words] or words
         if mention.text.isupper():
             return " ".join(words).upper()
         return " ".join("-".join(part[:1].upper() + part[1:] for part in w.split("-")) for w in words)

@@ -111,3 +111,28 @@ def test_numbers_beside_each_other():
                 assert kinds(f"{left} {right}") == [(k, t) for k, t in ((a, left), (b, right)) if k], (left, right)
     assert kinds("+49 (30) 1234 5678 9012 3456 7890 10.0.0.1")[-1] == ("ip", "10.0.0.1")
     assert kinds("+44 20 7946 0958 2024") == [("phone", "+44 20 7946 0958")]
+
+
+def persons(text):
+    return [(m.text, m.canon) for m in detect(text) if m.kind == "person"]
+
+
+def test_persons_are_linked_within_a_document(spark):
+    anna = "f:latin:anna weber"
+    old = "Dr Anna Weber came. Ms Weber and Frau Anna Weber, Anna Weber's dog; Weber, ANNA WEBER and Prof. Dr. Weber; Anna. The Weberei stays, and so does weber."
+    assert persons(old) == [(t, anna) for t in ("Anna Weber", "Weber", "Anna Weber", "Anna Weber", "Weber", "ANNA WEBER", "Weber", "Anna")]
+    given, family = render(detect(old)[0], surrogate(KEY, "person", anna)).split(" ")
+    assert given in surrogates.GIVEN["f", "latin"] and family != "Weber"
+    new = f"Dr {given} {family} came. Ms {family} and Frau {given} {family}, {given} {family}'s dog; {family}, {given.upper()} {family.upper()} and Prof. Dr. {family}; {given}. The Weberei stays, and so does weber."
+    assert replaced(old) == new
+    assert replace_personal(spark.createDataFrame([(1, old)], "doc_id long, text string"), KEY).first().text == new
+    assert [t for t, _ in persons("Doe said so. Jane Doe left. Mrs. Jane Doe and Jane Doe, Doe.")] == ["Jane Doe"] * 3 + ["Doe"]
+
+
+def test_different_persons_are_not_linked():
+    assert persons("Frau Anna Weber, Herr Karl Weber, Herr Weber, Frau Weber, Weber") == [
+        ("Anna Weber", "f:latin:anna weber"), ("Karl Weber", "m:latin:karl weber"), ("Weber", "m:latin:karl weber"), ("Weber", "f:latin:anna weber"), ("Weber", "m:latin:karl weber"),
+    ]
+    assert persons("Mrs Jane Doe met Mr Doe and Mr Smith Mrs Jones.") == [("Jane Doe", "f:latin:jane doe"), ("Doe", "m:latin:doe"), ("Smith", "m:latin:smith"), ("Jones", "f:latin:jones")]
+    assert persons("Ms Anna Maria Weber, Ms Anna Weber, Maria") == [(t, "f:latin:anna maria weber") for t in ("Anna Maria Weber", "Anna Weber", "Maria")]
+    assert persons("Господин Иванов. Иванов пришёл.") == [("Иванов", "m:cyrillic:иванов")] * 2
