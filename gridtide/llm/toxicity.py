@@ -8,8 +8,8 @@ The classifier is fitted on a bounded sample of labelled rows: at most `SAMPLE`
 smallest hash of the id. Of the n-grams, those `FEATURES` that tell the classes apart best are kept.
 
 Cases: a null text is empty; an empty text gets the score of the intercept. Labels are 0 and 1; null
-labels and labels without a document are left out; an id with both labels counts as toxic, and documents
-that share an id share its label. Without labels of both classes every text gets the smoothed share of
+labels and labels without a document are left out; an id with both labels counts as toxic, and of documents
+that share an id one is in the sample, that whose text has the smallest hash. Without labels of both classes every text gets the smoothed share of
 toxic ones. Columns of the input whose names the result uses are replaced. An empty table gives an empty
 table.
 """
@@ -105,7 +105,9 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column | None, rows: int
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # the bound of the sample
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(some), "doc_id").select("toxic", "text")  # at most `rows` ids
+    copies = texts.join(F.broadcast(some), "doc_id")  # at most `rows` ids
+    first = copies.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
+    return first.select("toxic", "row.text")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

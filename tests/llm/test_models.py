@@ -144,3 +144,16 @@ def test_languages_keep_every_run_beyond_the_stored_ones(spark, monkeypatch):
         assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-9)
         # the limit is the cost of a text, whose last digits may differ
         assert sum(g[4] != w[4] for g, w in zip(got, want)) <= 1
+
+
+def test_samples_are_bounded_where_an_id_repeats(spark, monkeypatch):
+    rows = [(k if k % 3 else 0, f"text {k % 200} of the house", "en") for k in range(600)] + [(None, "no id", "en")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 2)) for k in range(600) if k % 3 or not k], "doc_id long, toxic int")
+    got = toxicity.sample(docs, labels, None).collect()
+    assert len(got) == len({k for k, _, _ in rows if k is not None}) == 401
+    assert toxicity.sample(docs, labels, None, 20).count() == 20
+    assert sorted(got) == sorted(toxicity.sample(docs.repartition(7), labels, None).collect())
+    assert langid.calibration_rows(docs).count() == 402
+    monkeypatch.setattr(langid, "CALIBRATION", 30)
+    assert langid.calibration_rows(docs).count() == 30
