@@ -14,6 +14,7 @@ from gridtide.llm.bpe import bpe_encode
 from gridtide.llm.decontaminate import contamination
 from gridtide.llm.lines import drop_shared_lines
 from gridtide.llm.neighbours import nearest
+from gridtide.llm.packing import pack
 from gridtide.llm.pages import extract_text
 from gridtide.llm.secrets import scan_secrets, span_text
 from gridtide.llm.simhash import near_duplicates
@@ -145,6 +146,12 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", toxicity.is_held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, size=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
