@@ -12,10 +12,12 @@ import corpus_pipeline
 from gridtide.llm import langid, toxicity
 from gridtide.llm.bpe import bpe_encode
 from gridtide.llm.decontaminate import contamination
+from gridtide.llm.lexical import build_index, search
 from gridtide.llm.lines import drop_shared_lines
 from gridtide.llm.neighbours import nearest
 from gridtide.llm.packing import pack
 from gridtide.llm.pages import extract_text
+from gridtide.llm.prefix_trie import build_trie, numbered_turns, spliced
 from gridtide.llm.secrets import scan_secrets, span_text
 from gridtide.llm.simhash import near_duplicates
 from gridtide.llm.surrogates import replace_personal
@@ -146,6 +148,62 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", toxicity.is_held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return build_trie(spliced(numbered_turns(table(spark, folder, "conversations")), every=5, most=8))
+
+
+SQL["op11_prefix_trie"] = """
+WITH crc_steps AS (SELECT list(v ORDER BY n) AS t
+                   FROM (SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS v
+                         FROM range(256) bytes(n))),
+  own AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS s
+          FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+  heads AS (SELECT conv_id, s, conv_id - conv_id % 5 AS base,
+                   xor(list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                                   lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 9 AS h
+            FROM own, crc_steps),
+  built AS (SELECT x.conv_id, list_concat(coalesce(b.s[1:x.h], []), x.s[x.h + 1:]) AS s FROM heads x LEFT JOIN own b ON b.conv_id = x.base),
+  steps AS (SELECT conv_id, s[1:d] AS p, d AS depth, len(s) = d AS ends FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM built)),
+  nodes AS (SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ended FROM steps GROUP BY p, depth),
+  kids AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+  subtrees AS (SELECT a.p, a.depth, count(*) FILTER (k.p IS NULL) AS n_leaves,
+                      CAST(sum((b.n_convs - 1) * CASE WHEN b.depth = 0 THEN 0 ELSE strlen(b.p[-1].t) END) AS BIGINT) AS saved_tokens
+               FROM nodes a JOIN nodes b ON b.depth >= a.depth AND b.p[1:a.depth] = a.p LEFT JOIN kids k ON k.p = b.p AND k.depth = b.depth
+               GROUP BY a.p, a.depth)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       sha256(n.ended) AS ends_sha256
+FROM nodes n JOIN subtrees s ON s.p = n.p AND s.depth = n.depth
+  LEFT JOIN kids k ON k.p = n.p AND k.depth = n.depth
+  LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.p = n.p[1:n.depth - 1]
+"""
+
+
+@query
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = build_index(table(spark, folder, "documents"))
+    return search(index, table(spark, folder, "benchmark"), k=50)
+
+
+SQL["op12_ranked_search"] = r"""
+WITH low AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  words AS (SELECT doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM low),
+  held AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+  sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id),
+  totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+  norms AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM sizes, totals),
+  asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+  weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, totals GROUP BY term, docs),
+  scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+             FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN norms USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""
+
+
 @query
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, size=2048)
