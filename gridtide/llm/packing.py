@@ -12,7 +12,9 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import json
 import os
 import re
@@ -35,15 +37,16 @@ BUCKETS = 1024  # length of a hashed vector
 DIMS, BITS = 4, 12  # of the curve
 FIXED = 1 << 20  # coordinates are whole multiples of 1 / FIXED, so that their sums do not depend on order
 SPREAD = 4  # standard deviations from the mean to the edge of the curve's cube
-REMEMBERED = 400_000  # pieces, and words, that a worker keeps; then it starts afresh
-LONG = 64  # longer pieces are not kept
+REMEMBERED = 400_000  # words that a worker keeps; then it starts afresh
+LONG = 64  # longer words are not kept
 ROWS = 256
 
 # How a vocabulary with word ends splits normalised text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same for text in characters that are their own NFC and become lower case one by one.
-SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-SIMPLE_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+# The same for text in characters that are their own NFC and become lower case one by one, and what is not such text.
+SIMPLE_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+").findall
+SPACE = re.compile(r"[ \t-\r]+")
+NOT_SIMPLE = re.compile(r"[^ -~\t-\rÀ-ÖØ-öø-ÿ]|<\|").search
 
 
 class Words(dict):
@@ -54,37 +57,17 @@ class Words(dict):
         self.tokens, self.letters = model.tokenize, byte_symbols()
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", [t.id for t in self.tokens(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        ids = array("I", [t.id for t in self.tokens(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]).tobytes()
         if len(word) <= LONG:
             self[word] = ids
         return ids
 
 
-class Pieces(dict):
-    """Ids of what stands between white space, put together from words where that is simple."""
-
-    def __init__(self, tokenizer, simple: bool):
-        super().__init__()
-        self.tokenizer, self.simple, self.words = tokenizer, simple, Words(tokenizer.model)
-
-    def __missing__(self, piece: str) -> bytes:
-        if self.simple and SIMPLE(piece) and "<|" not in piece:
-            ids = b"".join(map(self.words.__getitem__, SIMPLE_WORDS(piece.lower())))
-        else:
-            ids = self.whole(piece)
-        if len(piece) <= LONG:
-            self[piece] = ids
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-
 class Encoder:
     """Token ids of texts, as the vocabulary's library gives them.
 
-    Where words end with a mark and white space is dropped, a text's ids are those of what stands between
-    white space, so these pieces are encoded once and remembered.
+    Where words end with a mark and white space is dropped, a text's ids are those of its words. Simple text is
+    split into words here; any other piece between white space is left to the library.
     """
 
     def __init__(self, path: str):
@@ -96,24 +79,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.apart = parts["model"].get("end_of_word_suffix") is not None
-        self.pieces = Pieces(self.tokenizer, json.dumps(WORDS) in json.dumps(parts["pre_tokenizer"]))
+        self.apart = parts["model"].get("end_of_word_suffix") is not None and json.dumps(WORDS) in json.dumps(parts["pre_tokenizer"])
+        self.words = Words(self.tokenizer.model)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.apart:
-            return [self.pieces.whole(text) for text in texts]
-        for kept in (self.pieces, self.pieces.words):
-            if len(kept) > REMEMBERED:
-                kept.clear()
-        return [b"".join(map(self.pieces.__getitem__, _split(text))) for text in texts]
+            return [self._whole(text) for text in texts]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        return [self._plain(text) if not NOT_SIMPLE(text) else b"".join(self._parts(text)) for text in texts]
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, SIMPLE_WORDS(text.lower())))
 
+    def _parts(self, text: str) -> Iterator[bytes]:
+        for odd, pieces in itertools.groupby(SPACE.split(text), lambda piece: NOT_SIMPLE(piece) is not None):
+            yield from map(self._whole, pieces) if odd else [self._plain(" ".join(pieces))]
 
-def _split(text: str) -> list[str]:
-    for space in "\t\n\x0b\x0c\r":
-        if space in text:
-            text = text.replace(space, " ")
-    return text.split(" ")
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @functools.lru_cache(maxsize=1)
@@ -213,14 +198,13 @@ def placed(rows: DataFrame) -> DataFrame:
     return lined.select("chunk", "uid", inside.alias("inside")).join(F.broadcast(offset), "chunk").select("uid", (F.col("inside") + F.col("offset")).alias("place"))
 
 
-def sequence_starts(total: int, size: int) -> np.ndarray:
-    """Starts of the last sequences, which have lengths that are powers of two, and the end."""
-    at, out = total - total % size, []
+def last_sequences(total: int, size: int) -> list[int]:
+    """Where sequences start after the last whole one, whose lengths are powers of two, and the end."""
+    starts = [total - total % size]
     for length in (1 << k for k in reversed(range(size.bit_length()))):
-        if (total - total // size * size) & length:
-            out.append(at)
-            at += length
-    return np.array([*out, total], np.int64)
+        if total % size & length:
+            starts.append(starts[-1] + length)
+    return starts
 
 
 def pack(docs: DataFrame, path: str, end: int = END, size: int = SIZE) -> DataFrame:
@@ -232,31 +216,26 @@ def pack(docs: DataFrame, path: str, end: int = END, size: int = SIZE) -> DataFr
     """
     coded = encoded(docs, path, end)
     total = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tail = sequence_starts(total, size)
+    tail = last_sequences(total, size)
     rows = coded.join(placed(along_curve(coded)), "uid").select("doc_id", "n", "ids", "place")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS):
-            for doc, n, packed, place in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
-                ids = np.frombuffer(packed, "<u2" if len(packed) == 2 * n else "<u4").astype("<u4")
-                inner = np.arange(place // size + 1, (place + n - 1) // size + 1) * size
-                cuts = np.unique([place, *inner, *tail[(tail > place) & (tail < place + n)], place + n])
-                begin, length = cuts[:-1], np.diff(cuts)
-                late = np.searchsorted(tail, begin, "right") - 1
-                sequence = np.where(late < 0, begin // size, total // size + late)
-                offset = np.where(late < 0, begin % size, begin - tail[late])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc.as_py()] * len(begin), batch.column(0).type),
-                        pa.array(begin - place),
-                        pa.array(length),
-                        pa.array([ids[b : b + k].tobytes() for b, k in zip(begin - place, length)], pa.binary()),
-                        pa.array([n] * len(begin), pa.int64()),
-                        pa.array(sequence),
-                        pa.array(offset),
-                    ],
-                    ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
+            out = []
+            for row, (n, packed, place) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]))):
+                ids = packed if len(packed) == 4 * n else np.frombuffer(packed, "<u2").astype("<u4").tobytes()
+                at = place
+                while at < place + n:
+                    late = at >= tail[0]
+                    k = bisect.bisect_right(tail, at) - 1 if late else 0
+                    first = tail[k] if late else at - at % size
+                    stop = min(place + n, tail[k + 1] if late else first + size)
+                    out.append((row, at - place, stop - at, ids[4 * (at - place) : 4 * (stop - place)], n, at // size + k, at - first))
+                    at = stop
+            columns = list(zip(*out))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            found = [batch.column(0).take(pa.array(columns[0])), *map(pa.array, columns[1:], kinds)]
+            yield pa.RecordBatch.from_arrays(found, ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(pieces, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
