@@ -71,7 +71,7 @@ def test_made_codes(spark, monkeypatch, block, parts):
     cloud = draw.getrandbits(64)
     codes += [cloud ^ (1 << draw.randrange(20)) ^ (1 << draw.randrange(20)) ^ (1 << draw.randrange(20)) for _ in range(700)]
     rows = list(enumerate(codes)) + [(None, codes[5])]
-    frame = spark.createDataFrame([(k, int(np.uint64(c).view(np.int64))) for k, c in rows], "doc_id long, code long")
+    frame = spark.createDataFrame([(k, j, int(np.uint64(c).view(np.int64))) for j, (k, c) in enumerate(rows)], "doc_id long, doc_tag long, code long")
     monkeypatch.setattr(simhash, "fingerprints", lambda *a: frame)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
