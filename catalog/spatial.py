@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from catalog import Data, check
 from catalog.relational import text_dates
 from catalog.scalars import haversine_sql
-from gridtide.operators.kriging import fit_kriging, load_fitted, predict_kriging, save_fitted
+from gridtide.operators.kriging import FieldStore, field_at, fit_kriging, predict_kriging
 from gridtide.operators.series import fill_by_calendar_month
-from gridtide.operators.spatial import bounding_boxes, eval_grid, grid_points, pairs_within, ring_neighbours
+from gridtide.operators.spatial import bounding_boxes, eval_grid, grid_lattices, pairs_within, ring_neighbours
 from gridtide.plans.weather import interpolate_weather, station_months, station_samples, weather_of_runs
 from gridtide.schemas import WEATHER
 from gridtide.session import fresh_path
@@ -159,6 +159,10 @@ def _(data):
     return text_dates(rounded(filled, ["temp_max", "temp_min"])).select("station_code", "month", "temp_max", "temp_min")
 
 
+def lattices(data: Data):
+    return boxes(data).select("code", grid_lattices().alias("lattices"))
+
+
 @check("H1_kriging_fit")
 def _(data):
     fitted = fit_kriging(samples(data), ["code", "month"], ("longitude", "latitude"), WEATHER)
@@ -168,8 +172,7 @@ def _(data):
 @check("E17_H2_field_means")
 def _(data):
     fitted = fit_kriging(samples(data), ["code", "month"], ("longitude", "latitude"), WEATHER)
-    grid = boxes(data).select("code", grid_points().alias("points"))
-    return predict_kriging(fitted, grid, ["code", "month"], WEATHER, ["code"])
+    return predict_kriging(fitted, lattices(data), ["code", "month"], WEATHER, ["code"])
 
 
 @check(
@@ -183,11 +186,32 @@ def _(data):
 def _(data):
     """Which feeder-months have a field at all, and that an all-zero variable stays 0."""
     fitted = fit_kriging(samples(data), ["code", "month"], ("longitude", "latitude"), WEATHER)
-    grid = boxes(data).select("code", grid_points().alias("points"))
-    made = predict_kriging(fitted, grid, ["code", "month"], WEATHER, ["code"])
+    made = predict_kriging(fitted, lattices(data), ["code", "month"], WEATHER, ["code"])
     return text_dates(made.select("code", "month", "windvelo_mean"))
 
 
+_AT_STATIONS = ["temp_max", "temp_min", "precipitation", "humidity_min"]
+
+
+@check(
+    "H1_fields_at_stations",
+    NEAR
+    + """SELECT code, n.station_code, CAST(make_date(year, month, 1) AS VARCHAR) AS month, """
+    + ", ".join(f"round({v}, 2) AS {v}" for v in _AT_STATIONS)
+    + """ FROM near n JOIN station_history h ON n.station_code = h.station_code
+         WHERE temp_max IS NOT NULL AND make_date(year, month, 1) BETWEEN DATE '1995-01-01' AND DATE '1999-12-01'""",
+    (*POINTS, "stations", "station_history"),
+)
+def _(data):
+    """A field passes through the values of all its stations."""
+    known = samples(data)
+    fitted = fit_kriging(known, ["code", "month"], ("longitude", "latitude"), _AT_STATIONS)
+    value = F.round(field_at(F.col("longitude"), F.col("latitude")), 2)
+    at = known.select("code", "month", "station_code", "longitude", "latitude").join(fitted, ["code", "month"])
+    made = at.groupBy("code", "month", "station_code").agg(*[F.max(F.when(F.col("variable") == v, value)).alias(v) for v in _AT_STATIONS])
+    return text_dates(made)
+
+
 _ONE_STATION = (
     NEAR
     + """, known AS (SELECT n.code, make_date(year, month, 1) AS month, h.* EXCLUDE (year, month)
@@ -204,18 +228,51 @@ def _(data):
     """Where a month has one station only, the field is its value everywhere."""
     alone = samples(data).groupBy("code", "month").agg(F.count("*").alias("n")).where("n = 1").drop("n")
     chosen = samples(data).join(alone, ["code", "month"], "left_semi")
-    fitted = fit_kriging(chosen, ["code", "month"], ("longitude", "latitude"), WEATHER, per=["code"])
-    grid = boxes(data).select("code", grid_points().alias("points"))
-    made = predict_kriging(fitted, grid, ["code", "month"], WEATHER, ["code"])
+    fitted = fit_kriging(chosen, ["code", "month"], ("longitude", "latitude"), WEATHER)
+    made = predict_kriging(fitted, lattices(data), ["code", "month"], WEATHER, ["code"])
+    return text_dates(rounded(made, WEATHER)).select("code", "month", *WEATHER)
+
+
+def of_nearest_station(data: Data):
+    """Samples of the station nearest to each area's centre."""
+    near = ring_neighbours(boxes(data), data["stations"], "code")
+    first = near.groupBy("code").agg(F.min(F.struct("dist_km", "station_code")).alias("first"))
+    return samples(data).join(first.select("code", "first.station_code"), ["code", "station_code"], "left_semi")
+
+
+_NEAREST = (
+    NEAR
+    + """, first AS (SELECT code, station_code FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY d, station_code) AS rn FROM near) WHERE rn = 1)
+    SELECT code, CAST(make_date(year, month, 1) AS VARCHAR) AS month, """
+    + ", ".join(f"round({v}, 6) AS {v}" for v in WEATHER)
+    + """ FROM first n JOIN station_history h ON n.station_code = h.station_code
+         WHERE temp_max IS NOT NULL AND make_date(year, month, 1) BETWEEN DATE '1995-01-01' AND DATE '1999-12-01'"""
+)
+
+
+@check("E17_fields_of_the_nearest_station", _NEAREST, (*POINTS, "stations", "station_history"))
+def _(data):
+    fitted = fit_kriging(of_nearest_station(data), ["code", "month"], ("longitude", "latitude"), WEATHER)
+    made = predict_kriging(fitted, lattices(data), ["code", "month"], WEATHER, ["code"])
     return text_dates(rounded(made, WEATHER)).select("code", "month", *WEATHER)
 
 
+def stored(data: Data, known):
+    """Fields of all variables: the months up to 1996 are stored first, then a second run adds what is lacking."""
+    store = FieldStore(data.spark, fresh_path(data.spark, "fields"))
+    args = (["code", "month"], ("longitude", "latitude"), WEATHER)
+    store.fields(known.where("month < date '1997-01-01'"), *args)
+    return predict_kriging(store.fields(known, *args), lattices(data), ["code", "month"], WEATHER, ["code"])
+
+
 @check("A13_stored_fields")
 def _(data):
-    path = fresh_path(data.spark, "fields")
-    save_fitted(fit_kriging(samples(data), ["code", "month"], ("longitude", "latitude"), ["temp_min"]), path)
-    grid = boxes(data).select("code", grid_points().alias("points"))
-    return predict_kriging(load_fitted(data.spark, path), grid, ["code", "month"], ["temp_min"], ["code"])
+    return stored(data, samples(data))
+
+
+@check("A13_stored_fields_of_the_nearest_station", _NEAREST, (*POINTS, "stations", "station_history"))
+def _(data):
+    return text_dates(rounded(stored(data, of_nearest_station(data)), WEATHER)).select("code", "month", *WEATHER)
 
 
 def weather(data: Data):

@@ -47,8 +47,8 @@ def bounding_boxes(
     )
 
 
-def grid_points(cell_km: float = 10, dense: int = 100) -> Column:
-    """Points of a box row at which a field is evaluated, as an array of (lon, lat).
+def grid_lattices(cell_km: float = 10, dense: int = 100) -> Column:
+    """Where a field is evaluated over a box row, as an array of lattices, each with `lons` and `lats`.
 
     A box of up to four cells gets its centre, and the middles of its sides too when it holds at
     least `dense` points; a larger one gets a lattice from side to side plus its centre.
@@ -57,32 +57,33 @@ def grid_points(cell_km: float = 10, dense: int = 100) -> Column:
     nx = (F.floor(F.col("width_km") / cell_km) + 1).cast("int")
     ny = (F.floor(F.col("height_km") / cell_km) + 1).cast("int")
 
-    def at(x: Column, y: Column) -> Column:
-        return F.struct(x.alias("lon"), y.alias("lat"))
+    def lattice(lons: Column, lats: Column) -> Column:
+        return F.struct(lons.alias("lons"), lats.alias("lats"))
 
-    def spread(n: Column, start: Column, end: Column):
+    def side(n: Column, start: Column, end: Column) -> Column:
         # a side with a single point has no step
         step = F.when(n > 1, (end - start) / (n - 1)).otherwise(F.lit(0.0))
-        return lambda i: start + i * step
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: start + i * step)
 
-    x, y = spread(nx, west, east), spread(ny, north, south)
-    lattice = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), ny - 1),
-            lambda j: F.transform(F.sequence(F.lit(0), nx - 1), lambda i: at(x(i), y(j))),
-        )
-    )
-    mid_lon, mid_lat = F.col("c_lon"), F.col("c_lat")
-    centre = F.array(at(mid_lon, mid_lat))
-    sides = F.array(at(mid_lon, north), at(west, mid_lat), at(east, mid_lat), at(mid_lon, south))
+    mid_lon, mid_lat = F.array("c_lon"), F.array("c_lat")
+    centre = lattice(mid_lon, mid_lat)
     small = nx.cast("bigint") * ny <= 4
     return (
-        F.when(small & (F.col("n_points") < dense), centre)
-        .when(small, F.concat(sides, centre))
-        .otherwise(F.concat(lattice, centre))
+        F.when(small & (F.col("n_points") < dense), F.array(centre))
+        .when(small, F.array(lattice(mid_lon, F.array(north, south)), lattice(F.array(west, east), mid_lat), centre))
+        .otherwise(F.array(lattice(side(nx, west, east), side(ny, north, south)), centre))
     )
 
 
+def grid_points(cell_km: float = 10, dense: int = 100) -> Column:
+    """The points of `grid_lattices`, as an array of (lon, lat)."""
+
+    def rows(g: Column) -> Column:
+        return F.flatten(F.transform(g["lats"], lambda y: F.transform(g["lons"], lambda x: F.struct(x.alias("lon"), y.alias("lat")))))
+
+    return F.flatten(F.transform(grid_lattices(cell_km, dense), rows))
+
+
 def eval_grid(boxes: DataFrame, key: str, cell_km: float = 10, dense: int = 100) -> DataFrame:
     """One row per evaluation point."""
     return boxes.select(key, F.posexplode(grid_points(cell_km, dense)).alias("point", "p")).select(

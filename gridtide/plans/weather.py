@@ -9,7 +9,7 @@ from gridtide.functions.dates import month_of
 from gridtide.operators.kriging import fit_kriging, predict_kriging
 from gridtide.operators.rows import complete_rows, first_per
 from gridtide.operators.series import fill_by_calendar_month, month_spine
-from gridtide.operators.spatial import bounding_boxes, grid_points, ring_neighbours
+from gridtide.operators.spatial import bounding_boxes, grid_lattices, ring_neighbours
 from gridtide.schemas import WEATHER
 from gridtide.session import cut
 
@@ -59,8 +59,8 @@ def interpolate_weather(
     near = cut(ring_neighbours(boxes, stations, key, axis_order=axis_order), "near")
     places = near.select(key, "station_code", "longitude", "latitude")
     samples = station_samples(places, station_months(history, variables), spans, key)
-    fitted = cut(fit_kriging(samples, [key, "month"], ("longitude", "latitude"), variables, per=[key]), "fitted")
-    grid = boxes.select(key, grid_points().alias("points"))
+    fitted = cut(fit_kriging(samples, [key, "month"], ("longitude", "latitude"), variables), "fitted")
+    grid = boxes.select(key, grid_lattices().alias("lattices"))
     values = predict_kriging(fitted, grid, [key, "month"], variables, [key])
     no_month = F.lit(None).cast("date").alias("month")
     stage = F.lit("weather").alias("stage")

@@ -114,7 +114,9 @@ def samples(spark, rows):
 
 
 def grid(spark, *keys):
-    return spark.createDataFrame([(k, [(-50.0, -20.0), (-49.0, -19.5)]) for k in keys], "k string, points array<struct<lon:double,lat:double>>")
+    return spark.createDataFrame(
+        [(k, [([-50.0], [-20.0]), ([-49.0], [-19.5])]) for k in keys], "k string, lattices array<struct<lons:array<double>,lats:array<double>>>"
+    )
 
 
 def test_kriging_of_simple_fields(spark):
@@ -137,12 +139,26 @@ def test_failed_fit_is_reported(spark):
     assert {r.k for r in K.predict_kriging(fitted, grid(spark, "bad", "good"), ["k"], ["a", "b"], ["k"]).collect()} == {"good"}
 
 
-def test_fields_can_be_stored(spark, tmp_path):
-    fitted = K.fit_kriging(samples(spark, [("k", -50.0, -20.0, 2.0, 1.0), ("k", -49.0, -20.0, 4.0, 1.0)]), ["k"], ("longitude", "latitude"), ["a"])
-    K.save_fitted(fitted, str(tmp_path / "m"))
-    back = K.load_fitted(spark, str(tmp_path / "m"))
-    at = lambda f: K.predict_kriging(f, grid(spark, "k"), ["k"], ["a"], ["k"]).first().a
-    assert at(back) == at(fitted)
+def test_store_fits_only_what_it_lacks(spark, tmp_path, monkeypatch):
+    rows = [(k, m, -50.0 + x, -20.0 + x * x, float(x * m), float(m == 2) * x) for k in ("a", "b") for m in (1, 2, 3) for x in range(4)]
+    frame = spark.createDataFrame(rows, "k string, month int, lon double, lat double, v double, z double")
+    store = K.FieldStore(spark, str(tmp_path / "store"))
+    args = (["k", "month"], ("lon", "lat"), ["v", "z"])
+    plain = lambda df: sorted((r.k, r.month, r.variable, r.trend, r.scale_lon, r.scale_lat, [tuple(w) for w in r.weights], r.error) for r in df.collect())
+    early = frame.where("month < 3 and k = 'a'")
+    assert plain(store.fields(early, *args)) == plain(K.fit_kriging(early, *args))
+    rows = K.gathered(frame, *args)
+    assert {(r.k, r.month) for r in store.missing(rows, args[0]).collect()} == {("a", 3), ("b", 1), ("b", 2), ("b", 3)}
+    everything = plain(store.fields(frame, *args))
+    assert everything == plain(K.fit_kriging(frame, *args)) and store.missing(rows, args[0]).isEmpty()
+    monkeypatch.setattr(K, "_fit_rows", None)  # nothing is left to fit
+    assert plain(store.fields(frame, *args)) == everything
+    assert plain(store.fields(early, *args)) == [r for r in everything if r[:2] in {("a", 1), ("a", 2)}]
+    monkeypatch.undo()
+    changed = frame.withColumn("v", F.when((F.col("month") == 2) & (F.col("lon") == -50), 9.0).otherwise(F.col("v")))
+    assert {(r.k, r.month) for r in store.missing(K.gathered(changed, *args), args[0]).collect()} == {("a", 2), ("b", 2)}
+    assert plain(store.fields(changed, *args)) == plain(K.fit_kriging(changed, *args))
+    assert K.FieldStore(spark, str(tmp_path / "none")).fields(frame.where("false"), *args).collect() == []
 
 
 def weather_fixture(spark, gap=lambda y, m: False):
@@ -195,26 +211,97 @@ def test_failing_month_is_reported(spark):
     assert [(r.cod_alim, r.month) for r in errors.collect()] == [("f1", dt.date(2018, 2, 1))]
 
 
-def test_months_share_a_factor_and_many_samples_are_solved(spark):
-    """Fields worked on together equal those worked on alone; there is no limit on samples."""
+def log_likelihood(xy, field, scales):
+    """The profile log likelihood, written out."""
+    n = len(xy)
+    k = np.array([[math.exp(-0.5 * (((p - q) / scales) ** 2).sum()) for q in xy] for p in xy]) + K.NUGGET * np.eye(n)
+    inverse, one = np.linalg.inv(k), np.ones(n)
+    rest = field - (one @ inverse @ field) / (one @ inverse @ one)
+    return -0.5 * (n * math.log(rest @ inverse @ rest / n) + np.linalg.slogdet(k)[1])
+
+
+def test_search_for_scales():
+    """Never below the best of the fixed scales, at a stationary point or a limit, and near known scales."""
+    rng = np.random.default_rng(5)
+    for n, fields in ((4, 6), (9, 5), (40, 3)):
+        xy = rng.uniform(0, [2.0, 5.0], (n, 2))
+        values = rng.normal(size=(n, fields)) + np.sin(xy[:, :1])
+        extent = np.ptp(xy, axis=0)
+        for j, (_trend, sx, sy, _w) in enumerate(K.solve(xy, values)):
+            found = np.array([sx, sy])
+            best = log_likelihood(xy, values[:, j], found)
+            assert best >= max(log_likelihood(xy, values[:, j], np.array(f) * extent) for f in [(a, b) for a in K.SCALES for b in K.SCALES]) - 1e-6
+            for axis in (0, 1):
+                for step in (0.97, 1.03):
+                    near = found.copy()
+                    near[axis] *= step
+                    inside = K.LIMITS[0] * extent[axis] <= near[axis] <= K.LIMITS[1] * extent[axis]
+                    assert not inside or log_likelihood(xy, values[:, j], near) <= best + 1e-4
+    xy = rng.uniform(0, 10, (150, 2))
+    known = np.array([1.3, 3.1])
+    k = np.exp(-0.5 * (((xy[:, None] - xy[None]) / known) ** 2).sum(axis=2)) + 1e-8 * np.eye(150)
+    draws = np.linalg.cholesky(k) @ rng.normal(size=(150, 4)) * 7 + 20
+    for _trend, sx, sy, _w in K.solve(xy, draws):
+        assert sx == pytest.approx(known[0], rel=0.15) and sy == pytest.approx(known[1], rel=0.15)
+
+
+def test_slopes_of_the_likelihood():
+    rng = np.random.default_rng(8)
+    xy, fields = rng.random((7, 2)), rng.random((3, 7))
+    places, at = K.Places(xy), np.log(rng.uniform(0.2, 0.6, (3, 2)))
+    value, slopes = places.likelihood(at, fields)
+    assert value == pytest.approx([log_likelihood(xy, f, np.exp(a)) for f, a in zip(fields, at)])
+    for axis in (0, 1):
+        step = np.zeros(2)
+        step[axis] = 1e-5
+        numeric = (places.likelihood(at + step, fields)[0] - places.likelihood(at - step, fields)[0]) / 2e-5
+        assert slopes[:, axis] == pytest.approx(numeric, rel=1e-4, abs=1e-4)
+
+
+def test_sets_of_places_are_shared(spark, monkeypatch):
+    """Fields over the same places are fitted together or dealt to tasks, equal ones once, with equal results."""
+    rng = np.random.default_rng(3)
+    xy = rng.uniform(0, 5, (25, 2))
+    rows = [(k, m, float(x), float(y), float(np.cos(x) + m), 0.0) for k in "ab" for m in range(4) for x, y in xy[: 20 + 5 * (m == 2)]]
+    frame = spark.createDataFrame(rows, "k string, month int, lon double, lat double, v double, z double")
+    args = (["k", "month"], ("lon", "lat"), ["v", "z"])
+    gathered = K.gathered(frame, *args).collect()
+    assert len({r.place_set for r in gathered}) == 2 and len({r.content for r in gathered}) == 4
+    together = {(r.k, r.month, r.variable): r for r in K.fit_kriging(frame, *args).collect()}
+    monkeypatch.setattr(K, "FIELDS", 1)
+    apart = {(r.k, r.month, r.variable): r for r in K.fit_kriging(frame, *args).collect()}
+    assert set(together) == set(apart) and len(apart) == 16
+    for (k, m, name), r in together.items():
+        other = apart[k, m, name]
+        assert [r.trend, r.scale_lon, r.scale_lat] == pytest.approx([other.trend, other.scale_lon, other.scale_lat], rel=1e-3)
+        if name == "z":
+            assert (r.trend, r.weights) == (0.0, [])
+        else:
+            at = np.array([[r.trend + sum(w.w * math.exp(-0.5 * (((x - w.lon) / r.scale_lon) ** 2 + ((y - w.lat) / r.scale_lat) ** 2)) for w in r.weights)] for x, y in xy[:20]])
+            assert np.abs(at[:, 0] - (np.cos(xy[:20, 0]) + m)).max() < 1e-3
+
+
+def test_many_samples_are_solved():
     rng = np.random.default_rng(3)
-    xy = rng.uniform(0, 5, (700, 2))
-    field = np.sin(xy[:, :1]) + np.array([[1.0, 2.0, 3.0]])
-    got = K.solve(xy, field)
-    assert [g[1:3] for g in got] == [got[0][1:3]] * 3
-    dx = (xy[:, None, 0] - xy[None, :, 0]) / got[1][1]
-    dy = (xy[:, None, 1] - xy[None, :, 1]) / got[1][2]
-    again = got[1][0] + np.exp(-0.5 * (dx**2 + dy**2)) @ got[1][3]
-    assert np.abs(again - field[:, 1]).max() < 1e-3
-    rows = [(m, float(x), float(y), float(np.cos(x) + m), 0.0) for m in range(3) for x, y in xy[: 20 + 5 * (m == 2)]]
-    samples = spark.createDataFrame([("a", *r) for r in rows], "k string, month int, lon double, lat double, v double, z double")
-    apart = K.fit_kriging(samples, ["k", "month"], ("lon", "lat"), ["v", "z"]).collect()
-    together = K.fit_kriging(samples, ["k", "month"], ("lon", "lat"), ["v", "z"], per=["k"]).collect()
-    one, two = ({(r.month, r.variable): r for r in rows} for rows in (apart, together))
-    assert set(one) == set(two) and len(one) == 6
-    for k, r in one.items():
-        assert r.trend == pytest.approx(two[k].trend) and (r.scale_lon, r.scale_lat) == (two[k].scale_lon, two[k].scale_lat)
-        assert [w.w for w in r.weights] == pytest.approx([w.w for w in two[k].weights], rel=1e-6, abs=1e-6)
+    xy = rng.uniform(0, 5, (500, 2))
+    field = np.sin(xy[:, :1]) * np.cos(xy[:, 1:]) + np.array([[1.0, 2.0]])
+    for j, (trend, sx, sy, w) in enumerate(K.solve(xy, field)):
+        again = trend + np.exp(-0.5 * (((xy[:, None] - xy[None]) / (sx, sy)) ** 2).sum(axis=2)) @ w
+        assert np.abs(again - field[:, j]).max() < 1e-3
+
+
+def test_mean_over_lattices_is_the_mean_over_points(spark):
+    boxes = spark.createDataFrame([("a", -50.0, -49.5, -20.0, -19.2, 10), ("b", -50.0, -49.99, -20.0, -19.99, 200), ("c", -50.0, -49.99, -20.0, -19.99, 3)], "k string, min_lon double, max_lon double, min_lat double, max_lat double, n_points long")
+    boxes = boxes.selectExpr("*", "(min_lon + max_lon) / 2 as c_lon", "(min_lat + max_lat) / 2 as c_lat", "(max_lon - min_lon) * 100 as width_km", "(max_lat - min_lat) * 110 as height_km")
+    rng = np.random.default_rng(4)
+    rows = [(k, float(x), float(y), float(v)) for k in "abc" for x, y, v in rng.random((6, 3)) + (-50, -20, 3)]
+    fitted = K.fit_kriging(spark.createDataFrame(rows, "k string, lon double, lat double, v double"), ["k"], ("lon", "lat"), ["v"])
+    made = {r.k: r.v for r in K.predict_kriging(fitted, boxes.select("k", S.grid_lattices().alias("lattices")), ["k"], ["v"], ["k"]).collect()}
+    points = {r.k: r.points for r in boxes.select("k", S.grid_points().alias("points")).collect()}
+    assert {k: len(p) for k, p in points.items()} == {"a": 6 * 9 + 1, "b": 5, "c": 1}
+    for r in fitted.collect():
+        each = [r.trend + sum(w.w * math.exp(-0.5 * (((p.lon - w.lon) / r.scale_lon) ** 2 + ((p.lat - w.lat) / r.scale_lat) ** 2)) for w in r.weights) for p in points[r.k]]
+        assert made[r.k] == pytest.approx(np.mean(each), rel=1e-9, abs=1e-9 * max(abs(w.w) for w in r.weights))
 
 
 def test_station_month_needs_all_variables(spark):
