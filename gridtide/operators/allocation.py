@@ -8,7 +8,7 @@ from decimal import localcontext
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,10 @@ FIRST_PASS = ("U", "A")
 
 # A group of up to this many candidates is walked item by item.
 FOLD_LIMIT = 10_000
-# Rows per range of a larger group.
-CHUNK_ROWS = 500_000
+# Rows per chunk of a larger group.
+CHUNK_ROWS = 50_000
+# Up to this many chunks are named in a scan.
+LISTED = 1000
 
 
 def greedy_pick(
@@ -46,13 +48,14 @@ def greedy_pick(
     `order` must be total within a group and costs positive (an item of cost 0 is taken too).
 
     What fits depends on everything taken before, which looks strictly sequential. It is not: let R
-    be what is left. All items up to the first one that does not fit are taken; that is one running
-    sum. And as long as more than R/2 is left, each item of up to R/2 fits, so the walk can also
-    jump to the first place where either the running sum of those small items leaves R/2 or less,
-    or a larger item fits into R minus that sum. The jump that leaves less is made. Running sums
-    are computed over ranges of the ordered items in parallel, and each jump at least halves what
-    is left. Jumps go on until a group has no more than `fold_limit` candidates, which are then
-    walked directly. No group is ever gathered whole, however many of the rows it holds.
+    be what is left, and call items small whose costs are of a lower power of two. In a chunk of the
+    ordered items where all small ones fit and the cheapest other one does not, the small ones are
+    taken and nothing else. A zone map (count, sum and minimum of each chunk's costs, by power of
+    two) tells how far that goes. The first chunk where it does not is walked item by item, after
+    which R is of a lower power of two, unless the cheapest item just no longer fitted when its turn
+    came. So a jump reads the map and one chunk, and no chunk is walked twice. When a group has no
+    more than `fold_limit` candidates left, they are walked together. No group is ever gathered
+    whole, however many of the rows it holds.
     """
     groups, order = list(groups), list(order)
     money = budgets.select(*groups, exact(F.col(budget)).alias("left"))
@@ -61,7 +64,7 @@ def greedy_pick(
     wanted = wanted.withColumn("cost", F.when(F.col("cost") < 0, bad).otherwise(F.col("cost")))
     fitting = cut(wanted.where("cost <= left"), "fitting")
 
-    sizes = cut(fitting.groupBy(*groups).agg(F.count("*").alias("n")), "sizes")
+    sizes = fitting.groupBy(*groups).agg(F.count("*").alias("n"))
     stats = sizes.agg(F.max("n"), F.sum("n")).first()
     if (stats[0] or 0) <= fold_limit:
         picked = _walk(fitting, groups, order)
@@ -106,106 +109,65 @@ def _walk(items: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
     return pairs.where("p.fits").select(*groups, "p.line.*")
 
 
+def _power(amount: Column, none: int) -> Column:
+    """The power of two of an amount; a larger amount never has a smaller one."""
+    return F.coalesce(F.floor(F.log2(amount.cast("double"))).cast("int"), F.lit(none))
+
+
+def _money(amount: Column) -> Column:
+    return amount.cast("decimal(38,6)")
+
+
+def zone_map(lined: DataFrame, groups: list[str]) -> DataFrame:
+    """Count, sum and minimum of the costs of each chunk of a group, by their power of two; 0 is below all."""
+    power = _power(F.col("cost"), -1000).alias("power")
+    return lined.groupBy(*groups, "chunk", power).agg(F.count("*").alias("n"), F.sum("cost").alias("total"), F.min("cost").alias("least"))
+
+
 def _jump(items: DataFrame, groups: list[str], order: list[str], ranges: int, fold_limit: int) -> DataFrame:
-    lined = lined_up(items, groups, order, ranges)
-    chunks = cut(lined.select(*groups, "chunk").distinct(), "chunks")
+    lined = lined_up(items.drop("left"), groups, order, ranges)
+    zones = cut(zone_map(lined, groups), "zones")
     spot = [*groups, "chunk"]
-    never = F.lit(-1).cast("bigint")
-    state = items.groupBy(*groups).agg(F.max("left").alias("left")).withColumn("pos", never)
-    state = cut(state, "state")
-    jumps: list[DataFrame] = []
-    ends: list[DataFrame] = []
-
-    def ahead(state: DataFrame) -> DataFrame:
-        """Items after each group's position that fit by themselves."""
-        here = chunks.join(state.withColumnRenamed("pos", "start"), groups)
-        return (
-            lined.drop("left")
-            .join(here, spot)
-            .where((F.col("pos") > F.col("start")) & (F.col("cost") <= F.col("left")))
-        )
-
+    state = items.groupBy(*groups).agg(_money(F.max("left")).alias("left")).withColumn("start", F.lit(0))
+    before = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    small = F.col("power") < F.col("limit")
+    picked: list[DataFrame] = []
+    skipped: list[DataFrame] = []
     while True:
-        sized = ahead(state).groupBy(*groups).agg(F.count("*").alias("n"))
-        sized = cut(state.join(sized, groups), "state")
-        ends.append(sized.where(F.col("n") <= fold_limit).drop("n"))
-        state = sized.where(F.col("n") > fold_limit).drop("n")
-        if state.isEmpty():
-            break
-        candidates = ahead(state).withColumn("half", (F.col("left") / 2).cast("decimal(25,7)"))
-        small = F.col("cost") <= F.col("half")
-        few_cost = F.when(small, F.col("cost")).otherwise(F.lit(0))
-        per_chunk = candidates.groupBy(*spot).agg(F.sum("cost").alias("s_all"), F.sum(few_cost).alias("s_small"))
-        before = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-        inside = Window.partitionBy(*spot).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-        offset = per_chunk.select(
-            *spot, *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(s) for s in ("s_all", "s_small")]
-        )
-        run = candidates.join(offset, spot).select(
-            *groups,
-            "pos",
-            "cost",
-            "left",
-            "half",
-            small.alias("small"),
-            (F.col("s_all") + F.sum("cost").over(inside)).alias("all_spent"),
-            (F.col("s_small") + F.sum(few_cost).over(inside)).alias("small_spent"),
-        )
-        # a small item is part of its own running sum, a large one is not
-        rest = F.col("left") - F.col("small_spent") - F.when(F.col("small"), F.lit(0)).otherwise(F.col("cost"))
-        run = run.withColumn("rest", rest.cast("decimal(38,6)"))
-        misfit = F.col("all_spent") > F.col("left")
-        halved = F.when(F.col("small"), F.col("rest") <= F.col("half")).otherwise(F.col("rest") >= 0)
-        over = F.struct("pos", (F.col("left") - F.col("all_spent") + F.col("cost")).alias("rest"))
-        stops = run.groupBy(*groups).agg(
-            F.min_by(F.when(misfit, over), F.when(misfit, F.col("pos"))).alias("misfit"),
-            F.min_by(
-                F.when(halved, F.struct("pos", "small", "rest")), F.when(halved, F.col("pos"))
-            ).alias("halved"),
-        )
-        # without a misfit all is taken; without a halving place all small items are, and no other
-        whole, by_half = F.col("misfit").isNull(), F.col("halved").isNull()
-        by_prefix = whole | (~by_half & (F.col("misfit.rest") <= F.col("halved.rest")))
-        done = whole | by_half
-        jump = state.join(stops, groups).select(
-            *groups,
-            F.col("pos").alias("start"),
-            F.when(done, F.lit(2**62))
-            .when(by_prefix, F.col("misfit.pos") - 1)
-            .otherwise(F.col("halved.pos"))
-            .alias("end"),
-            F.when(by_prefix, F.col("left")).otherwise((F.col("left") / 2)).cast("decimal(25,7)").alias("limit"),
-            F.when(~done & ~by_prefix & ~F.col("halved.small"), F.col("halved.pos")).alias("large"),
-            F.when(~done & by_prefix, F.col("misfit.pos")).when(~done, F.col("halved.pos")).alias("next"),
-            F.when(~done & by_prefix, F.col("misfit.rest"))
-            .when(~done, F.col("halved.rest"))
-            .cast("decimal(24,6)")
-            .alias("rest"),
-        )
-        jump = cut(jump, "jump")
-        jumps.append(jump)
-        state = jump.where("next is not null").select(
-            *groups, F.col("rest").alias("left"), F.col("next").alias("pos")
+        own = state.withColumn("limit", _power(F.col("left"), -999))
+        ahead = zones.join(own, groups).where(F.col("chunk") >= F.col("start"))
+        chunks = ahead.groupBy(*spot, "start", "left", "limit").agg(
+            F.coalesce(F.sum(F.when(small, F.col("total"))), F.lit(0)).alias("small"),
+            F.min(F.when(~small, F.col("least"))).alias("least"),
+            F.sum(F.when(F.col("power") <= F.col("limit"), F.col("n"))).alias("n"),
         )
-
-    tail = ahead(reduce(DataFrame.unionByName, ends))
-    walked = _walk(tail.select(*groups, *order, "cost", "left"), groups, order)
-    if not jumps:
-        return walked
-    # one row per group and jump; jumps halve the budget, so a group has a few dozen at most
-    route = (
-        reduce(DataFrame.unionByName, jumps)
-        .groupBy(*groups)
-        .agg(F.collect_list(F.struct("start", "end", "large", "limit")).alias("route"))
-    )
-    hit = F.exists(
-        "route",
-        lambda j: (F.col("pos") > j["start"])
-        & (F.col("pos") <= j["end"])
-        & ((F.col("cost") <= j["limit"]) | F.coalesce(F.col("pos") == j["large"], F.lit(False))),
-    )
-    jumped = lined.join(chunks.join(route, groups), spot).where(hit).select(*groups, *order, "cost")
-    return jumped.unionByName(walked)
+        # what is left where a chunk starts, if only small items are taken up to there
+        rest = _money(F.col("left") - F.coalesce(F.sum("small").over(before), F.lit(0)))
+        chunks = chunks.withColumn("rest", rest).withColumn("few", F.sum("n").over(Window.partitionBy(*groups)) <= fold_limit)
+        stop = (F.col("small") > F.col("rest")) | F.coalesce(F.col("least") <= F.col("rest"), F.lit(False))
+        chunks = cut(chunks.withColumn("stop", stop & ~F.col("few")), "jump")
+        # the chunks to be walked, and whether groups are walked to their end
+        asked = chunks.where("stop").groupBy(*groups).agg(F.min("chunk").alias("chunk"))
+        named = [r.chunk for r in asked.select("chunk").distinct().limit(LISTED + 1).collect()]
+        if not chunks.where("few").isEmpty():
+            few = chunks.where("few").groupBy(*groups).agg(F.first("start").alias("start"), F.first("left").alias("left"))
+            last = lined.join(few, groups).where((F.col("chunk") >= F.col("start")) & (F.col("cost") <= F.col("left")))
+            picked.append(cut(_walk(last, groups, order), "walked"))
+        over = chunks.where("not few").join(asked.withColumnRenamed("chunk", "at"), groups, "left")
+        skipped.append(over.where("at is null or chunk < at").select(*spot, "limit"))
+        if not named:
+            break
+        here = chunks.join(asked, spot, "left_semi").select(*spot, F.col("rest").alias("left"))
+        rows = lined.where(F.col("chunk").isin(named)) if len(named) <= LISTED else lined
+        fitting = rows.join(here, spot).where(F.col("cost") <= F.col("left"))
+        picked.append(cut(_walk(fitting, groups, order), "walked"))
+        spent = picked[-1].groupBy(*groups).agg(F.sum("cost").alias("spent"))
+        left = _money(F.col("left") - F.coalesce(F.col("spent"), F.lit(0))).alias("left")
+        state = here.join(spent, groups, "left").select(*groups, left, (F.col("chunk") + 1).alias("start"))
+    # a row for each skipped chunk at most
+    limits = reduce(DataFrame.unionByName, skipped)
+    taken = lined.join(limits, spot).where(_power(F.col("cost"), -1000) < F.col("limit")).select(*groups, *order, "cost")
+    return reduce(DataFrame.unionByName, picked, taken)
 
 
 def clean_inspections(raw: DataFrame) -> DataFrame:

@@ -178,17 +178,21 @@ def gathered(samples: DataFrame, keys: Sequence[str], coords: tuple[str, str], v
     one = F.struct(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate([*coords, *values])])
     rows = samples.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("rows"))
     columns = [F.col("rows")[f"c{k}"] for k in range(2 + len(values))]
-    text = [F.concat_ws(" ", F.transform(c, lambda v: F.coalesce(v.cast("string"), F.lit("-")))) for c in columns]
     return rows.select(
         *keys,
         columns[0].alias("lons"),
         columns[1].alias("lats"),
         F.array(*columns[2:]).alias("fields"),
-        F.md5(F.concat_ws("|", *text[:2])).alias("place_set"),
-        F.md5(F.concat_ws("|", *text, F.lit(",".join(values)))).alias("content"),
+        _fingerprint(*columns[:2]).alias("place_set"),
+        _fingerprint(*columns, F.lit(",".join(values))).alias("content"),
     )
 
 
+def _fingerprint(*columns: Column) -> Column:
+    """128 bits."""
+    return F.concat_ws("-", F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit("other"), *columns)))
+
+
 def _fit_set(values: Sequence[str], table: pa.Table) -> pa.Table:
     """The fields of rows that share a set of places."""
     lons, lats = (table[c][0].values.to_numpy(zero_copy_only=False) for c in ("lons", "lats"))
@@ -224,7 +228,7 @@ def _fit_rows(rows: DataFrame, values: Sequence[str]) -> DataFrame:
     """Fits rows of `gathered`; equal contents once. A set that many rows share is dealt to several tasks."""
     once = rows.dropDuplicates(["content"])
     each = F.greatest(F.lit(1.0), F.least(F.lit(float(FIELDS)), F.floor(WORK / F.pow(F.first(F.size("lons")), F.lit(3)))))
-    parts = once.groupBy("place_set").agg(F.ceil(F.count("*") / each).alias("parts"))
+    parts = rows.groupBy("place_set").agg(F.ceil(F.count("*") / each).alias("parts"))
     dealt = once.join(parts, "place_set").withColumn("part", F.pmod(F.xxhash64("content"), F.col("parts")))
     fields = T.StructType([T.StructField("content", T.StringType()), *FITTED])
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -60,6 +61,24 @@ def test_halving_worst_case(spark):
     assert picked(spark, rows, [(1, 64.0)], fold_limit=2, chunk_rows=10) == expected
 
 
+def test_costs_about_powers_of_two(spark):
+    """Costs of 0, at and just beside a power of two, and amounts beyond what a double holds exactly."""
+    random.seed(4)
+    for budget in (0, 64, 10**15 + 0.5, 96.000001):
+        choices = [0, 1, 0.999999, 32, 31.999999, 32.000001, 64, 63.999999, 2**49, 2**49 + 0.000001, 10**15, 10**15 - 0.000001]
+        items = [(o, Decimal(str(random.choice(choices)))) for o in range(160)]
+        rows = spark.createDataFrame([(1, o, c) for o, c in items], "g int, o int, c decimal(24,6)")
+        money = spark.createDataFrame([(1, Decimal(str(budget)))], "g int, b decimal(24,6)")
+        got = A.greedy_pick(rows, ["g"], ["o"], "c", money, "b", fold_limit=3, chunk_rows=9).collect()
+        assert {r.o for r in got} == set(brute(items, Decimal(str(budget))))
+
+
+def test_zone_map(spark):
+    lined = spark.createDataFrame([(1, 0, Decimal(c)) for c in ("0", "0.5", "3", "2", "4")] + [(1, 1, Decimal("4"))], "g int, chunk int, cost decimal(24,6)")
+    got = {(r.chunk, r.power): (r.n, r.total, r.least) for r in A.zone_map(lined, ["g"]).collect()}
+    assert got == {(0, -1000): (1, 0, 0), (0, -1): (1, Decimal("0.5"), Decimal("0.5")), (0, 1): (2, 5, 2), (0, 2): (1, 4, 4), (1, 2): (1, 4, 4)}
+
+
 def test_negative_cost_is_an_error(spark):
     with pytest.raises(PySparkException):
         picked(spark, [(1, 1, -1.0)], [(1, 5.0)])
