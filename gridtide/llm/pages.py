@@ -1,10 +1,13 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page becomes a flat sequence of text blocks, cut at block elements; of the markup only each block's
-nearest telling container is kept (article or main against menu, footer, advert and the like). The
-tree sees word count, link density, those two of the blocks before and after, and that container, which is
-one feature among them: long text with few links is main text whatever its container is called (not in a menu,
-aside or footer element), and rows of links are main text nowhere. It is trained on the small labelled table below.
+A page becomes a flat sequence of text blocks, cut at block elements; of the markup only two things are kept for
+each block: its nearest telling container (article or main against menu, footer, comments, advert and the like) and
+whether it is a heading, a paragraph or part of a list. The tree sees word count, link density, those two of the
+blocks before and after, and these two. It is trained on the small labelled table below.
+
+A container that a name, a form or a page's header tells to be boilerplate counts as such at any length, but only
+if most of the page is outside of it: one that holds half of the words in articles (of all words, if there is no
+article) is taken for a wrapper, and so is a container of comments that holds nearly all of them.
 
 Cases: null or empty html has an empty text. Scripts, styles, comments, the head, forms' controls and
 markup never reach a block. Unclosed and stray tags are tolerated, and a page may be cut off anywhere: the head
@@ -49,6 +52,9 @@ BOILER_NAMES = frozenset(
     "comment-list comments-area comment-section post-comments related-posts related-articles related-content share-buttons share-bar social-links social-share newsletter-signup skip-link tag-list "
     "sidebar-widget widget-area breadcrumb-nav search-form login-form site-search".split()
 )
+COMMENT_NAMES = frozenset(
+    "comment comments commentlist comment-list comments-area comment-section post-comments respond reply replies discussion disqus".split()
+)
 CONTENT_NAMES = frozenset(
     "article articlebody post entry story maincontent postcontent content main body text article-body article-content article-text post-content post-body entry-content main-content page-content story-body content-body".split()
 )
@@ -61,33 +67,72 @@ MAYBE_OPEN = re.compile(rf"<(?:{'|'.join(sorted(SILENT - {'head', 'template', 's
 RAW_END = {name: re.compile(rf"</{name}\s*>" + (rf"|<({name})[\s/>]" if name in PLAIN_RAW else ""), re.I) for name in ("script", "style", *sorted(PLAIN_RAW))}
 
 
+HALF, NEARLY_ALL = 0.5, 0.95  # of the words: so much makes a named container, or one of comments, a wrapper
+MAIN, ARTICLE, PLAIN, NAMED, COMMENTS, HEADER, ELEMENT = "main", "article", "", "named", "comments", "header", "element"
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_LISTS = frozenset("li ul ol dl dt dd td th tr table".split())
+
+
 @dataclass
 class Block:
     text: str
     words: int
     links: int  # words inside links
-    place: int  # -2 in a boilerplate element, -1 in what is named boilerplate, 1 in an article, 0 elsewhere
-
-
-def _place(name: str, attributes: str, inherited: int) -> int:
-    """-2 in an element that is boilerplate by itself, -1 in one that a name calls so, 1 in an article."""
-    if name == "main":  # cannot stand in one of those, so that one has no end tag
-        return 1
-    if name in BOILER or inherited == -2:
-        return -2
-    if name in CONTENT or name in ("header", "section", "div", "form", "fieldset", "ul", "ol", "p", "table", "span"):
-        names = {w.replace("_", "-") for m in HINT.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").lower().split()} if attributes else set()
-        if names & BOILER_NAMES:
-            return -1
-        if name in CONTENT:  # whatever a container around it is called
-            return 1
-        if name in ("form", "fieldset"):  # one inside an article, or one around the whole page
-            return -1 if inherited == 1 else inherited
-        if name == "header":  # a heading inside an article, or the head of the page
-            return inherited if inherited else -1
-        if inherited == 0 and names & CONTENT_NAMES:
-            return 1
-    return inherited
+    node: int  # the nearest telling container, -1 for none
+    kind: int  # 2 a heading, 1 a paragraph, 0 in a list or table
+    place: int = 0  # -2 in a boilerplate element, -1 in another container of boilerplate, 1 in an article, 0 elsewhere
+
+
+def _tells(name: str, attributes: str) -> str:
+    """What an element tells about the text in it."""
+    if name == "main":
+        return MAIN
+    if name in BOILER:
+        return ELEMENT
+    if name in ("body", "html"):
+        return PLAIN
+    names = {w.replace("_", "-") for m in HINT.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").lower().split()} if attributes else set()
+    if names & BOILER_NAMES:
+        return COMMENTS if names & COMMENT_NAMES else NAMED
+    if name in CONTENT:
+        return ARTICLE
+    if name in ("form", "fieldset"):
+        return NAMED
+    if name == "header":
+        return HEADER
+    return ARTICLE if names & CONTENT_NAMES and name in ("section", "div", "ul", "ol", "table") else PLAIN
+
+
+def _set_places(found: list[Block], nodes: list[tuple[int, str]]) -> None:
+    """Settles which containers are boilerplate, from the top down; `nodes` are (parent, what it tells)."""
+    words, in_articles, page, articles = [0] * len(nodes), [0] * len(nodes), 0, 0
+    for block in found:
+        chain, k = [], block.node
+        while k >= 0:
+            chain.append(k)
+            k = nodes[k][0]
+        kinds = {nodes[k][1] for k in chain}
+        in_article = block.words if kinds & {ARTICLE, MAIN} and ELEMENT not in kinds else 0
+        page, articles = page + block.words, articles + in_article
+        for k in chain:
+            words[k] += block.words
+            in_articles[k] += in_article
+    places: list[int] = []
+    for k, (parent, tells) in enumerate(nodes):
+        around = places[parent] if parent >= 0 else 0
+        share = in_articles[k] / articles if articles else words[k] / max(page, 1)
+        if tells == MAIN:  # cannot stand in a boilerplate element, so that one has no end tag
+            places.append(1)
+        elif tells == ELEMENT or around == -2:
+            places.append(-2)
+        elif tells == ARTICLE:
+            places.append(1 if around >= 0 else around)
+        elif tells == HEADER and around == 1:  # the heading of an article
+            places.append(1)
+        else:
+            places.append(around if share >= (NEARLY_ALL if tells == COMMENTS else HALF) else -1)
+    for block in found:
+        block.place = places[block.node] if block.node >= 0 else 0
 
 
 def _raw_end(name: str, page: str, at: int) -> int:
@@ -121,22 +166,31 @@ def _never_closed(page: str) -> set[int]:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool]] = []  # open elements with their place, whether they are silent, and whether they have no end tag
+    nodes: list[tuple[int, str]] = []  # containers that tell something
+    stack: list[tuple[str, int, bool, bool]] = []  # open elements with their container, whether they are silent, and whether they have no end tag
     unclosed = _never_closed(page) if MAYBE_OPEN.search(page) else ()
     text, link_text, links = [], [], 0  # links: 1 in a link, 2 in one without an end tag, which the block ends
-    place, silent, at, end = 0, False, 0, len(page)
+    node, silent, at, end = -1, False, 0, len(page)
+
+    def kind() -> int:
+        for name, *_rest in reversed(stack):
+            if name in IN_LISTS:
+                return 0
+            if name in CONTENT:
+                break
+        return 2 if stack and stack[-1][0] in HEADINGS else 1
 
     def close_block() -> None:
         words = "".join(text).split()
         if words:
-            out.append(Block(" ".join(words), len(words), min(len("".join(link_text).split()), len(words)), place))
+            out.append(Block(" ".join(words), len(words), min(len("".join(link_text).split()), len(words)), node, kind()))
         text.clear()
         link_text.clear()
 
     def cut_at(k: int) -> None:
-        nonlocal place, silent
+        nonlocal node, silent
         del stack[k:]
-        place, silent = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        node, silent = (stack[-1][1], stack[-1][2]) if stack else (-1, False)
 
     def take(part: str) -> None:
         if silent and stack[-1][0] == "head" and part.strip():
@@ -191,14 +245,18 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
             cut_at(-1)  # these end where the next one begins
-        place = _place(name, found[3] or "", place)
+        tells = _tells(name, found[3] or "")
+        if tells:
+            nodes.append((node, tells))
+            node = len(nodes) - 1
         silent = silent or name in SILENT
-        stack.append((name, place, silent, found.start() in unclosed))
+        stack.append((name, node, silent, found.start() in unclosed))
     close_block()
+    _set_places(out, nodes)
     return out
 
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "place")
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "place", "kind")
 
 
 def features(found: list[Block]) -> np.ndarray:
@@ -209,27 +267,23 @@ def features(found: list[Block]) -> np.ndarray:
     rows[:, 0], rows[:, 1] = words, density
     rows[1:, 2], rows[1:, 3] = words[:-1], density[:-1]
     rows[:-1, 4], rows[:-1, 5] = words[1:], density[1:]
-    rows[:, 6] = [b.place for b in found]
+    rows[:, 6], rows[:, 7] = [b.place for b in found], [b.kind for b in found]
     return rows
 
 
-# Labelled blocks, hand-made: the features in their order, then 1 for main text and 0 for the rest.
-LABELLED = np.array(
+# Labelled blocks, hand-made: the features but for the kind, then 1 for main text and 0 for the rest.
+SEEN = np.array(
     [
         # menus, footers, adverts, notices and comments in containers with names that say so
         [1, 1.0, 0, 0, 1, 1, -1, 0], [2, 1.0, 1, 1, 3, 1, -1, 0], [1, 1.0, 2, 1, 9, 0, -1, 0],
         [9, 0, 1, 1, 14, 0, -1, 0], [30, 0, 2, 1, 12, 0, -1, 0], [14, 0.1, 80, 0, 0, 0, -1, 0],
-        [60, 0, 40, 0, 25, 0, -1, 1], [120, 0, 90, 0, 60, 0, -1, 1], [4, 0, 150, 0, 20, 0, -1, 0],
-        [200, 0, 3, 0, 100, 0, -1, 1], [8, 0.5, 60, 0, 0, 0, -1, 0], [3, 0, 0, 0, 2, 0, -1, 0],
-        [60, 0, 2, 1, 70, 0, -1, 1], [12, 0, 1, 1, 90, 0, -1, 0], [35, 0, 30, 0, 200, 0, -1, 1],
-        [80, 0, 70, 0, 60, 0, -1, 1], [15, 0, 60, 0, 45, 0, -1, 0], [50, 0, 50, 0, 3, 0, -1, 1],
-        [3, 0, 20, 0, 55, 0, -1, 0], [20, 1.0, 4, 1, 110, 0, -1, 0], [90, 0.1, 6, 0, 33, 0, -1, 1],
-        [25, 0, 4, 0, 30, 0, -1, 0], [45, 0.05, 2, 0, 50, 0, -1, 1], [1, 0, 0, 0, 0, 0, -1, 0],
-        # long text with few links all the same: a wrapper may have a name that says nothing of what is in it
-        [40, 0, 60, 0, 45, 0, -1, 1], [70, 0.05, 3, 0, 40, 0, -1, 1], [150, 0, 0, 0, 0, 0, -1, 1], [55, 0.08, 80, 0, 4, 0, -1, 1],
-        [300, 0.02, 120, 0, 90, 0, -1, 1], [48, 0, 12, 0, 16, 0, -1, 1], [90, 0.6, 12, 0.8, 16, 0.7, -1, 0], [60, 0.8, 70, 0.9, 50, 0.8, -1, 0],
-        [22, 0, 22, 0, 22, 0, -1, 0], [22, 0, 60, 0, 60, 0, -1, 0], [28, 0, 0, 0, 40, 0, -1, 0], [16, 0, 300, 0, 0, 0, -1, 0],
-        # not so in elements that are boilerplate by themselves
+        [60, 0, 40, 0, 25, 0, -1, 0], [120, 0, 90, 0, 60, 0, -1, 0], [4, 0, 150, 0, 20, 0, -1, 0],
+        [200, 0, 3, 0, 100, 0, -1, 0], [8, 0.5, 60, 0, 0, 0, -1, 0], [3, 0, 0, 0, 2, 0, -1, 0],
+        [60, 0, 2, 1, 70, 0, -1, 0], [12, 0, 1, 1, 90, 0, -1, 0], [35, 0, 30, 0, 200, 0, -1, 0],
+        [80, 0, 70, 0, 60, 0, -1, 0], [15, 0, 60, 0, 45, 0, -1, 0], [50, 0, 50, 0, 3, 0, -1, 0],
+        [3, 0, 20, 0, 55, 0, -1, 0], [20, 1.0, 4, 1, 110, 0, -1, 0], [90, 0.1, 6, 0, 33, 0, -1, 0],
+        [25, 0, 4, 0, 30, 0, -1, 0], [45, 0.05, 2, 0, 50, 0, -1, 0], [1, 0, 0, 0, 0, 0, -1, 0],
+        # in elements that are boilerplate by themselves
         [60, 0, 40, 0, 25, 0, -2, 0], [120, 0, 90, 0, 60, 0, -2, 0], [200, 0, 3, 0, 100, 0, -2, 0], [45, 0.05, 2, 0, 50, 0, -2, 0],
         [35, 0, 0, 0, 0, 0, -2, 0], [80, 0, 70, 0, 60, 0, -2, 0], [400, 0, 120, 0, 0, 0, -2, 0], [50, 0.2, 50, 0, 3, 0, -2, 0],
         [3, 0, 120, 0, 4, 0, -2, 0], [1, 1.0, 0, 0, 1, 1, -2, 0], [12, 0, 60, 0, 0, 0, -2, 0], [25, 0, 30, 0, 30, 0, -2, 0],
@@ -264,6 +318,19 @@ LABELLED = np.array(
 )
 
 
+def _labelled() -> np.ndarray:
+    """The labelled blocks as headings, paragraphs and parts of lists. In an article a heading or a paragraph is
+    text though it is one link."""
+    parts = []
+    for kind in (0, 1, 2):
+        label = np.where((SEEN[:, 6] == 1) & (kind > 0), 1, SEEN[:, -1])
+        parts.append(np.column_stack([SEEN[:, :-1], np.full(len(SEEN), kind), label]))
+    return np.concatenate(parts)
+
+
+LABELLED = _labelled()
+
+
 @dataclass
 class Tree:
     """A binary decision tree: `feature` <= `limit` goes left. A leaf has a share of main text."""

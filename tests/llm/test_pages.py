@@ -73,8 +73,49 @@ def test_container_is_one_feature():
         assert main_text(f"<body><{wrapper}>{article}{close}", tree) == f"Title\n\n{long}\n\nShort.", wrapper
         assert main_text(f"<body><{wrapper}><p>{long}</p><p>{long}</p>{close}", tree) == f"{long}\n\n{long}", wrapper
     links = "<ul>" + "<li><a href=/x>One more story here</a></li>" * 5 + "</ul>"
-    assert main_text(f"<article><p>{long}</p>{links}<p>{long}</p><p><a href=/y>Read this one, too</a></p></article>", tree) == f"{long}\n\n{long}"
+    assert main_text(f"<article><p>{long}</p>{links}<p>{long}</p></article>", tree) == f"{long}\n\n{long}"
     assert main_text(f"<article><p>{long}</p></article><section class=comments><p>Nice one.</p><article class=comment>Me too.</article></section><aside><article>Ad.</article></aside>", tree) == long
     for name in ("aside", "footer", "nav"):
         assert main_text(f"<article><p>{long}</p></article><{name}><p>{long}</p></{name}>", tree) == long
         assert main_text(f"<{name}>x<main><p>Short.</p><p>{long}</p></main>", tree) == f"Short.\n\n{long}"
+
+
+LONG = "Some words of a longer paragraph that says one thing after another without any link in it at all, and goes on. " * 4
+LONG = LONG.strip()
+
+
+def test_boilerplate_beside_an_article():
+    """Comments, notices, adverts, sidebars, forms and headers stay out at any length, before, after and inside an article."""
+    tree = train_tree()
+    article = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p>"
+    text = f"Title\n\n{LONG}\n\nShort."
+    for open_, close in (
+        ("<section class=comments>", "</section>"), ("<ol><li class='comment even'>", "</li></ol>"), ("<div class='cookie-notice'>", "</div>"),
+        ("<div class=advert>", "</div>"), ("<div class=sidebar>", "</div>"), ("<div class=footer>", "</div>"), ("<div id=comments>", "</div>"),
+        ("<div class=notice>", "</div>"), ("<table class=promo><tr><td>", "</table>"), ("<form>", "</form>"), ("<header>", "</header>"),
+        ("<dl class=related-posts><dd>", "</dl>"), ("<section id=comments><article>", "</article></section>"), ("<blockquote class=ad>", "</blockquote>"),
+    ):
+        for n in (1, 4):
+            other = open_ + f"<p>{LONG}</p>" * n + "<p>Few words.</p>" + close
+            assert main_text(f"<body><article>{article}</article>{other}</body>", tree) == text, open_
+            assert main_text(f"<body>{other}<article>{article}</article></body>", tree) == text, open_
+            if "header" not in open_ and n == 1:
+                inside = f"<article>{article}<p>{LONG}</p>{other}</article>"
+                assert main_text(inside, tree) == f"{text}\n\n{LONG}", open_
+    comments = f"<section class=comments><p>{LONG}</p></section>" * 6
+    assert main_text(f"<article>{article}{comments}</article>", tree) == text
+
+
+def test_links_in_an_article_are_text():
+    tree = train_tree()
+    page = f"<nav><a href=/>Home</a></nav><article><header><h1><a href=/a>A linked heading</a></h1></header><p>{LONG}</p><h2><a href=/b>More</a></h2><p><a href=/c>One linked paragraph</a></p><p>End.</p></article>"
+    assert main_text(page, tree) == f"A linked heading\n\n{LONG}\n\nMore\n\nOne linked paragraph\n\nEnd."
+
+
+def test_wrappers_hold_the_page():
+    """A name or a form around most of the page says nothing; comments may hold no more than nearly all of it."""
+    tree = train_tree()
+    article = f"<article><p>{LONG}</p><p>{LONG}</p></article>"
+    for wrapper in ("<div class='ad sidebar'>", "<form action=/>", "<div id=search>", "<body class=comments>"):
+        assert main_text(f"{wrapper}{article}<div class=sidebar><p>{LONG}</p></div>", tree) == f"{LONG}\n\n{LONG}", wrapper
+    assert main_text(f"<div class=discussion>{article}</div>", tree) == f"{LONG}\n\n{LONG}"
