@@ -34,7 +34,7 @@ from gridtide.llm.batches import slices
 from gridtide.session import cut
 
 TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall  # of lower-cased UTF-8; a character is never split
-PAIRS, DOCS = 400_000, 4096  # a block has about so many postings and documents at most
+PAIRS, DOCS = 200_000, 1024  # a block has about so many postings and documents at most
 ITEMS, ITEM_TERMS = 4096, 500_000  # queries asked together have so many rows and terms at most, if more than one
 FIRST = 4  # blocks that a task proposes for the first wave of a query
 ROWS = 256

@@ -61,7 +61,7 @@ def made(seed):
     return docs, items + [(50, None), (51, "..."), (52, "unheard of"), (53, "same Same same"), (54, "words rare")]
 
 
-@pytest.mark.parametrize("k, pairs, docs_held, lot", [(5, 20, 3, 7), (50, 400_000, 4096, 4096), (1, 100, 50, 1), (400, 1000, 8, 40)])
+@pytest.mark.parametrize("k, pairs, docs_held, lot", [(5, 20, 3, 7), (50, 200_000, 1024, 4096), (1, 100, 50, 1), (400, 1000, 8, 40)])
 def test_made_tables(spark, monkeypatch, k, pairs, docs_held, lot):
     for name, value in (("PAIRS", pairs), ("DOCS", docs_held), ("ITEMS", lot), ("TOGETHER", 3)):
         monkeypatch.setattr(lexical, name, value)
