@@ -5,7 +5,9 @@ in it are hashed. Each feature has the value of its log-count ratio, the logarit
 among toxic texts over that among the others; a logistic regression weighs these values.
 
 The classifier is fitted on a bounded sample of labelled rows: at most `SAMPLE` rows, those with the
-smallest hash of the id. Of the n-grams, those `FEATURES` that tell the classes apart best are kept.
+smallest hash of the id. Every n-gram in them is a feature. Its ratio is shrunk by its standard error, so one
+whose shares may well be equal has the value 0; rows are lists of the n-grams with other values that they have,
+and the regression is fitted row by row, by exact steps on its dual.
 
 Cases: a null text is empty; an empty text gets the score of the intercept. Labels are 0 and 1; null
 labels and labels without a document are left out; an id with both labels counts as toxic, and of documents
@@ -28,14 +30,14 @@ from pyspark.sql import functions as F
 from gridtide.llm.batches import slices
 from gridtide.session import cut
 
-SAMPLE = 16_000  # labelled rows to fit on, at most
-FEATURES = 2048
+SAMPLE = 8_000  # labelled rows to fit on, at most
 SIZES = (3, 4, 5, 6)
 BITS = 20
 TASKS = 8  # that count n-grams; each returns two counts for each hash value
-LEAST_DOCS = 4  # documents that have a feature
-PENALTY = 0.05
+ERRORS = 2  # a ratio of so many standard errors, or less, is taken for 0
+PENALTY = 1.0
 TOXIC_WEIGHT = 4  # the rarer class counts for so many rows
+ROUNDS, SETTLED = 50, 2e-4  # passes over the sample at most; a pass that moves no row by more is the last
 
 
 def ngrams(text: str) -> np.ndarray:
@@ -53,37 +55,73 @@ def ngrams(text: str) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
 
+def present(text: str) -> np.ndarray:
+    """The n-grams that a text has, as whole numbers in order."""
+    return np.unique(ngrams(text))
+
+
 @dataclass
 class Model:
-    place: np.ndarray  # by hash: the place of the feature, -1 for others
-    weight: np.ndarray
+    weight: np.ndarray  # by hash
     bias: float
 
-    def present(self, text: str) -> np.ndarray:
-        places = self.place[ngrams(text)]
-        return np.unique(places[places >= 0])
-
     def score(self, text: str) -> float:
-        z = self.bias + float(self.weight[self.present(text)].sum()) if text else self.bias
+        z = self.bias + float(self.weight[present(text)].sum(dtype=np.float64)) if text else self.bias
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """Weights of an L2-penalised logistic regression, by accelerated gradient steps."""
-    v = np.ones(x.shape[1], np.float32)
-    for _ in range(15):  # the largest eigenvalue bounds the curvature
-        v = x.T @ (x @ v)
-        v /= max(np.linalg.norm(v), 1e-30)
-    curve = 0.25 * TOXIC_WEIGHT * float(np.linalg.norm(x @ v)) ** 2 + PENALTY
-    w = ahead = np.zeros(x.shape[1], np.float32)
-    t = 1.0
-    for _ in range(rounds):
-        error = (1 / (1 + np.exp(-np.clip(x @ ahead, -60, 60))) - y) * np.where(y > 0, TOXIC_WEIGHT, 1)
-        later = ahead - (x.T @ error.astype(np.float32) + PENALTY * ahead) / np.float32(curve)
-        t_later = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        ahead = later + np.float32((t - 1) / t_later) * (later - w)
-        w, t = later, t_later
-    return w
+def log_count_ratios(counts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each hash value, the logarithm of its share among toxic rows over that among the others, shrunk.
+
+    `counts` has the rows of each class with the value, `docs` those of the class. Shares are smoothed by one
+    row that is spread over both classes, so a value without rows has a ratio of 0.
+    """
+    share = counts / docs[:, None] + 1 / docs.sum()
+    ratio = np.log(share[1] / share[0])
+    error = (1 / (share * docs[:, None]) - 1 / (docs[:, None] + docs[:, None] / docs.sum())).sum(axis=0)
+    kept = 1 - ERRORS**2 * error / np.maximum(ratio**2, 1e-12)
+    return np.where(counts.any(axis=0) & (kept > 0), ratio * kept, 0.0)
+
+
+def _step(old: float, cost: float, margin: float, size: float) -> float:
+    """The dual variable of a row at which, all others held, its loss and its margin agree; 0 to `cost`."""
+    low, high = 0.0, cost
+    at = min(max(old, 1e-9), cost - 1e-9)
+    for _ in range(40):
+        slope = math.log(at / (cost - at)) + margin + size * (at - old)
+        low, high = (low, at) if slope > 0 else (at, high)
+        later = at - slope / (cost / (at * (cost - at)) + size)
+        later = later if low < later < high else (low + high) / 2
+        if abs(later - at) < 1e-10 * cost:
+            break
+        at = later
+    return at
+
+
+def fit(rows: list[np.ndarray], toxic: list[int], ratio: np.ndarray) -> Model:
+    """L2-penalised logistic regression on rows whose features have the value of their ratio.
+
+    Rows are taken in turns, in an order drawn once a pass from a fixed seed.
+    """
+    sizes = np.array([float((ratio[row] ** 2).sum()) for row in rows])
+    # the intercept is one more feature, as large as a usual row
+    constant = math.sqrt(sizes.mean()) + 1
+    weight, bias, dual = np.zeros(1 << BITS), 0.0, [0.0] * len(rows)
+    draw = np.random.default_rng(1)
+    for _ in range(ROUNDS):
+        moved = 0.0
+        for k in draw.permutation(len(rows)).tolist():
+            row, sign, cost = rows[k], 1 if toxic[k] else -1, TOXIC_WEIGHT if toxic[k] else 1
+            values = ratio[row]
+            margin = sign * (float(weight[row] @ values) + bias * constant)
+            at = _step(dual[k], cost, margin, (sizes[k] + constant**2) / PENALTY)
+            change = sign * (at - dual[k]) / PENALTY
+            weight[row] += change * values
+            bias += change * constant
+            moved, dual[k] = max(moved, abs(at - dual[k]) / cost), at
+        if moved < SETTLED:
+            break
+    return Model((weight * ratio).astype(np.float32), bias * constant)
 
 
 def may_learn(remainders: int = 3, held_out: int = 1) -> Column:
@@ -111,69 +149,44 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column | None, rows: int
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, 1 << BITS), np.int32)
-    docs, seen = np.zeros(2, np.int64), np.zeros(1 << BITS, bool)
+    counts, docs = np.zeros((2, 1 << BITS), np.int32), np.zeros(2, np.int64)
     for batch in slices(batches):
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen[ngrams(text)] = True
-            found = np.flatnonzero(seen)
-            seen[found] = False
-            counts[toxic, found] += 1
+            counts[toxic, present(text)] += 1
             docs[toxic] += 1
     packed = pa.compress(counts.tobytes(), "zstd", asbytes=True)
     yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary()), pa.array([docs.tolist()])], ["counts", "docs"])
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, rows: int = SAMPLE) -> Model:
-    """Fits a model. The driver gets counts and bit rows, whose sizes do not depend on the texts."""
+    """Fits a model. The driver gets counts, whose size does not depend on the texts, and the n-grams of the
+    sampled rows, at most 2^BITS each, a task at a time."""
     chosen = cut(sample(docs, labels, allowed, rows), "sample")
     counts, docs_of = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").toLocalIterator():  # a row at a time
+    for row in chosen.repartition(TASKS).mapInArrow(_count, "counts binary, docs array<long>").toLocalIterator():
         raw = pa.decompress(row.counts, decompressed_size=counts.size * 4, codec="zstd", asbytes=True)
         counts += np.frombuffer(raw, np.int32).reshape(counts.shape)
         docs_of += row.docs
-    place = np.full(1 << BITS, -1, np.int32)
     if not docs_of.all():
         share = (docs_of[1] + 0.5) / (docs_of.sum() + 1)
-        return Model(place, np.zeros(0), math.log(share / (1 - share)))
-    often = counts.sum(axis=0) >= LEAST_DOCS
-    share = (counts + 1) / (docs_of[:, None] + 2)
-    ratio = np.log(share[1] / share[0])
-    # how much a feature tells: squared difference of the shares over their variance
-    both = (counts.sum(axis=0) + 1) / (docs_of.sum() + 2)
-    telling = np.where(often, (share[1] - share[0]) ** 2 / (both * (1 - both)), -1.0)
-    best = np.sort(np.argsort(-telling, kind="stable")[:FEATURES])
-    best = best[telling[best] >= 0]
-    place[best] = np.arange(len(best))
-    bits = Model(place, np.zeros(len(best)), 0.0)
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = []
-            for text in batch.column(1).to_pylist():
-                row = np.zeros(FEATURES, bool)
-                row[bits.present(text)] = True
-                packed.append(np.packbits(row).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["toxic", "bits"])
-
-    table = chosen.mapInArrow(rows_of, "toxic int, bits binary").toArrow()
-    # in a fixed order, so that the same sample always gives the same model
-    known = sorted(zip(table.column("bits").to_pylist(), table.column("toxic").to_pylist()))
-    flags = np.frombuffer(b"".join(b for b, _ in known), np.uint8).reshape(-1, FEATURES // 8)
-    # one matrix, filled in place: with `SAMPLE` rows it is most of what the driver holds
-    x = np.zeros((len(known), len(best) + 1), np.float32)
-    x[:, :-1] = np.unpackbits(flags, axis=1)[:, : len(best)]
-    x[:, :-1] *= ratio[best].astype(np.float32)
-    # the intercept is one more feature, as large as a usual row
-    constant = np.float32(np.sqrt(np.einsum("ij,ij->", x, x, dtype=np.float64) / len(known)) + 1)
-    x[:, -1] = constant
-    weight = _fit(x, np.array([t for _, t in known], np.float32)).astype(np.float64)
-    return Model(place, weight[:-1] * ratio[best], float(weight[-1]) * float(constant))
+        return Model(np.zeros(1 << BITS, np.float32), math.log(share / (1 - share)))
+    ratio = log_count_ratios(counts, docs_of)
+    telling = ratio != 0
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            each = [present(text) for text in batch.column(1).to_pylist()]
+            packed = [has[telling[has]].astype("<u4").tobytes() for has in each]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["toxic", "present"])
+
+    got = [(row.present, row.toxic) for row in chosen.mapInArrow(found, "toxic int, present binary").toLocalIterator()]
+    got.sort()  # a fixed order, so that the same sample always gives the same model
+    return fit([np.frombuffer(packed, "<u4") for packed, _ in got], [label for _, label in got], ratio)
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs` with `score`, 0 to 1, higher where toxic is likelier."""
-    packed = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB and `FEATURES` weights
+    packed = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB
     others = [c for c in docs.columns if c != "score"]
     rows = docs.select(*others)
     at = others.index(text_col)

@@ -26,6 +26,51 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(clean) / len(clean) < 0.01
 
 
+def plain_ngrams(text):
+    """Hashes of the n-grams that a text has, one n-gram after another."""
+    padded, found = " " + " ".join(text.lower().split()) + " ", set()
+    for n in toxicity.SIZES:
+        for k in range(len(padded) - n + 1):
+            h = ord(padded[k])
+            for c in padded[k + 1 : k + n]:
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ ord(c)
+            mixed = ((h ^ h >> 15) * 0x85EBCA6B + n) & 0xFFFFFFFF
+            found.add((mixed * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - toxicity.BITS)
+    return found
+
+
+def test_toxicity_by_brute_force(spark):
+    """Every n-gram of the sample is a feature with its ratio, and the weights are where the penalised loss is least."""
+    words = ["awful", "stupid", "nice", "day", "the", "é", "a b", "lovely"]
+    draw = np.random.default_rng(2)
+    texts = [" ".join(draw.choice(words, 6, p=[0.25, 0.2, 0.05, 0.1, 0.1, 0.1, 0.1, 0.1] if k % 3 == 0 else [0.05, 0.05, 0.2, 0.2, 0.2, 0.1, 0.1, 0.1])) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    toxic = np.array([k % 3 == 0 for k in range(60)])
+    grams = [plain_ngrams(t) for t in texts]
+    seen, ratio = sorted(set().union(*grams)), {}
+    for g in seen:
+        has = np.array([g in some for some in grams])
+        a, b = (has & toxic).sum() / toxic.sum() + 1 / 60, (has & ~toxic).sum() / (~toxic).sum() + 1 / 60
+        error = sum(1 / (share * n) - 1 / (n + n / 60) for share, n in ((a, toxic.sum()), (b, (~toxic).sum())))
+        plain = np.log(a / b)
+        ratio[g] = plain * (1 - 4 * error / plain**2) if plain**2 > 4 * error else 0.0
+    assert sum(v != 0 for v in ratio.values()) > 20
+    x = np.array([[ratio[g] if g in some else 0.0 for g in seen] for some in grams])
+    constant = np.sqrt((x**2).sum(axis=1).mean()) + 1
+    x, y, cost = np.column_stack([x, np.full(60, constant)]), toxic.astype(float), np.where(toxic, toxicity.TOXIC_WEIGHT, 1)
+    w = np.zeros(x.shape[1])
+    for _ in range(60):  # Newton steps
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (cost * (p - y)) + toxicity.PENALTY * w
+        w -= np.linalg.solve(x.T @ (x * (cost * p * (1 - p))[:, None]) + toxicity.PENALTY * np.eye(len(w)), slope)
+    assert np.flatnonzero(model.weight).tolist() == [g for g, v in zip(seen, w) if ratio[g] and abs(v * ratio[g]) > 0]
+    for text in [*texts, "", "nice awful day", "quite other words"]:
+        z = constant * w[-1] + sum(w[seen.index(g)] * ratio[g] for g in (plain_ngrams(text) if text else ()) if g in ratio)
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-z)), abs=2e-3)
+
+
 def test_labels_are_no_input(spark):
     """Labels of held-out ids change nothing."""
     docs = spark.createDataFrame([(k, f"text number {k} " + "awful nonsense " * (k % 2)) for k in range(60)], "doc_id long, text string")
