@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,30 +104,24 @@ def frame_of(noun: str) -> tuple[str, str]:
     return before, after
 
 
-def documents(rows: DataFrame, noun: str) -> DataFrame:
-    """Lines of text that make each partition one complete JSON document.
+def documents(rows: DataFrame, noun: str, files: int | None = None) -> DataFrame:
+    """Lines of text that make each partition one complete JSON document; `files` partitions at most.
 
-    Rows stream through, so a document may be larger than memory. Empty partitions give no lines.
+    Each partition gets a last row, which sorts behind the others. Rows stream through, so a document may be
+    larger than memory. Partitions without rows give no lines.
     """
     before, after = frame_of(noun)
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        started = False
-        for batch in batches:
-            if batch.empty:
-                continue
-            text = batch["value"].tolist()
-            text[0] = ("," if started else before + "\n") + text[0]
-            text[1:] = ["," + t for t in text[1:]]
-            started = True
-            yield pd.DataFrame({"value": text})
-        if started:
-            yield pd.DataFrame({"value": [after]})
-
-    return rows.select("value").mapInPandas(lines, "value string")
+    spark = rows.sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    body = rows.select("value", F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("file"), F.lit(False).alias("ends"))
+    last = spark.range(files).select(F.lit(after).alias("value"), F.col("id").cast("int").alias("file"), F.lit(True).alias("ends"))
+    spread = body.unionByName(last).repartitionById(files, "file").sortWithinPartitions("ends")
+    # the lower 33 bits of this number are the place in the partition
+    numbered = spread.withColumn("first", F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == 0)
+    start = F.when(F.col("ends"), F.lit("")).when(F.col("first"), F.lit(before + "\n")).otherwise(F.lit(","))
+    return numbered.where(~(F.col("first") & F.col("ends"))).select(F.concat(start, "value").alias("value"))
 
 
 def write_documents(rows: DataFrame, noun: str, path: str, files: int | None = None) -> None:
-    """One document per file; `files` sets how many."""
-    spread = rows if files is None else rows.repartition(files)
-    documents(spread, noun).write.mode("append").text(path)
+    """One document per file; `files` sets how many at most."""
+    documents(rows, noun, files).write.mode("append").text(path)

@@ -6,7 +6,9 @@ wherever the data lives.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from gridtide.sources import files
 
 Binding = Callable[[SparkSession], DataFrame]
 
+# Keys that are named in conditions for a database, and how many in one of them.
+LISTED_KEYS, BATCH = 20_000, 500
+
 
 def parquet(path: str) -> Binding:
     return lambda spark: spark.read.parquet(path)
@@ -33,6 +38,27 @@ def frame(df: DataFrame) -> Binding:
     return lambda spark: df
 
 
+class Jdbc:
+    """A database table. `split=(column, low, high)` reads it in parallel ranges; `keyed` reads some keys."""
+
+    def __init__(self, url: str, table: str, split: tuple[str, int | str, int | str] | None, partitions: int, options: dict[str, str]):
+        self.url, self.table, self.split, self.partitions, self.options = url, table, split, partitions, options
+
+    def __call__(self, spark: SparkSession) -> DataFrame:
+        reader = spark.read.format("jdbc").options(url=self.url, dbtable=self.table, **self.options)
+        if self.split is not None:
+            column, low, high = self.split
+            reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=self.partitions)
+        return reader.load()
+
+    def keyed(self, spark: SparkSession, column: str, wanted: DataFrame) -> DataFrame:
+        """Rows of the wanted keys, and perhaps others; the database looks them up, each predicate in a task."""
+        predicates = key_predicates(column, wanted, self.partitions)
+        if predicates is None:
+            return self(spark)
+        return spark.read.jdbc(self.url, self.table, predicates=predicates or ["1 = 0"], properties=self.options)
+
+
 def jdbc(
     url: str,
     table: str,
@@ -41,17 +67,40 @@ def jdbc(
     **options: str,
 ) -> Binding:
     """A database table. `split=(column, low, high)` reads it in parallel ranges."""
-
-    def load(spark: SparkSession) -> DataFrame:
-        reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-        if split is not None:
-            column, low, high = split
-            reader = reader.options(
-                partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=partitions
-            )
-        return reader.load()
-
-    return load
+    return Jdbc(url, table, split, partitions, options)
+
+
+def key_predicates(column: str, wanted: DataFrame, ranges: int = 64, listed: int = LISTED_KEYS, batch: int = BATCH) -> list[str] | None:
+    """SQL conditions that hold, one or the other, for every wanted key; None if there is no good way.
+
+    Up to `listed` keys are listed, `batch` in a condition. More keys, if they are numbers or dates, become
+    ranges from their sorted partitions, which leave out the gaps between; text has an order of its own in
+    each database, so many text keys give None.
+    """
+    kind = wanted.schema[0].dataType
+    keys = wanted.toDF("key").where("key is not null").distinct()
+    some = [_sql_literal(r.key) for r in keys.limit(listed + 1).collect()]
+    name = '"' + column.replace('"', '""') + '"'
+    if None in some:
+        return None
+    if len(some) <= listed:
+        some.sort()
+        return [f"{name} IN ({', '.join(some[k : k + batch])})" for k in range(0, len(some), batch)]
+    if not isinstance(kind, (T.IntegralType, T.DecimalType, T.DateType)):
+        return None
+    parts = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # a row for each range
+    return [f"{name} BETWEEN {_sql_literal(r.low)} AND {_sql_literal(r.high)}" for r in parts.orderBy("low").collect()]
+
+
+def _sql_literal(value) -> str | None:
+    if isinstance(value, bool) or not isinstance(value, (int, Decimal, str, datetime.date)):
+        return None
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, datetime.datetime):
+        return None
+    return f"DATE '{value.isoformat()}'" if isinstance(value, datetime.date) else str(value)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -87,12 +136,13 @@ class Tables:
     ) -> DataFrame:
         """Chosen columns of the rows that meet `where` and whose key is among `keys`.
 
-        `keys` is (column, one-column DataFrame). It becomes a semi join, so the list of keys is
-        never turned into text and has no length limit.
+        `keys` is (column, one-column DataFrame). It becomes a semi join, so the list of keys has no
+        length limit; a database also gets conditions that find them, see `key_predicates`.
         """
         if name not in self._bindings:
             raise KeyError(f"no table is bound to {name!r}; bound: {sorted(self._bindings)}")
-        df = self._bindings[name](self.spark)
+        binding = self._bindings[name]
+        df = binding.keyed(self.spark, *keys) if keys is not None and hasattr(binding, "keyed") else binding(self.spark)
         if where is not None:
             df = df.where(where)
         if keys is not None:

@@ -5,8 +5,11 @@ import json
 import os
 import subprocess
 import sys
+from decimal import Decimal
 from pathlib import Path
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from gridtide.plans import envelope
 from gridtide.plans.requests import format_tasks, parse_requests, run_requests
 from gridtide.session import cut, shared_folder
 from gridtide.sources import files
-from gridtide.sources.tables import Tables, csv, csv_by_state, parquet
+from gridtide.sources.tables import Jdbc, Tables, csv, csv_by_state, key_predicates, parquet
 from gridtide.streaming.inbox import serve
 
 
@@ -264,6 +267,44 @@ def test_run_with_weather(spark):
     assert made.suggestions.count() == 2 and made.errors.count() == 0
 
 
+@pytest.mark.parametrize("kind, cast", [("bigint", int), ("date", lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)), ("string", lambda k: f"it's {k}"), ("decimal(9,2)", Decimal)])
+def test_conditions_for_keys(spark, kind, cast):
+    """Each wanted row meets one condition; listed keys meet no other row, ranges leave out the gaps."""
+    keys = [k for k in range(0, 4000) if k % 7 == 0 and not 1000 < k < 3000]
+    wanted = spark.createDataFrame([(cast(k),) for k in [*keys, keys[0]]] + [(None,)], f"k {kind}")
+    table = pd.DataFrame({"the key": [cast(k) for k in range(4000)], "n": range(4000)})
+    duckdb.register("table_", table)
+    duckdb.sql(f'CREATE OR REPLACE TEMP VIEW keyed AS SELECT CAST("the key" AS {"VARCHAR" if kind == "string" else kind}) AS "the key", n FROM table_')
+    met = lambda conditions: [n for c in conditions for (n,) in duckdb.sql(f"SELECT n FROM keyed WHERE {c}").fetchall()]
+    listed = key_predicates("the key", wanted, batch=100)
+    assert len(listed) == -(-len(keys) // 100) and sorted(met(listed)) == keys
+    ranges = key_predicates("the key", wanted, ranges=8, listed=50)
+    if kind == "string":
+        assert ranges is None
+    else:
+        found = met(ranges)
+        assert 4 < len(ranges) <= 8 and len(found) == len(set(found)) and set(keys) <= set(found) and len(found) < 3000
+    assert key_predicates("the key", wanted.where("k is null")) == []
+
+
+def test_database_reads_wanted_keys(spark):
+    """The conditions reach the reader of the database; a table without keys is read as before."""
+    asked = []
+
+    class Database(Jdbc):
+        def __call__(self, spark):
+            return spark.range(100).withColumnRenamed("id", "k")
+
+        def keyed(self, spark, column, wanted):
+            asked.extend(key_predicates(column, wanted, self.partitions))
+            return self(spark).where(" or ".join(p.replace('"', "`") for p in asked))
+
+    tables = Tables(spark, {"t": Database("jdbc:x", "t", None, 4, {})})
+    keys = spark.createDataFrame([(3,), (5,), (200,)], "k long")
+    assert sorted(r.k for r in tables.read("t", keys=("k", keys)).collect()) == [3, 5]
+    assert asked == ['"k" IN (200, 3, 5)'] and tables.read("t").count() == 100
+
+
 def read_documents(folder):
     return [json.loads(p.read_text()) for p in sorted(Path(folder).glob("part-*")) if p.stat().st_size]
 
@@ -292,6 +333,19 @@ def test_missing_values_stay_in_the_envelope(spark):
     assert envelope.to_envelope(df, "N", [F.col("a"), F.col("b")]).first().value == '{"@noun":"N","CellsData":[{"@index":0,"@value":1},{"@index":1,"@value":null}]}'
 
 
+def test_documents_stay_in_the_jvm(spark, tmp_path):
+    rows = spark.range(1000).select(F.concat(F.lit('{"k":'), "id", F.lit("}")).alias("value"))
+    made = envelope.documents(rows, "N", 5)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    envelope.write_documents(rows, "N", str(tmp_path / "d"), 5)
+    docs = read_documents(tmp_path / "d")
+    assert 1 < len(docs) <= 5
+    assert sorted(r["k"] for d in docs for r in d["payload"]["items"][0]["Data"]["RowData"]) == list(range(1000))
+    envelope.write_documents(rows.limit(1), "N", str(tmp_path / "one"), 5)
+    assert [d["payload"]["items"][0]["Data"]["RowData"] for d in read_documents(tmp_path / "one")] == [[{"k": 0}]]
+
+
 def test_no_rows_no_documents(spark, tmp_path):
     envelope.write_documents(spark.createDataFrame([], "value string"), "N", str(tmp_path / "n"))
     assert read_documents(tmp_path / "n") == []
