@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.geo import EARTH_RADIUS, haversine
@@ -20,6 +19,8 @@ from gridtide.session import cut
 # Cell sizes are 360 / 2**level degrees, from about 40 km down to one cell for the whole globe.
 LEVELS = (10, 8, 6, 4, 2, 0)
 CELL = ["level", "cx", "cy", "part"]
+# Levels of the tree of cells that is searched for near points; the last has at most 2**19 cells.
+TREE = (2, 4, 6, 8, 10)
 
 
 def bounding_boxes(
@@ -172,36 +173,52 @@ def ring_radius(
 ) -> DataFrame:
     """(key, radius_km): `r0` grown by whole rings until `min_extra` further points are inside.
 
-    The ring that holds the `min_extra`-th smallest distance beyond `r0` gives the radius at once.
-    That distance is looked for in ever larger cells; a centre leaves the search when its radius is
-    covered by the cells it saw. Centres with fewer further points than asked for take them all.
+    The ring that holds the `min_extra`-th smallest distance beyond `r0` gives the radius at once. It is
+    looked for best-first over a tree of cells that count their points: from one level to the next, a
+    centre keeps the cells that may hold a point beyond `r0` and up to the distance by which its cells have
+    enough of them for certain. Only points in what is left at the finest level are met, so a centre oceans
+    away from a crowd of points meets few. Centres with fewer further points than asked for take them all.
     """
     keys = [key, *centre_at, "r0"]
+    own = ", ".join(f"named_struct('level', {level}, 'cx', int(pmod({x}, {2**level})), 'cy', int({y}))" for level in TREE for x, y in [_cell(level, *point_at)])
+    counted = points.selectExpr(f"explode(array({own})) AS cell").groupBy("cell").agg(F.count("*").alias("n"))
+    counted = cut(counted.select("cell.*", "n"), "cells")
+    # a quarter of the globe's width each
+    tops = counted.where(F.col("level") == TREE[0]).select("cx", "cy", "n").collect()
+    if not tops:
+        return centres.select(key, F.lit(math.inf).alias("radius_km"))
+    cells = F.array(*[F.struct(F.lit(t.cx).alias("cx"), F.lit(t.cy).alias("cy"), F.lit(t.n).alias("n")) for t in tops])
+    left = centres.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*")
+    for level in TREE:
+        if level != TREE[0]:
+            split = 2 ** (level - before)
+            inner = counted.where(F.col("level") == level).selectExpr(f"int(floor(cx / {split})) AS ox", f"int(floor(cy / {split})) AS oy", "cx", "cy", "n")
+            outer = left.withColumnsRenamed({"cx": "ox", "cy": "oy"}).drop("n")
+            left = outer.join(F.broadcast(inner), ["ox", "oy"]).select(*keys, "cx", "cy", "n")  # at most 2**(2 * level - 1) rows
+        left, before = _nearest_cells(left, keys, centre_at, level, min_extra), level
+    x, y = _cell(TREE[-1], *point_at)
+    placed = points.selectExpr(*point_at, f"int(pmod({x}, {2 ** TREE[-1]})) AS cx", f"int({y}) AS cy")
     dist = haversine(*[F.col(c) for c in (*centre_at[::-1], *point_at[::-1])])
-    waiting = centres.select(*keys)
-    done: list[DataFrame] = []
-    for level in LEVELS:
-        around = f"explode({_cells_around(level, *centre_at)}) AS cell"
-        probes = waiting.selectExpr("*", around).select(*keys, "cell.*")
-        seen = probes.join(_point_cells(points, *point_at, [level]), CELL).select(
-            *keys, dist.alias("d")
-        )
-        # `row_number() <= k` is also applied before the shuffle, so a crowded cell stays cheap
-        beyond = seen.where(F.col("d") > F.col("r0")).selectExpr(
-            "*", f"row_number() over (partition by `{key}` order by d) as rn"
-        )
-        last = beyond.where(F.col("rn") <= min_extra).where(F.col("rn") == min_extra).select(key, "d")
-        radius = F.col("r0") + step_km * F.ceil((F.col("d") - F.col("r0")) / step_km)
-        tried = waiting.join(last, key, "left").withColumn("radius_km", radius.cast("double"))
-        if level == 0:
-            tried = tried.withColumn("radius_km", F.coalesce("radius_km", F.lit(math.inf)))
-        settled = F.expr(f"coalesce(radius_km <= {_reach(level, centre_at[1])}, false)")
-        tried = cut(tried.withColumn("settled", settled), "radius")
-        done.append(tried.where("settled").select(key, "radius_km"))
-        waiting = tried.where("not settled").select(*keys)
-        if level == 0 or waiting.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, done)
+    seen = left.select(*keys, "cx", "cy").join(placed, ["cx", "cy"]).select(*keys, dist.alias("d")).where("d > r0")
+    # `row_number() <= k` is also applied before the shuffle, so a crowded cell stays cheap
+    ranked = seen.selectExpr("*", f"row_number() over (partition by `{key}` order by d) as rn").where(F.col("rn") <= min_extra)
+    last = ranked.where(F.col("rn") == min_extra).select(key, (F.col("r0") + step_km * F.ceil((F.col("d") - F.col("r0")) / step_km)).alias("radius_km"))
+    found = centres.select(key).join(last, key, "left")
+    return cut(found.select(key, F.coalesce(F.col("radius_km").cast("double"), F.lit(math.inf)).alias("radius_km")), "radius")
+
+
+def _nearest_cells(left: DataFrame, keys: list[str], centre_at: tuple[str, str], level: int, enough: int) -> DataFrame:
+    """Cells that may hold one of the `enough` nearest points beyond `r0` of a centre."""
+    side = 360 / 2**level
+    middle = haversine(F.col(centre_at[1]), F.col(centre_at[0]), (F.col("cy") + 0.5) * side - 90, (F.col("cx") + 0.5) * side - 180)
+    # half a side north or south and half a side east or west, which is shorter off the equator
+    reach = math.radians(side) * EARTH_RADIUS["km"] * (1 + 1e-9)
+    bounds = left.withColumn("near", middle - reach).withColumn("far", middle + reach)
+    by_key = Window.partitionBy(*keys)
+    sure = F.sum(F.when(F.col("near") > F.col("r0"), F.col("n")).otherwise(0)).over(by_key.orderBy("far", "cx", "cy"))
+    bounds = bounds.withColumn("sure", sure).withColumn("limit", F.min(F.when(F.col("sure") >= enough, F.col("far"))).over(by_key))
+    kept = bounds.where((F.col("far") > F.col("r0")) & (F.col("limit").isNull() | (F.col("near") <= F.col("limit"))))
+    return kept.select(*keys, "cx", "cy", "n")
 
 
 def ring_neighbours(
@@ -224,9 +241,8 @@ def ring_neighbours(
         [station],
         [lon, lat],
     )
-    # both are read once per cell size tried
     sites = cut(sites, "sites")
-    centres = cut(boxes.select(key, "c_lon", "c_lat", "r0"), "centres")
+    centres = boxes.select(key, "c_lon", "c_lat", "r0")
     radii = ring_radius(centres, sites, key, min_extra, step_km, centre_at, point_at)
     return pairs_within(centres.join(radii, key), sites, "radius_km", centre_at, point_at).select(
         key, station, lon, lat, "dist_km", "radius_km"

@@ -44,6 +44,26 @@ def test_ring_neighbours_equal_the_loop(spark, spread, n):
         assert got[name] == ring_loop(r0, [km(lat, lon, y, x) for _, x, y in sites])
 
 
+def test_centres_oceans_away_from_a_crowd(spark):
+    """Most points crowd at one place; far centres meet few of them, and single points beside them count."""
+    random.seed(6)
+    sites = [(i, random.gauss(139.7, 4), random.gauss(35.7, 4)) for i in range(4000)] + [(5000, -120.0, -60.0), (5001, 170.0, -44.0)]
+    sites += [(6000 + i, 139.7, 35.7) for i in range(300)]
+    centres = [(j, random.uniform(-180, 180), random.uniform(-80, 80), random.choice([0.0, 100.0, 5000.0])) for j in range(40)] + [(99, 139.7, 35.7, 0.0), (98, -180.0, 90.0, 10.0)]
+    points = spark.createDataFrame(sites, "s int, longitude double, latitude double")
+    got = {r.k: r.radius_km for r in S.ring_radius(spark.createDataFrame(centres, "k int, c_lon double, c_lat double, r0 double"), points, "k").collect()}
+    for name, lon, lat, r0 in centres:
+        third = sorted(d for _, x, y in sites if (d := km(lat, lon, y, x)) > r0)[2]
+        assert got[name] == r0 + 10 * math.ceil((third - r0) / 10)
+    asked = spark.createDataFrame(centres, "k int, c_lon double, c_lat double, r0 double").where("k < 40")
+    x, y = S._cell(8, "longitude", "latitude")
+    counted = points.selectExpr(f"int(pmod({x}, 256)) AS cx", f"int({y}) AS cy").groupBy("cx", "cy").agg(F.count("*").alias("n"))
+    every = asked.select("k", "c_lon", "c_lat", "r0").crossJoin(counted)
+    left = S._nearest_cells(every, ["k", "c_lon", "c_lat", "r0"], ("c_lon", "c_lat"), 8, 3)
+    most = left.groupBy("k").agg(F.count("*").alias("cells")).agg(F.max("cells")).first()[0]
+    assert 5 * most < counted.count()
+
+
 def test_pairs_across_the_date_line(spark):
     stations = spark.createDataFrame([("e", 179.9, 10.0), ("w", -179.9, 10.0), ("far", 0.0, 10.0)], "station_code string, longitude double, latitude double")
     centre = spark.createDataFrame([("c", 179.95, 10.0, 40.0)], "k string, c_lon double, c_lat double, r double")
