@@ -8,7 +8,10 @@ Persons are linked within a document (`_persons`): a title makes a person known,
 of them get the matching words of the same surrogate. The gender is that of the first title that has one.
 
 Different entities must stay different. The distinct entities of the corpus draw surrogates; where two
-entities draw the same, or one draws what occurs in the corpus, all but one draw again, until none collide.
+entities draw the same, or one draws what occurs in the corpus, all but one draw again, until none collide. A
+form of number (a private range of addresses, say, or short telephone numbers) of which the corpus holds a quarter
+would leave too little to draw from: there the surrogates are a keyed permutation of the form, which is distinct by
+itself; such a surrogate may be a number that occurs elsewhere in the corpus.
 Only the entities with further draws travel to the texts: as a broadcast up to `BROADCAST_ROWS` of them, by
 a join beyond.
 
@@ -25,6 +28,7 @@ import bisect
 import functools
 import hashlib
 import hmac
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -75,10 +79,15 @@ YEAR = re.compile(r"(?:19|20)\d\d")
 LIKELY = re.compile(r"\d[\d .()+-]{5,}|[A-Z]{2}\d{2}")
 _academic = "|".join(TITLES["n"])
 _word = r"\p{Lu}[\p{L}'’-]+"
+_particles = "(?:(?:van|von|der|den|de|la|las|los|del|della|di|da|du|le|ten|ter|zu|zur|zum|bin|ibn|al|el|dos|das|af|av|y|e) )"
+_initials = r"(?:\p{Lu}\. ?)"
 PERSON = regex.compile(
-    rf"(?<!\w)(?P<title>{_titles})\.? (?:(?P<title>{_academic})\.? )*(?P<name>(?!(?:{_academic})\b){_word}(?: (?!(?:{_titles})\.? \p{{Lu}}){_word}){{0,2}})"
+    rf"(?<!\w)(?P<title>{_titles})\.? (?:(?P<title>{_academic})\.? )*"
+    rf"(?P<name>(?!(?:{_academic})\b)(?:{_initials}|{_particles})*{_word}(?: (?!(?:{_titles})\.? \p{{Lu}})(?:{_initials}|{_particles})*{_word})*)"
 )
 NAMES = regex.compile(rf"(?<!\w){_word}(?: {_word})*")
+INITIAL = regex.compile(r"\p{Lu}\.")
+PERMUTED = -1  # in place of the number of a draw
 ENDING = regex.compile(r"(?:['’]s|['’-]+)$")  # not part of a name
 
 
@@ -209,6 +218,7 @@ def _persons(text: str) -> list[Mention]:
         person.begin = min(person.begin, begin)
         person.spans.append((begin, end, _within(words, person.name)))
     taken = sorted((begin, end) for begin, end, _, _ in titled)
+    longest = max(len(p.name) for p in persons)
     for m in NAMES.finditer(text):
         words = [(w.start(), w.start() + len(ENDING.sub("", w[0])), ENDING.sub("", w[0]).casefold()) for w in regex.finditer("[^ ]+", text, pos=m.start(), endpos=m.end())]
         k = 0
@@ -218,7 +228,7 @@ def _persons(text: str) -> list[Mention]:
                 at = bisect.bisect(taken, (begin, len(text)))
                 free = not at or taken[at - 1][1] <= begin
                 until = taken[at][0] if at < len(taken) else len(text)
-                for n in (3, 2, 1) if free else ():
+                for n in range(min(longest, len(words) - k), 0, -1) if free else ():
                     some = words[k : k + n]
                     name = tuple(w for _, _, w in some)
                     person = fitting(name, begin, "n") if len(some) == n and some[-1][1] <= until else None
@@ -301,17 +311,72 @@ def _domain(key: bytes, domain: str) -> str:
     return ".".join(["".join(map(draw.like, label)) for label in labels] + [top])
 
 
+def _parted(kind: str, canon: str) -> tuple[str, str]:
+    """What a surrogate keeps of a number, and the rest."""
+    if kind == "ip":
+        parts = canon.split(".")
+        kept = 1 if parts[0] in ("10", "127") else 2 if parts[:2] == ["192", "168"] else 0
+        return "".join(p + "." for p in parts[:kept]), ".".join(parts[kept:])
+    kept = 2 if canon.startswith("+") else 0
+    return canon[:kept], canon[kept:]
+
+
+def form_of(kind: str, canon: str) -> tuple[str, int] | None:
+    """The form of a number and how many surrogates can be drawn in it at least; None for kinds without an end."""
+    if kind not in ("ip", "phone", "ssn", "account"):
+        return None
+    kept, rest = _parted(kind, canon)
+    if kind == "ip":
+        return f"ip:{kept}", 222 * 254 ** rest.count(".") if not kept else 254 ** (rest.count(".") + 1)
+    return f"{kind}:{kept}:{len(rest)}", 9 ** (len(rest) - (kind == "account"))
+
+
+def _shuffled(key: bytes, name: str, value: int, size: int) -> int:
+    """The place of `value` in a keyed permutation of the numbers below `size`."""
+    a = math.isqrt(size - 1) + 1
+    b = -(-size // a)
+    left, right = divmod(value, a)
+    for turn in range(10):
+        mixed = lambda x: int.from_bytes(hmac.digest(key, f"{name}\0{turn}\0{x}".encode(), hashlib.sha256), "big")  # noqa: B023, E731
+        if turn % 2:
+            right = (right + mixed(left)) % a
+        else:
+            left = (left + mixed(right)) % b
+    out = left * a + right
+    return out if out < size else _shuffled(key, name, out, size)  # walks on to the next that is small enough
+
+
+def permuted(key: bytes, kind: str, canon: str) -> str:
+    """The surrogate of a number in the permutation of its form; different numbers have different ones."""
+    form, _ = form_of(kind, canon)
+    kept, rest = _parted(kind, canon)
+    while True:
+        if kind == "ip":
+            octets = rest.split(".")
+            value = _shuffled(key, form, int.from_bytes(bytes(map(int, octets)), "big"), 256 ** len(octets))
+            rest = ".".join(map(str, value.to_bytes(len(octets), "big")))
+        elif kind == "account":
+            beyond = (int(rest[-1]) + _luhn(rest[:-1] + "0")) % 10  # 0 for a right check digit
+            body = str(_shuffled(key, form, int(rest[:-1]), 10 ** (len(rest) - 1))).zfill(len(rest) - 1)
+            rest = body + str((beyond - _luhn(body + "0")) % 10)
+        else:
+            rest = str(_shuffled(key, form, int(rest), 10 ** len(rest))).zfill(len(rest))
+        if form_of(kind, kept + rest) == form_of(kind, canon):
+            return kept + rest
+
+
 def surrogate(key: bytes, kind: str, canon: str, attempt: int = 0) -> str:
-    """The canonical surrogate of an entity at its `attempt`-th draw."""
+    """The canonical surrogate of an entity at its `attempt`-th draw, or in the permutation of its form."""
+    if attempt == PERMUTED:
+        return permuted(key, kind, canon)
     draw = Draw(key, kind, canon, attempt)
     if kind == "email":
         local, _, domain = canon.rpartition("@")
         return "".join(map(draw.like, local + "a" * (attempt // 4))) + "@" + _domain(key, domain)
     if kind == "ip":
-        parts = canon.split(".")
-        kept = 1 if parts[0] in ("10", "127") else 2 if parts[:2] == ["192", "168"] else 0
-        first = [str(1 + draw.below(223))] if not kept else parts[:kept]
-        return ".".join(first + [str(1 + draw.below(254)) for _ in range(4 - len(first))])
+        kept, rest = _parted(kind, canon)
+        drawn = [str(1 + draw.below(254 if kept or k else 223)) for k in range(rest.count(".") + 1)]
+        return kept + ".".join(drawn)
     if kind == "iban":
         out = canon[:2] + "".join(map(draw.like, canon[2:])).upper()
         return f"{out[:2]}{98 - _mod97(out[:2] + '00' + out[4:]):02d}{out[4:]}" if _mod97(canon) == 1 else out
@@ -346,7 +411,11 @@ def render(mention: Mention, drawn: str) -> str:
         words = [words[k] for k in mention.words] or words
         if mention.text.isupper():
             return " ".join(words).upper()
-        return " ".join("-".join(part[:1].upper() + part[1:] for part in w.split("-")) for w in words)
+        shown = ["-".join(part[:1].upper() + part[1:] for part in w.split("-")) for w in words]
+        old = mention.text.split(" ")
+        if len(old) == len(shown):  # particles stay, initials stay initials
+            shown = [o if o.islower() else w[0] + "." if INITIAL.fullmatch(o) else w for o, w in zip(old, shown)]
+        return " ".join(shown)
     if mention.kind == "email":
         if mention.text.isupper():
             return drawn.upper()
@@ -370,8 +439,24 @@ def _entities(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(find, "kind string, canon string").distinct()
 
 
-def further_draws(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """`kind`, `canon`, `attempt` of the entities that may not use their first draw."""
+def _full_forms(entities: DataFrame) -> set[str]:
+    """The forms of which the corpus holds a quarter or more. Short numbers only have such forms, some hundreds in all."""
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [form for row in zip(*(c.to_pylist() for c in batch.columns)) if (form := form_of(*row)) and form[1] < 1 << 60]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], ["form", "size"])
+
+    counted = entities.mapInArrow(forms, "form string, size long").groupBy("form", "size").agg(F.count("*").alias("n"))
+    return {r.form for r in counted.where("n >= size / 4").select("form").collect()}
+
+
+def further_draws(docs: DataFrame, key: bytes, text_col: str = "text") -> tuple[DataFrame, set[str]]:
+    """`kind`, `canon`, `attempt` of the entities that may not use their first draw, and the forms that are permuted.
+
+    Of other forms less than a quarter occurs and less than a quarter is taken, so a draw finds a free one half
+    of the time at least.
+    """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,6 +464,14 @@ def further_draws(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(drawn, pa.string())], ["kind", "canon", "attempt", "drawn"])
 
     entities = cut(_entities(docs, text_col), "entities")
+    full = _full_forms(entities)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [(form_of(*row) or ("",))[0] not in full for row in zip(*(c.to_pylist() for c in batch.columns))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    entities = entities.mapInArrow(others, "kind string, canon string") if full else entities
     real = entities.select("kind", F.col("canon").alias("drawn"))
     waiting, settled = entities.withColumn("attempt", F.lit(0)), None
     while True:
@@ -392,13 +485,14 @@ def further_draws(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFr
         lost = drawn.join(won.select("kind", "canon"), ["kind", "canon"], "left_anti")
         waiting = cut(lost.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), "waiting")
         if waiting.isEmpty():
-            return settled.where(F.col("attempt") > 0).select("kind", "canon", "attempt")
+            return settled.where(F.col("attempt") > 0).select("kind", "canon", "attempt"), full
 
 
 def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with surrogates in the text, and `entities`: (kind, begin, end) in the text as it was."""
     spark = docs.sparkSession
-    redrawn = cut(further_draws(docs, key, text_col), "redrawn")
+    further, full = further_draws(docs, key, text_col)
+    redrawn = cut(further, "redrawn")
     others = [c for c in docs.columns if c not in (text_col, "entities", "redrawn_", "doc_tag")]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(*others, text.alias(text_col))
@@ -420,7 +514,9 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
                 attempts = known.value if known else {(r["kind"], r["canon"]): r["attempt"] for r in own or []}
                 found, parts, at = detect(text), [], 0
                 for m in found:
-                    parts += [text[at : m.begin], render(m, drawn(m.kind, m.canon, attempts.get((m.kind, m.canon), 0)))]
+                    own_form = form_of(m.kind, m.canon) if full else None
+                    attempt = PERMUTED if own_form and own_form[0] in full else attempts.get((m.kind, m.canon), 0)
+                    parts += [text[at : m.begin], render(m, drawn(m.kind, m.canon, attempt))]
                     at = m.end
                 texts.append("".join(parts) + text[at:])
                 spans.append([{"kind": m.kind, "begin": m.begin, "end": m.end} for m in found])

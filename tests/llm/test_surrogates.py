@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+import regex
 
 from gridtide.llm import surrogates
 from gridtide.llm.catalogue import QUERIES
@@ -136,3 +137,34 @@ def test_different_persons_are_not_linked():
     assert persons("Mrs Jane Doe met Mr Doe and Mr Smith Mrs Jones.") == [("Jane Doe", "f:latin:jane doe"), ("Doe", "m:latin:doe"), ("Smith", "m:latin:smith"), ("Jones", "f:latin:jones")]
     assert persons("Ms Anna Maria Weber, Ms Anna Weber, Maria") == [(t, "f:latin:anna maria weber") for t in ("Anna Maria Weber", "Anna Weber", "Maria")]
     assert persons("Господин Иванов. Иванов пришёл.") == [("Иванов", "m:cyrillic:иванов")] * 2
+
+
+def test_full_forms_are_permuted(spark):
+    """More addresses of a range than could be drawn apart: it ends, all stay different and in their range."""
+    old = [f"192.168.{k // 200}.{k % 200 + 1}" for k in range(40_000)] + [f"10.0.{k // 250}.{k % 250}" for k in range(500)]
+    texts = [" ".join(old[k : k + 500]) for k in range(0, len(old), 500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = replace_personal(docs, KEY).orderBy("doc_id").collect()
+    new = [w for r in rows for w in r.text.split(" ")]
+    assert len(new) == len(old) == len(set(new))
+    assert all(a.split(".")[0] == b.split(".")[0] and len(detect(b)) == 1 and (a[0] != "1" or a[:7] != "192.168" or b[:8] == "192.168.") for a, b in zip(old, new))
+    assert len(set(new[:40_000]) & set(old[:40_000])) < 40_000 and not set(new[40_000:]) & set(old)
+
+
+@pytest.mark.parametrize("kind, numbers", [("ip", [f"192.168.{k}.{j}" for k in range(0, 256, 5) for j in range(256)]), ("phone", [f"{k:04d}" for k in range(10_000)]), ("account", [f"41{k:011d}" for k in range(0, 99_999_999_999, 9_999_991)][:4000]), ("ip", ["8.8.8.8", "9.9.9.9", "126.0.0.1"])])
+def test_permutations(kind, numbers):
+    made = [surrogates.permuted(KEY, kind, n) for n in numbers]
+    assert len(set(made)) == len(numbers)
+    assert [surrogates.form_of(kind, m) for m in made] == [surrogates.form_of(kind, n) for n in numbers]
+    if kind == "account":
+        assert [_luhn(m) == 0 for m in made] == [_luhn(n) == 0 for n in numbers]
+    if kind == "phone":
+        assert sorted(made) == numbers
+
+
+def test_long_names():
+    assert kinds("Herr Ludwig van Beethoven, Mr Juan Carlos Maria Ortega Ruiz and Mme de Gaulle met Dr. J. Smith.") == [
+        ("person", "Ludwig van Beethoven"), ("person", "Juan Carlos Maria Ortega Ruiz"), ("person", "de Gaulle"), ("person", "J. Smith")
+    ]
+    new = replaced("Herr Ludwig van Beethoven saw Dr. J. Smith")
+    assert regex.fullmatch(r"Herr \p{Lu}\S+ van \p{Lu}\S+ saw Dr\. \p{Lu}\. \p{Lu}\S+", new) and "Beethoven" not in new and "Smith" not in new
