@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import Data, check
 from catalog.relational import FUTURE, GOALS, PANEL, PANEL_USES, goals, panel, text_dates
-from gridtide.operators.models import REGISTRY, PanelModel, preparation
+from gridtide.operators.models import REGISTRY, PanelModel, prepare
 from gridtide.operators.rows import cardinality_split
 from gridtide.operators.search import (
     against_goal,
@@ -88,7 +88,7 @@ def _(data):
         F.date_format("o_orderdate", "yyyy-MM").alias("month"),
     )
     features = ["o_totalprice", "balance", "c_mktsegment", "month"]
-    made = preparation(df, features).fit(df).transform(df)
+    made = prepare(df, features).transform(df)
     parts = vector_to_array("__features")
     return made.withColumn("parts", parts).select(
         "o_orderkey",

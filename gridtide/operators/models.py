@@ -17,12 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.operators import series_models
-from gridtide.operators.rows import cardinality_split
+from gridtide.operators.ordering import places
 from gridtide.session import cut, spread
 
 HIGH_CARDINALITY = 11
@@ -281,46 +282,56 @@ def _register_panel_models() -> None:
 _register_panel_models()
 
 
-def preparation(history: DataFrame, features: Sequence[str]):
-    """`pyspark.ml` stages that turn feature columns into `__features`."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml import feature as X
-
-    text = [f for f in features if isinstance(history.schema[f].dataType, T.StringType)]
-    counts = history.agg(*[F.count(f).alias(f) for f in features if f not in text]).first().asDict()
-    numbers = [f for f, n in counts.items() if n]
-    # one row per text column
-    high = {r["name"] for r in cardinality_split(history, text, HIGH_CARDINALITY).where("high").collect()}
-    low = [f for f in text if f not in high]
-    stages: list = []
-    parts: list[str] = []
-    if numbers:
-        filled = [f"__n_{f}" for f in numbers]
-        stages += [
-            X.Imputer(inputCols=numbers, outputCols=filled),
-            X.VectorAssembler(inputCols=filled, outputCol="__numbers"),
-            X.StandardScaler(inputCol="__numbers", outputCol="__scaled", withMean=True),
+@dataclass(frozen=True)
+class Prepared:
+    """What training rows tell of the feature columns. Numbers are a mean and a spread each; the values of text
+    columns stay in a table, numbered in order, however many there are."""
+
+    numbers: Mapping[str, tuple[float, float]]
+    sizes: Mapping[str, int]  # how many values a text column has
+    codes: DataFrame  # name, value, code
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Adds `__features`: numbers, gaps filled by the mean, with zero mean and unit spread; text of few values as
+        one 0/1 column each (all 0 for a new value); other text as its code (one past the end if new)."""
+        flags, places = [], []
+        for k, (name, size) in enumerate(self.sizes.items()):
+            own = self.codes.where(F.col("name") == name).select(F.col("value").alias(f"__v{k}"), F.col("code").alias(f"__c{k}"))
+            few = size <= HIGH_CARDINALITY  # at most so many rows
+            rows = rows.join(F.broadcast(own) if few else own, F.col(f"`{name}`") == F.col(f"__v{k}"), "left")
+            code = F.coalesce(F.col(f"__c{k}"), F.lit(size)).cast("double")
+            if few:
+                flags += [F.when(code == i, 1.0).otherwise(0.0) for i in range(size)]
+            else:
+                places.append(code)
+        scaled = [
+            (F.coalesce(F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")), F.lit(mean)) - mean) / spread if spread else F.lit(0.0)
+            for f, (mean, spread) in self.numbers.items()
         ]
-        parts.append("__scaled")
-    if text:
-        stages.append(
-            X.StringIndexer(
-                inputCols=text,
-                outputCols=[f"__i_{f}" for f in text],
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            )
-        )
-    if low:
-        stages.append(
-            X.OneHotEncoder(
-                inputCols=[f"__i_{f}" for f in low], outputCols=[f"__h_{f}" for f in low], dropLast=True
-            )
-        )
-        parts += [f"__h_{f}" for f in low]
-    parts += [f"__i_{f}" for f in text if f in high]
-    stages.append(X.VectorAssembler(inputCols=parts, outputCol="__features"))
-    return Pipeline(stages=stages)
+        parts = F.array(*scaled, *flags, *places) if scaled or flags or places else F.array().cast("array<double>")
+        made = rows.withColumn("__features", array_to_vector(parts))
+        return made.drop(*[c for k in range(len(self.sizes)) for c in (f"__v{k}", f"__c{k}")])
+
+
+def prepare(train: DataFrame, features: Sequence[str]) -> Prepared:
+    """One aggregate for the numbers and one numbered table for the values of all text columns."""
+    text = [f for f in features if isinstance(train.schema[f].dataType, T.StringType)]
+    numbers = [f for f in features if f not in text]
+    known = {f: F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")) for f in numbers}
+    stats = [[F.count(x), F.avg(x), F.var_pop(x)] for x in known.values()]
+    row = train.agg(F.count("*"), *[c for some in stats for c in some]).first()
+    spread = {}
+    for f, (n, mean, variance) in zip(numbers, zip(*[iter(row[1:])] * 3)):
+        if n:  # a column without any value is left out; filled gaps add nothing to the squares
+            spread[f] = (mean, (variance * n / (row[0] - 1)) ** 0.5 if row[0] > 1 else 0.0)
+    if not text:
+        return Prepared(spread, {}, train.sparkSession.createDataFrame([], "name string, value string, code long"))
+    pairs = F.array(*[F.struct(F.lit(f).alias("name"), F.col(f"`{f}`").alias("value")) for f in text])
+    values = train.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").distinct()
+    codes = places(values, ["name"], ["value"], name="place").select("name", "value", (F.col("place") - 1).alias("code"))
+    codes = cut(codes, "codes")
+    sizes = {r.name: r.n for r in codes.groupBy("name").agg(F.count("*").alias("n")).collect()}  # a row for each column
+    return Prepared(spread, {f: sizes.get(f, 0) for f in text}, codes)
 
 
 def predict_panel(
@@ -355,7 +366,7 @@ def predict_panel(
     new = cut(cast(rows), "new")
     for (value,) in past.select(apart).distinct().collect():  # the dates of the requests
         train = past.where((F.col(apart) == F.lit(value)) & F.col("__label").isNotNull())
-        prepared = preparation(train, features).fit(train)
+        prepared = prepare(train, features)
         # estimators pass over these many times, but only until they are fitted
         seen = prepared.transform(train).select("__features", "__label").persist()
         fresh = prepared.transform(new.where(F.col(apart) == F.lit(value)))
