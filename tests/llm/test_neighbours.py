@@ -56,9 +56,11 @@ def test_cells_come_by_summed_distance():
     a, b = index.halves(query, True)
     cost = (distances(a, index.first)[0][:, None] + distances(b, index.second)[0]).ravel()
     for reach in (1, 6, 20, 35):
-        shards = set(next(index.probe(query, reach)).tolist())
+        shards, last = next(index.probe(query, reach))
         cells = np.argsort(cost)[:reach]
-        assert shards == {s for c in cells for s in range(index.shard[c], index.shard[c] + index.shards[c])}
+        assert last == cost[cells[-1]] and np.array_equal(next(index.sums(query, np.arange(35))), cost)
+        assert index.needed(query[0], cells.tolist()) == list(range(1, reach + 1))
+        assert set(shards.tolist()) == {s for c in cells for s in range(index.shard[c], index.shard[c] + index.shards[c])}
 
 
 def test_odd_rows(spark):
@@ -67,12 +69,26 @@ def test_odd_rows(spark):
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     got = listed(nearest(frame, F.col("vec_id") % 10 == 0, k=3))
     assert got == {
-        0: [(8, 2.0), (9, 2.0), (20, 0.5)],
+        0: [(8, 2.0), (9, 2.0), (9, 2.0)],
         10: [(20, -2.0), (0, -5.0), (8, -10.0)],
-        20: [(8, 1.0), (9, 1.0), (0, 0.5)],
+        20: [(8, 1.0), (9, 1.0), (9, 1.0)],
     }
     assert nearest(frame.limit(0), F.col("vec_id") % 10 == 0).count() == 0
     assert nearest(frame, F.col("vec_id") == 77).count() == 0
     many = spark.createDataFrame([(k, [3.0, 4.0]) for k in range(3000)] + [(3000, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = listed(nearest(many, F.col("vec_id") % 1000 == 0, k=4, reach=10))
     assert got == {q: [(i, 25.0 if q < 3000 else 7.0) for i in [j for j in range(5) if j != q][:4]] for q in (0, 1000, 2000, 3000)}
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [9.0, 9.0]), (20, [2.0, 0.0]), (20, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    got = nearest(twice, F.col("vec_id") % 20 == 0, k=2).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(0, 1, 1, 9.0), (0, 2, 20, 2.0), (20, 1, 1, 18.0), (20, 1, 1, 27.0), (20, 2, 0, 2.0), (20, 2, 1, 3.0)]
+
+
+def test_only_cells_passed_are_ranked(spark):
+    """With a reach of few vectors no entry of a farther cell is returned, though its shard is met."""
+    draw = np.random.default_rng(5)
+    rows = [(k, draw.normal(size=6).tolist()) for k in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    few = listed(nearest(frame, F.col("vec_id") % 100 == 0, k=900, reach=40))
+    assert all(40 <= len(v) + 1 < 140 for v in few.values())  # the cell that reaches it is whole
+    every = listed(nearest(frame, F.col("vec_id") % 100 == 0, k=900, reach=900))
+    assert all(len(v) == 899 for v in every.values())
