@@ -166,10 +166,11 @@ def _(data):
     return text_dates(picked.withColumn("us servico", F.col("us servico").cast("double")))
 
 
-def batch_tables(data: Data, times: int = 1, ghosts: bool = False) -> Tables:
+def batch_tables(data: Data, times: int = 1, ghosts: bool = False, weather: bool = False) -> Tables:
     """All tables of a batch, feeders named by code as in the inspections.
 
-    `times`: how often each inspection row is there; `ghosts` adds a feeder without rows to each set.
+    `times`: how often each inspection row is there; `ghosts` adds a feeder without rows to each set; `weather`
+    binds the stations, too, and makes the panel one with weather.
     """
     named = lambda c: feeder_code(F.lit("F"), F.col(c))
     tasks = inspections(data).withColumns({"se": F.lit("F"), "alimentador": F.substring("se", 3, 9)})
@@ -178,9 +179,13 @@ def batch_tables(data: Data, times: int = 1, ghosts: bool = False) -> Tables:
     if ghosts:
         members = members.unionByName(members.select("sigla_conjunto", F.lit("F99").alias("alimentador")).distinct())
     feeder = {n: data[n].withColumn("cod_alim", named("cod_alim")) for n in ("panel_raw", "outages", "maintenance")}
+    sites = {n: data[n] for n in ("stations", "station_history")} if weather else {}
+    points = {"feeder_points": data["feeder_points"].select(named("code").alias("cod_alim"), "longitude", "latitude")} if weather else {}
     return Tables(
         data.spark,
-        {
+        sites
+        | points
+        | {
             "panel": feeder["panel_raw"],
             "feeder_set": members,
             "goals": data["goals_wide"],
@@ -192,7 +197,7 @@ def batch_tables(data: Data, times: int = 1, ghosts: bool = False) -> Tables:
     )
 
 
-def batch(data: Data, repeated: int = 1, id_col: str | None = "id", **options):
+def batch(data: Data, repeated: int = 1, id_col: str | None = "id", models: list[str] | None = SQL_MODELS, **options):
     """A suggestion and a task assignment for every set, in one document, and a bad request."""
     item = F.concat(
         F.lit('{"algorithm":"suggestion","conjunto":"'), "r_name",
@@ -205,7 +210,7 @@ def batch(data: Data, repeated: int = 1, id_col: str | None = "id", **options):
         F.concat(F.lit('{"array":['), item, F.lit(',{"algorithm":"other"}]}')).alias("value"),
     )
     payloads = payloads.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeated)))).drop("copy")
-    return run_requests(batch_tables(data, **options), payloads, COEFS, 60, id_col=id_col, models=SQL_MODELS)
+    return run_requests(batch_tables(data, **options), payloads, COEFS, 60, id_col=id_col, models=models)
 
 
 @check(
@@ -257,6 +262,24 @@ def _(data):
     return delivered.unionByName(reported).groupBy(*feeder).agg(*[F.sum(c).cast("int").alias(c) for c in ("delivered", "reported")])
 
 
+@check(
+    "J6_batch_with_everything",
+    """SELECT sigla_conjunto AS conjunto, concat('F', lpad(CAST(alimentador AS VARCHAR), 2, '0')) AS cod_alim, 1 AS accounted, 0 AS over_budget FROM feeder_set
+       UNION ALL SELECT DISTINCT sigla_conjunto, 'F99', 1, 0 FROM feeder_set""",
+    ("feeder_set",),
+)
+def _(data):
+    """Weather in the panel, all default candidates, suggestions and tasks in one job: every feeder is delivered or
+    reported, once, and the tasks of no set cost more than its budget."""
+    made = batch(data, models=None, ghosts=True, weather=True)
+    feeder = ["conjunto", "cod_alim"]
+    reported = made.errors.where("cod_alim IS NOT NULL AND month IS NULL").select(*feeder)
+    counted = made.suggestions.select(*feeder).unionByName(reported).groupBy(*feeder).agg(F.count("*").cast("int").alias("accounted"))
+    spent = made.tasks.groupBy("conjunto").agg(F.sum(F.col("us servico").cast("decimal(24,6)")).alias("us"))
+    over = (F.coalesce("us", F.lit(0)) > 150).cast("int").alias("over_budget")
+    return counted.join(spent, "conjunto", "left").select(*feeder, "accounted", over)
+
+
 _BATCH_TASKS = (
     FORECAST
     + f"""

@@ -29,6 +29,8 @@ from gridtide.session import cut, spread
 HIGH_CARDINALITY = 11
 MISSING = "missing"
 SEED = 42
+# Amounts are decimals with fewer digits than this before the point.
+LARGEST = 1e17
 
 
 @dataclass(frozen=True)
@@ -212,7 +214,7 @@ def predict_series(
     """(keys, row_id, model, pred) for every series model, or for the one named in `chosen`.
 
     A group is the history of one series: one row per month. A model that fails on a series, or
-    does not give finite numbers, gives no rows for it.
+    does not give finite numbers that an amount can hold, gives no rows for it.
     """
     keys, features = list(keys), list(features)
     schema = T.StructType(
@@ -234,7 +236,7 @@ def predict_series(
                         pred = np.asarray(fit(x, y, fresh), float)
                 except Exception:  # noqa: BLE001, a registered model may fail in any way
                     continue
-                if np.isfinite(pred).all():
+                if np.isfinite(pred).all() and np.abs(pred).max(initial=0) < LARGEST:
                     out.extend((*key, i, name, p) for i, p in zip(new[row_id], pred.tolist(), strict=True))
         return pd.DataFrame(out, columns=schema.names)
 

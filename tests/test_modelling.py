@@ -260,3 +260,20 @@ def test_metrics_and_test_predictions_reach_the_caller(spark):
     made = forecast(panel, goals, ["mean", "tree"], metrics={"worst": F.max(F.abs(F.col("y") - F.col("pred")))})
     assert {r.model for r in made.tests.collect()} == {"mean", "tree"} and made.tests.count() == 6
     assert all(r.worst >= r.rmse for r in made.scores.collect())
+
+
+def test_prepared_features(spark):
+    """Numbers filled and scaled as by hand, few values as flags, many as codes from a table, new ones apart."""
+    rows = [(float(i) if i % 5 else None, "ab"[i % 2], f"v{i:02d}", float("nan"), 3.0) for i in range(40)]
+    schema = "x double, few string, many string, gap double, flat double"
+    train = spark.createDataFrame(rows, schema)
+    made = M.prepare(train, ["x", "few", "many", "gap", "flat"])
+    assert made.sizes == {"few": 2, "many": 40} and set(made.numbers) == {"x", "flat"} and made.codes.count() == 42
+    new = spark.createDataFrame([(None, "a", "v07", 1.0, 9.0), (12.0, "z", "other", 1.0, 3.0), (1.0, None, None, None, None)], schema)
+    got = [r["__features"].toArray().tolist() for r in made.transform(new).collect()]
+    known = [r[0] for r in rows if r[0] is not None]
+    filled = np.array([r[0] if r[0] is not None else np.mean(known) for r in rows])
+    scale = lambda v: (v - np.mean(known)) / filled.std(ddof=1)
+    expected = [[0.0, 0.0, 1.0, 0.0, 7.0], [scale(12.0), 0.0, 0.0, 0.0, 40.0], [scale(1.0), 0.0, 0.0, 0.0, 40.0]]
+    assert sorted(got) == [pytest.approx(e) for e in sorted(expected)]
+    assert M.prepare(train, []).transform(new).first()["__features"].size == 0
