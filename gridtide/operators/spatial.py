@@ -1,6 +1,7 @@
 """Boxes, evaluation grids and station neighbourhoods.
 
-Distances are only computed between points in neighbouring cells of a lon/lat grid, so no operator
+Distances are only computed between points in neighbouring cells of a lon/lat grid, or in cells that a search over a
+tree of them has left, so no operator
 here pairs every centre with every station.
 """
 
