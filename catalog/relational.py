@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import Data, check
@@ -25,6 +25,7 @@ from gridtide.plans.panel import (
     clean_raw,
 )
 from gridtide.plans.weather import station_months
+from gridtide.sources.tables import Tables
 
 # The panel without weather, as SQL.
 PANEL = f"""
@@ -86,9 +87,9 @@ def _(data):
        AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""",
 )
 def _(data):
-    named = data["orders"].where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    good = data["customer"].where("c_acctbal > 0")
-    return named.join(good, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey")
+    good = data["customer"].where("c_acctbal > 0").select("c_custkey")
+    named = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    return Tables(data.spark, {"orders": data["orders"]}).read("orders", ["o_orderkey"], named, keys=("o_custkey", good))
 
 
 @check(
@@ -224,8 +225,8 @@ def _(data):
     ("tasks", "feeder_set"),
 )
 def _(data):
-    wanted = data["feeder_set"].where("sigla_conjunto <> 'ASIA'")
-    return data["tasks"].join(wanted, F.col("feeder") == F.col("alimentador"), "left_semi").select("idservico")
+    wanted = data["feeder_set"].where("sigla_conjunto <> 'ASIA'").select("alimentador")
+    return Tables(data.spark, {"tasks": data["tasks"]}).read("tasks", ["idservico"], keys=("feeder", wanted))
 
 
 @check(
@@ -288,9 +289,8 @@ def _(data):
     delta = F.bround(F.avg(exact(F.col("c_acctbal"))).cast("double"), -3)
     per = data["customer"].groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(delta.alias("d"))
     per = per.withColumn("d", F.when(F.col("n_nationkey") % 6 != 5, F.col("d")))
-    order = Window.partitionBy("n_regionkey").orderBy(F.col("d").asc_nulls_last(), "n_nationkey")
-    ranked = data["nation"].join(per, "n_nationkey", "left").withColumn("place", F.row_number().over(order))
-    return ranked.select("n_nationkey", "n_regionkey", "place")
+    nations = data["nation"].join(per, "n_nationkey", "left").withColumn("last", F.col("d").isNull())
+    return places(nations, ["n_regionkey"], ["last", "d", "n_nationkey"]).select("n_nationkey", "n_regionkey", "place")
 
 
 @check(
