@@ -231,7 +231,7 @@ def calibrated_reach(entries: DataFrame, queries: DataFrame, index: MultiIndex,
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 20, reach: int | None = None, recall: float = 0.97, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame, is_query: Column, k: int = 20, reach: int | None = None, recall: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: the `k` nearest found of each row where `is_query` holds.
 
