@@ -37,7 +37,7 @@ TASKS = 8  # that count n-grams; each returns two counts for each hash value
 ERRORS = 2  # a ratio of so many standard errors, or less, is taken for 0
 PENALTY = 1.0
 TOXIC_WEIGHT = 4  # the rarer class counts for so many rows
-ROUNDS, SETTLED = 50, 2e-4  # passes over the sample at most; a pass that moves no row by more is the last
+ROUNDS, SETTLED = 400, 1e-4  # passes over the sample at most; a pass that moves no row by more is the last
 
 
 def ngrams(text: str) -> np.ndarray:
@@ -66,7 +66,11 @@ class Model:
     bias: float
 
     def score(self, text: str) -> float:
-        z = self.bias + float(self.weight[present(text)].sum(dtype=np.float64)) if text else self.bias
+        z = self.bias
+        if text:
+            found = ngrams(text)
+            found = np.unique(found[self.weight[found] != 0])
+            z += float(self.weight[found].sum(dtype=np.float64))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
