@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridtide.functions.numbers import ratio
 from gridtide.functions.text import plain_text
+from gridtide.session import cut
 
 # Cause group (text after clean-up, spelling as stored), urban/rural tag (None: the
 # group is counted over all tags together), service, weight.
@@ -62,9 +63,10 @@ def attribute(
     matter; only a sum beyond 1e17 is an error. `periods` is an array column: an event counts in each
     period listed there.
 
-    Events are reduced to one row per (keys, period, id) first, with one sum per rule. That shuffle
-    is spread by id, so a key with a large part of all events does not end in one task; after it
-    only counters are left. The rules are a short literal list: conditions, not a join.
+    The events are written once with the rules they meet. Amounts are summed per (keys, period), a few
+    groups that each task reduces before the shuffle. Only the rules met are reduced to one row per (keys,
+    period, id); that shuffle is spread by id, so a key with a large part of all events does not end in
+    one task, and its rows are short. The rules are a short literal list: conditions, not a join.
     """
     rules = list(rules)
     met = [
@@ -75,9 +77,10 @@ def attribute(
         *keys,
         (F.lit("") if periods is None else F.explode(periods)).alias("period"),
         F.col(id).alias("__id"),
-        F.round(F.col(value).cast("double") * MILLION).cast("decimal(38,0)").alias("__value"),
+        F.col(value).cast("double").alias("__amount"),
         reduce(add, bits, F.lit(0).cast("bigint")).alias("__met"),
     )
+    rows = cut(rows, "met")
     span = [*keys, "period"]
     numbers = range(len(rules))
 
@@ -85,18 +88,19 @@ def attribute(
         """`c` where rule `i` is met."""
         return F.when(F.col("__met").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.col(c))
 
-    per_id = rows.groupBy(*span, "__id").agg(
+    amounts = rows.withColumn("__value", F.round(F.col("__amount") * MILLION).cast("decimal(38,0)"))
+    totals = amounts.groupBy(*span).agg(
         F.sum("__value").alias("__value"),
         F.bit_or("__met").alias("__met"),
         *[F.sum(under(i, "__value")).alias(f"__value{i}") for i in numbers],
     )
-    wide = per_id.groupBy(*span).agg(
-        F.count("__id").alias("__n"),
-        F.sum("__value").alias("__value"),
-        F.bit_or("__met").alias("__met"),
-        *[F.count(under(i, "__id")).alias(f"__n{i}") for i in numbers],
-        *[F.sum(f"__value{i}").alias(f"__value{i}") for i in numbers],
+    per_id = rows.groupBy(*span, "__id").agg(F.bit_or("__met").alias("__met"))
+    counts = per_id.groupBy(*span).agg(
+        F.count("__id").alias("__n"), *[F.count(under(i, "__id")).alias(f"__n{i}") for i in numbers]
     )
+    # one row of each for every key, null keys too
+    both = totals.unionByName(counts, allowMissingColumns=True)
+    wide = both.groupBy(*span).agg(*[F.max(c).alias(c) for c in both.columns if c not in span])
 
     def chi(c: str, weight: str) -> Column:
         """The weighted amount in hundredths of millionths; these widths keep every step exact."""

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridtide import schemas
+from gridtide.operators.attribution import attribute
 from gridtide.plans import envelope
 from gridtide.plans.requests import format_tasks, parse_requests, run_requests
 from gridtide.session import cut, shared_folder
@@ -185,6 +186,22 @@ def test_suggestions_by_hand(results):
     assert (other.poda_max_us, other.poda_max_year_us, other.poda_max_year_interup) == (0.0, 2017, 2017)
 
 
+def test_events_of_an_id_keep_no_sums(spark):
+    """One row per id, of which there are many, holds the rules met; amounts are summed per key at once."""
+    rows = [
+        ("a", 1, 10.0, "arvore", "U"), ("a", 1, 5.0, "arvore", "U"), ("a", 2, None, "arvore", "R"), ("a", None, 2.5, "outros", "U"),
+        (None, 3, 4.0, "70% arvore / 30% outros", "R"), (None, 4, 6.0, "70% arvore / 30% outros", "R"), (None, None, 1.0, "manutencao estruturas", None),
+    ]
+    events = spark.createDataFrame(rows, "k string, id_interrupcao int, chi_tot double, grupo string, tag_urb_rur string")
+    made = attribute(events, ["k"])
+    assert {(r.k, r.service): (r.cnt, r.chi) for r in made.collect()} == {
+        ("a", "total"): (2, 17.5), ("a", "poda"): (1, 15.0), ("a", "faixa"): (1, 0.0),
+        (None, "total"): (2, 11.0), (None, "faixa"): (1, 7.0), (None, "estruturas"): (0, 1.0),
+    }
+    by_id = [x for x in made._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate(keys=" in x and "__id" in x.split("]", 1)[0]]
+    assert len(by_id) >= 2 and not any("sum(" in x for x in by_id)
+
+
 def test_volume_follows_the_gap(spark):
     tables = domain(spark)
     low = Tables(spark, {**{n: tables.read(n) for n in ("panel", "feeder_set", "outages", "causes", "maintenance", "inspections")}, "goals": tables.read("goals").select("SIGLA", *[(F.col(f"`{c}`") / 4).alias(c) for c in tables.read("goals").columns[1:]])})
