@@ -222,23 +222,26 @@ def eligible_tasks(
     `feeders` has the columns `feeder`, `asof` and any keys to carry along.
     """
     extra = [c for c in feeders.columns if c != feeder]
+    rank = priority_rank(F.col(priority))
+    # conditions are tried in this order: what only compares comes before what parses a time
+    known = tasks.where((F.col(status) == OPEN_STATUS) & rank.isNotNull() & (F.col(cost) != 0))
     # the span of all requests is one row; as a literal it reaches the scan of a stored day
     span = feeders.agg(F.min(F.add_months(asof, 1 - months)), F.max(asof)).first()
     if span[0] is None:
-        known = tasks.where(F.lit(False))
+        known = known.where(F.lit(False))
     else:
-        known = tasks.where(F.col(when).between(F.lit(span[0]), F.lit(span[1])))
-        if day in tasks.columns:
+        if day in tasks.columns:  # `inside` sees to the hours, each time is parsed once
             low, high = (datetime.combine(d, time()) for d in (span[0] - timedelta(days=1), span[1] + timedelta(days=1)))
             known = known.where((F.col(day) >= F.lit(low).cast("timestamp_ntz")) & (F.col(day) < F.lit(high).cast("timestamp_ntz")))
-    known = known.where((F.col(status) == OPEN_STATUS) & (F.col(cost) != 0)).select(
+        else:
+            known = known.where(F.col(when).between(F.lit(span[0]), F.lit(span[1])))
+    known = known.select(
         F.col(feeder).alias("feeder"),
         F.col(id).alias("idservico"),
         F.col(when).alias("date_time"),
-        priority_rank(F.col(priority)).alias("prio"),
+        rank.alias("prio"),
         exact(F.col(cost)).alias("us"),
     )
-    known = known.where(F.col("prio").isNotNull())
     mine = feeders.withColumnRenamed(feeder, "feeder")
     inside = F.col("date_time").between(F.add_months(asof, 1 - months).cast("timestamp_ntz"), F.col(asof).cast("timestamp_ntz"))
     near = known.join(mine, "feeder").where(inside)

@@ -75,7 +75,8 @@ def assign(
 
 def _task_rows(tasks: DataFrame, picks: DataFrame) -> DataFrame:
     """One row per pick: of the rows with its feeder and id, that which was picked (the first of equal ones)."""
-    open_tasks = tasks.where(F.col("status servico") == OPEN_STATUS)
+    # this join is done on the rows as stored, so only tasks with a picked id are parsed
+    open_tasks = tasks.where(F.col("status servico") == OPEN_STATUS).join(picks.select("idservico").distinct(), "idservico", "left_semi")
     picked = picks.select(
         "feeder",
         "idservico",
