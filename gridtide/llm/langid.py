@@ -11,8 +11,8 @@ made and stay as Spark tables (`SparkTables`); the workers then get the most fre
 other runs of the texts are joined with the tables. Both ways give the same costs, up to rounding.
 
 A text goes to the language with the lowest cross-entropy per character. The score is its share in a
-softmax whose sharpness is calibrated on a bounded sample of the training texts (`CALIBRATION` rows), and
-`rejected` marks texts whose best cross-entropy is above nearly all of those in that sample.
+softmax whose sharpness is calibrated on all training texts, and `rejected` marks texts whose best
+cross-entropy is above nearly all of theirs. Losses are added up and the limit is found by counts in Spark.
 
 Cases: a text that is null or has no letter gets `und` and score 0, as does every text if nothing was
 learned. Rows with null text or null language teach nothing. Ties go to the language that sorts first.
@@ -36,9 +36,11 @@ from gridtide.session import cut
 ORDER = 4
 TOGETHER = 1_000_000  # characters that are looked up in one go
 STORED = 1 << 21  # runs of four, of all languages together, up to which the tables go to every worker whole
-CALIBRATION = 4_000
+CALIBRATION = 4_000  # rows of `calibration_rows`
 SPACE, END = 32, 0  # END stands after each text
-REJECT = 0.999  # share of the calibration sample that is not rejected
+REJECT = 0.999  # share of the calibration texts that is not rejected
+SHARPNESS = [2.0**k for k in range(-2, 8)]
+BINS = 1_024  # of a pass that looks for a rank
 
 
 @functools.cache
@@ -404,10 +406,11 @@ def _joined_costs(texts: DataFrame, model: Model) -> DataFrame:
     return both.select("tag", F.array(*[-F.col(f"s{i}") / F.greatest("count", F.lit(1)) for i in range(len(model.langs))]).alias("cost"))
 
 
-def train(docs: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> Model | None:
+def train(docs: DataFrame, may_learn: Column | None = None, lang_col: str = "lang", text_col: str = "text", calibrate_on: DataFrame | None = None) -> Model | None:
     """Learns from the rows where `may_learn` holds; None if there are none with a letter.
 
-    The driver gets tables of at most `STORED` runs, and the calibration sample.
+    Sharpness and limit are calibrated on all these rows, or on the `lang` and `text` of `calibrate_on`. The
+    driver gets tables of at most `STORED` runs.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = known if may_learn is None else known.where(may_learn)
@@ -416,12 +419,14 @@ def train(docs: DataFrame, may_learn: Column | None = None, id_col: str = "doc_i
     if not sizes:
         return None
     model = _whole(found, sorted(sizes)) if sum(sizes.values()) <= STORED else _in_spark(found, sorted(sizes))
-    _calibrate(model, calibration_rows(known, id_col, lang_col, text_col))
+    if calibrate_on is None:
+        calibrate_on = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    _calibrate(model, calibrate_on)
     return model
 
 
 def calibration_rows(known: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """`lang` and `text` of at most `CALIBRATION` rows: one for an id, those whose ids have the smallest hashes."""
+    """A bounded sample for `calibrate_on`: `lang` and `text` of at most `CALIBRATION` rows, one for an id, those whose ids have the smallest hashes."""
     hashes = {"by_id": F.xxhash64(F.col(id_col).cast("string")), "by_text": F.xxhash64(F.col(text_col))}
     some = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), *[h.alias(name) for name, h in hashes.items()])
     picked = some.groupBy("by_id").agg(F.min("by_text").alias("by_text")).orderBy("by_id").limit(CALIBRATION)
@@ -446,37 +451,57 @@ def _in_spark(found: DataFrame, langs: list[str]) -> Model:
     return Model(langs, [tables.frequent(n) for n in range(1, ORDER + 1)], [], tables.unseen, rest=tables)
 
 
-def _calibrate(model: Model, sample: DataFrame) -> None:
+def _calibrate(model: Model, texts: DataFrame) -> None:
     if model.rest:
-        sample = cut(sample, "sample")
-        tagged = sample.select("lang", _tag(F.col("text")).alias("tag"))
-        _fit_scale(model, tagged.join(_joined_costs(sample, model), "tag").select("lang", "cost").collect())
+        tagged = texts.select("lang", _tag(F.col("text").cast("string")).alias("tag"))
+        costs = _joined_costs(texts.select(F.col("text").cast("string").alias("text")), model)
+        _fit_scale(model, cut(tagged.join(costs, "tag").select("lang", "cost"), "costs"))
         return
-    packed = sample.sparkSession.sparkContext.broadcast(model)
+    packed = texts.sparkSession.sparkContext.broadcast(model)
 
-    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = [(lang, t) for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if has_letter(t)]
             found = packed.value.cross_entropies([t for _, t in pairs])
             yield pa.RecordBatch.from_arrays([pa.array([lang for lang, _ in pairs], pa.string()), pa.array(found.tolist(), pa.list_(pa.float64()))], ["lang", "cost"])
 
-    _fit_scale(model, sample.mapInArrow(costs, "lang string, cost array<double>").collect())
+    _fit_scale(model, cut(texts.select("lang", "text").mapInArrow(look_up, "lang string, cost array<double>"), "costs"))
 
 
-def _fit_scale(model: Model, rows: list) -> None:
-    """`sharpness` and `limit` from the costs of texts of known languages."""
-    rows = [r for r in rows if r.lang in model.langs]
-    if not rows:
+def _fit_scale(model: Model, costs: DataFrame) -> None:
+    """`sharpness` and `limit` from the costs of all texts of known languages."""
+    rows = costs.where(F.col("lang").isin(model.langs)).select("cost", F.get("cost", F.array_position(F.lit(model.langs), F.col("lang")).cast("int") - 1).alias("true"))
+    gaps = rows.select(F.transform("cost", lambda c: c - F.array_min("cost")).alias("gaps"), (F.col("true") - F.array_min("cost")).alias("gap"))
+    losses = [F.avg(F.log(F.aggregate("gaps", F.lit(0.0), lambda sum, g: sum + F.exp(g * -s))) + F.col("gap") * s) for s in SHARPNESS]
+    found = gaps.agg(F.count("*"), *losses).first()
+    if not found[0]:
         return
-    cost = np.array([r.cost for r in rows])
-    true = np.array([model.langs.index(r.lang) for r in rows])
-    gap = cost - cost.min(axis=1)[:, None]
+    model.sharpness = min(zip(found[1:], SHARPNESS))[1]
+    model.limit = quantile(rows.select("true"), REJECT)
+
 
-    def loss(sharpness: float) -> float:
-        return float((np.log(np.exp(-sharpness * gap).sum(axis=1)) + sharpness * gap[np.arange(len(true)), true]).mean())
+def quantile(values: DataFrame, share: float) -> float:
+    """The exact quantile of the one column of `values`, which has numbers only, between neighbours in proportion.
 
-    model.sharpness = min((2.0**k for k in range(-2, 8)), key=loss)
-    model.limit = float(np.quantile(cost[np.arange(len(true)), true], REJECT))
+    Each pass counts the values in bins of a range and goes on with the bin of the wanted rank, so neither a
+    task nor the driver holds more than `BINS` of them.
+    """
+    x = F.col(values.columns[0])
+    n, low, high = values.agg(F.count("*"), F.min(x), F.max(x)).first()
+    place = share * (n - 1)
+    rank, below = math.floor(place), 0
+    while low < high:
+        inside = values.where(x.between(low, high))
+        bin_of = F.least(F.floor((x - low) / (high - low) * BINS), F.lit(BINS - 1))
+        for r in inside.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.min(x).alias("low"), F.max(x).alias("high")).orderBy("bin").collect():
+            if rank < below + r.n:
+                low, high = r.low, r.high
+                break
+            below += r.n
+    # the next value is the same if there are more of it
+    upto, above = values.agg(F.count_if(x <= low), F.min(F.when(x > low, x))).first()
+    after = low if upto > rank + 1 or above is None else above
+    return low + (after - low) * (place - rank)
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

@@ -191,6 +191,32 @@ def test_languages_keep_every_run_beyond_the_stored_ones(spark, monkeypatch):
         assert sum(g[4] != w[4] for g, w in zip(got, want)) <= 1
 
 
+def test_quantiles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BINS", 3)
+    for some in ([2.0], [1.0, 1.0, 1.0], [5e-324, 0.0, 1.0, 1.0 + 2**-52, 1e300], [float(k * k % 101) for k in range(300)]):
+        for share in (0.0, 0.31, 0.5, 0.999, 1.0):
+            assert langid.quantile(spark.createDataFrame([(x,) for x in some], "x double"), share) == pytest.approx(np.quantile(some, share), rel=1e-12)
+
+
+def test_all_training_texts_calibrate(spark, monkeypatch):
+    """Sharpness and limit are those of every text that may teach, a repeated id's too, in tables and beyond them."""
+    monkeypatch.setattr(langid, "CALIBRATION", 3)
+    words = {"en": "the cat and dog walked home over green fields".split(), "fr": "le chat et chien marche vers la maison verte".split()}
+    rows = [(k % 20, " ".join(words[lang][k % 7 :][: 1 + k % 3] + words[other][: k % 4]), lang) for k in range(60) for lang, other in (("en", "fr"), ("fr", "en"))]
+    rows += [(None, "xq zz the", "fr"), (7, None, "en"), (8, "maison", None), (9, "12", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    taught = [(t, lang) for _, t, lang in rows if t and lang and langid.has_letter(t)]
+    cost = model.cross_entropies([t for t, _ in taught])
+    true = cost[np.arange(len(taught)), [model.langs.index(lang) for _, lang in taught]]
+    loss = {s: np.mean(np.log(np.exp(-s * (cost - true[:, None])).sum(axis=1))) for s in langid.SHARPNESS}
+    assert model.sharpness == min(loss, key=loss.get)
+    assert model.limit == pytest.approx(np.quantile(true, langid.REJECT))
+    monkeypatch.setattr(langid, "STORED", 40)
+    beyond = langid.train(docs)
+    assert beyond.rest and beyond.sharpness == model.sharpness and beyond.limit == pytest.approx(model.limit)
+
+
 def test_samples_are_bounded_where_an_id_repeats(spark, monkeypatch):
     rows = [(k if k % 3 else 0, f"text {k % 200} of the house", "en") for k in range(600)] + [(None, "no id", "en")] * 50
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
